@@ -81,7 +81,9 @@ def join_buckets(
     """Give each row the rolled values of its bucket; rows of hot keys are salted."""
     rows = df.withColumn("hr_ts", bucket_start(time, seconds))
     if profile is not None and profile.heavy:
-        joined = salted_join(rows, rolled, [key, "hr_ts"], profile, row_key, how="left")
+        joined = salted_join(
+            rows, rolled, [key, "hr_ts"], profile, row_key, "left", group_micros=seconds * 1_000_000
+        )
     else:
         joined = rows.join(rolled, [key, "hr_ts"], "left")
     return joined.drop("hr_ts")

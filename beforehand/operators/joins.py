@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_micros
-from .skew import KeyProfile, profile_keys, with_slice
+from .skew import MAX_SLICES, SLICE_ROWS, KeyProfile, profile_keys, with_slice
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key that only has to be sorted and walked once may be far larger than one whose
@@ -49,29 +49,55 @@ def salted_join(
     on: str | list[str],
     hot: KeyProfile | None,
     row_key: list[str] | None = None,
-    salts: int = DEFAULT_SALTS,
     how: str = "inner",
+    salts: int = DEFAULT_SALTS,
+    rows_per_salt: int = SLICE_ROWS,
+    group_micros: int | None = None,
 ) -> DataFrame:
-    """Sort-merge join with the hot keys of ``big`` spread over ``salts`` tasks each.
+    """Sort-merge join with each hot key of ``big`` spread over several tasks.
 
-    The salt is a hash of the row, so a recomputed task gives the same one. Only rows of
-    hot keys are repeated on the small side; with ``hot=None`` every key is salted.
+    The salt is a hash of the row, so a recomputed task gives the same one. A hot key
+    gets one salt per ``rows_per_salt`` rows, and only its rows are repeated on the small
+    side; all salts together number at most ``MAX_SLICES`` plus one per hot key. If the
+    join also matches on time buckets, ``group_micros`` is their length. With
+    ``hot=None`` every key gets ``salts`` salts.
     """
     if how not in ("inner", "left"):
         raise ValueError("salting repeats the small side: only inner and left are safe")
     on = [on] if isinstance(on, str) else on
-    spread = F.pmod(F.xxhash64(*(row_key or big.columns)), F.lit(salts)).cast("int")
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
+    row_hash = F.xxhash64(*(row_key or big.columns))
     if hot is None:
-        left, right = big.withColumn("_salt", spread), small.withColumn("_salt", F.explode(all_salts))
+        left, right = big.withColumn("_salts", F.lit(salts)), small.withColumn("_salts", F.lit(salts))
     else:
-        left = big.withColumn("_salt", F.when(hot.is_heavy(), spread).otherwise(0))
-        right = small.withColumn(
-            "_salt", F.explode(F.when(hot.is_heavy(), all_salts).otherwise(F.array(F.lit(0))))
-        )
+        table = _salt_table(big, hot, rows_per_salt, group_micros)
+        left, right = (_with_salts(side, hot.key, table) for side in (big, small))
+    left = left.withColumn("_salt", F.pmod(row_hash, F.col("_salts")).cast("int")).drop("_salts")
+    right = right.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
+    ).drop("_salts")
     return left.join(right.hint("merge"), [*on, "_salt"], how).drop("_salt")
 
 
+def _salt_table(
+    df: DataFrame, hot: KeyProfile, rows_per_salt: int, group_micros: int | None
+) -> DataFrame | None:
+    per_salt = max(rows_per_salt, -(-hot.rows // MAX_SLICES))
+    counts = []
+    for value, n, lo, hi in hot.heavy:
+        groups = (hi - lo) // group_micros + 1 if group_micros and lo is not None else 1
+        counts.append((value, max(1, -(-n // (groups * per_salt)))))
+    schema = T.StructType([T.StructField("_hot", hot.key_type), T.StructField("_salts", T.IntegerType())])
+    return df.sparkSession.createDataFrame(counts, schema) if counts else None
+
+
+def _with_salts(df: DataFrame, key: str, table: DataFrame | None) -> DataFrame:
+    if table is None:
+        return df.withColumn("_salts", F.lit(1))
+    # at most MAX_HEAVY_KEYS rows
+    joined = df.join(F.broadcast(table), F.col(key).eqNullSafe(F.col("_hot")), "left")
+    return joined.withColumn("_salts", F.coalesce("_salts", F.lit(1))).drop("_hot")
+
+
 def lookup_join(
     big: DataFrame,
     small: DataFrame,

@@ -36,40 +36,51 @@ def rolling(
     specs: list[Rolling],
     route: str = "auto",
     profile: KeyProfile | None = None,
+    grain: str = "second",
 ) -> DataFrame:
     """Add the rolling columns of ``specs``.
 
     Empty frames give 0 for counts and sums and NULL for means. Routes: ``window`` uses
     Spark's range frames, ``sweep`` a linear running-sum form, ``auto`` the window for
     keys of ordinary size and the sweep for keys too heavy for one task.
+
+    At ``second`` grain a frame is [t - seconds, t - 1] in whole seconds, so rows of the
+    same second never see each other; at ``micro`` grain it ends one microsecond before
+    the row. ``time`` may also be a whole number already counted in that grain.
     """
+    tick = {"second": 1, "micro": 1_000_000}[grain]
+    to_ticks = epoch_seconds if tick == 1 else epoch_micros
+    if _integral(df, time):
+        at, added = time, []
+    else:
+        df, at, added = df.withColumn("_at", to_ticks(time)), "_at", ["_at"]
     if route == "auto":
         profile = profile or profile_keys(df, key, time)
         if profile.truncated:
             route = "sweep"
         elif profile.heavy:
             light, heavy = profile.split(df)
-            return _by_window(light, key, time, specs).unionByName(
-                _by_sweep(heavy, key, time, specs)
+            both = _by_window(light, key, at, specs, tick).unionByName(
+                _by_sweep(heavy, key, at, specs, tick)
             )
+            return both.drop(*added)
         else:
             route = "window"
-    if route == "window":
-        return _by_window(df, key, time, specs)
-    if route == "sweep":
-        return _by_sweep(df, key, time, specs)
-    raise ValueError(f"unknown route {route!r}")
+    if route not in ("window", "sweep"):
+        raise ValueError(f"unknown route {route!r}")
+    by = _by_window if route == "window" else _by_sweep
+    return by(df, key, at, specs, tick).drop(*added)
 
 
 def _integral(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.IntegralType)
 
 
-def _by_window(df: DataFrame, key: str, time: str, specs: list[Rolling]) -> DataFrame:
-    base = Window.partitionBy(key).orderBy("_sec")
+def _by_window(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int) -> DataFrame:
+    base = Window.partitionBy(key).orderBy(at)
 
     def value(s: Rolling) -> Column:
-        frame = base.rangeBetween(-s.seconds, -1)
+        frame = base.rangeBetween(-s.seconds * tick, -1)
         if s.agg == "count":
             return F.count(F.lit(1)).over(frame)
         if s.agg == "sum":
@@ -83,26 +94,21 @@ def _by_window(df: DataFrame, key: str, time: str, specs: list[Rolling]) -> Data
             return F.approx_count_distinct(s.column, s.rsd).over(frame)
         raise ValueError(f"unknown aggregate {s.agg!r}")
 
-    return (
-        df.withColumn("_sec", epoch_seconds(time))
-        .withColumns({s.name: value(s) for s in specs})
-        .drop("_sec")
-    )
+    return df.withColumns({s.name: value(s) for s in specs})
 
 
-def _by_sweep(df: DataFrame, key: str, time: str, specs: list[Rolling]) -> DataFrame:
-    """All rows of one key and second share their rolling values, so work at that grain.
+def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int) -> DataFrame:
+    """All rows of one key and instant share their rolling values, so work at that grain.
 
-    Rows are first summed per (key, second). A value enters after its second and leaves
+    Rows are first summed per (key, instant). A value enters after its instant and leaves
     ``seconds`` later; the rolling value is what entered minus what left, both running
     sums. For distinct counts each (key, member) interval is cut at the member's next
     appearance, so a member never counts twice. Sums run on decimals to stay exact.
     """
-    df = df.withColumn("_sec", epoch_seconds(time))
     sums = sorted({s.column for s in specs if s.agg in ("sum", "mean")})
     means = sorted({s.column for s in specs if s.agg == "mean"})
     amount = {c: F.col(c).cast("long" if _integral(df, c) else "decimal(28,6)") for c in sums}
-    per_second = df.groupBy(key, "_sec").agg(
+    per_instant = df.groupBy(key, F.col(at).alias("_at")).agg(
         F.count(F.lit(1)).alias("_m_rows"),
         *[F.coalesce(F.sum(amount[c]), F.lit(0)).alias(f"_m_sum_{c}") for c in sums],
         *[F.count(c).alias(f"_m_cnt_{c}") for c in means],
@@ -120,10 +126,10 @@ def _by_sweep(df: DataFrame, key: str, time: str, specs: list[Rolling]) -> DataF
     seen = sorted({m for m, _ in gone})
     members = sorted({(s.column, s.seconds) for s in specs if s.agg in ("distinct", "approx_distinct")})
 
-    moments = [F.struct(F.col("_sec").alias("at"), F.lit(0).alias("frame"))] + [
-        F.struct((F.col("_sec") + n + 1).alias("at"), F.lit(n).alias("frame")) for n in frames
+    moments = [F.struct(F.col("_at").alias("at"), F.lit(0).alias("frame"))] + [
+        F.struct((F.col("_at") + n * tick + 1).alias("at"), F.lit(n).alias("frame")) for n in frames
     ]
-    base = per_second.withColumn("_e", F.explode(F.array(*moments)))
+    base = per_instant.withColumn("_e", F.explode(F.array(*moments)))
     zero = F.lit(0)
     events = base.select(
         key,
@@ -135,10 +141,11 @@ def _by_sweep(df: DataFrame, key: str, time: str, specs: list[Rolling]) -> DataF
             for m, n in gone
         ],
     )
-    parts = [events] + [_member_events(df, key, c, n) for c, n in members]
+    parts = [events] + [_member_events(df, key, at, c, n, tick) for c, n in members]
     events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     inclusive = [f"_out_{m}_{n}" for m, n in gone] + [f"_dst_{c}_{n}" for c, n in members]
-    swept = running_totals(events, key, "_at", inclusive, [f"_in_{m}" for m in seen]).where("_ask")
+    width = DAY if tick == 1 else HOUR * tick
+    swept = running_totals(events, key, "_at", inclusive, [f"_in_{m}" for m in seen], width).where("_ask")
 
     def left(m: str, n: int) -> Column:
         return F.col(f"_in_{m}") - F.col(f"_out_{m}_{n}")
@@ -154,20 +161,21 @@ def _by_sweep(df: DataFrame, key: str, time: str, specs: list[Rolling]) -> DataF
             )
         return F.col(f"_dst_{s.column}_{s.seconds}")
 
-    result = swept.select(key, F.col("_at").alias("_sec"), *[value(s).alias(s.name) for s in specs])
+    result = swept.select(key, F.col("_at").alias(at), *[value(s).alias(s.name) for s in specs])
     zeros = {s.name: 0 for s in specs if s.agg != "mean"}
-    return null_safe_join(df, result, [key, "_sec"]).fillna(zeros).drop("_sec")
+    return null_safe_join(df, result, [key, at]).fillna(zeros)
 
 
-def _member_events(df: DataFrame, key: str, column: str, seconds: int) -> DataFrame:
+def _member_events(df: DataFrame, key: str, at: str, column: str, seconds: int, tick: int) -> DataFrame:
     """+1 when a member becomes visible in the frame, -1 when it no longer is."""
-    seen = df.where(F.col(column).isNotNull()).select(key, F.col(column).alias("_m"), "_sec").distinct()
-    # at most one row per second of the calendar, however many rows the member has
-    again = F.lead("_sec").over(Window.partitionBy(key, "_m").orderBy("_sec"))
-    last = F.least(F.col("_sec") + seconds, F.coalesce(again, F.col("_sec") + seconds))
-    spans = seen.select(key, "_sec", last.alias("_last"))
+    members = df.where(F.col(column).isNotNull())
+    seen = members.select(key, F.col(column).alias("_m"), F.col(at).alias("_at")).distinct()
+    # at most one row per instant of the calendar, however many rows the member has
+    again = F.lead("_at").over(Window.partitionBy(key, "_m").orderBy("_at"))
+    # least() skips a NULL
+    spans = seen.select(key, "_at", F.least(F.col("_at") + seconds * tick, again).alias("_last"))
     steps = F.array(
-        F.struct((F.col("_sec") + 1).alias("at"), F.lit(1).cast("long").alias("d")),
+        F.struct((F.col("_at") + 1).alias("at"), F.lit(1).cast("long").alias("d")),
         F.struct((F.col("_last") + 1).alias("at"), F.lit(-1).cast("long").alias("d")),
     )
     return (
@@ -178,13 +186,6 @@ def _member_events(df: DataFrame, key: str, column: str, seconds: int) -> DataFr
     )
 
 
-def rolling_interval(df: DataFrame, key: str, time: str, name: str, seconds: int) -> DataFrame:
-    """Rolling row count on the timestamp itself: sees earlier rows of the same second."""
-    micros = epoch_micros(time)
-    w = Window.partitionBy(key).orderBy("_us").rangeBetween(-seconds * 1_000_000, -1)
-    return df.withColumn("_us", micros).withColumn(name, F.count(F.lit(1)).over(w)).drop("_us")
-
-
 def since_last(
     df: DataFrame,
     key: str,
@@ -203,23 +204,19 @@ def since_last(
     """
     changed = changed or {}
     extra = {"slice_rows": slice_rows} if slice_rows else {}
+    if _integral(df, time):
+        at, added = time, []
+    else:
+        df, at, added = df.withColumn("_sec", epoch_seconds(time)), "_sec", ["_sec"]
     # slices are cut on whole seconds, so rows tied on the second share one
-    micros = F.col("_sec") * 1_000_000 if profile and profile.heavy else None
-    out = previous_row(
-        df.withColumn("_sec", epoch_seconds(time)),
-        key,
-        ["_sec", tie],
-        ["_sec", *changed],
-        profile,
-        micros,
-        **extra,
-    )
+    micros = F.col(at) * 1_000_000 if profile and profile.heavy else None
+    out = previous_row(df, key, [at, tie], [at, *changed], profile, micros, **extra)
     flags = {
         flag: F.when(F.col(f"_prev.{c}").isNull(), 0).when(F.col(f"_prev.{c}") != F.col(c), 1).otherwise(0)
         for c, flag in changed.items()
     }
-    gap = F.coalesce(F.col("_sec") - F.col("_prev._sec"), F.lit(-1).cast("long"))
-    return out.withColumns({seconds: gap, **flags}).drop("_prev", "_sec")
+    gap = F.coalesce(F.col(at) - F.col(f"_prev.{at}"), F.lit(-1).cast("long"))
+    return out.withColumns({seconds: gap, **flags}).drop("_prev", *added)
 
 
 def since_last_flagged(

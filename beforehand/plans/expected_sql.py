@@ -131,7 +131,7 @@ thr AS (
  FROM range(91) r(i)),
 sweep AS (
  SELECT threshold, coalesce(sum(CASE WHEN score < threshold AND is_fraud = 1 THEN amount END), 0) AS missed,
-   sum(CASE WHEN score >= threshold AND is_fraud = 0 THEN 5.0 ELSE 0 END) AS false_decline_cost,
+   sum(CASE WHEN score >= threshold AND is_fraud = 0 THEN CAST(5 AS DOUBLE) ELSE 0 END) AS false_decline_cost,
    sum(CASE WHEN score >= threshold AND is_fraud = 1 THEN 1 ELSE 0 END) AS tp,
    sum(CASE WHEN score >= threshold AND is_fraud = 0 THEN 1 ELSE 0 END) AS fp, sum(is_fraud) AS positives
  FROM thr, rows_ GROUP BY threshold),
@@ -185,6 +185,14 @@ SQL = {
     "card_rolling_amounts": q(CARD, f"SELECT txn_id, {AMOUNTS} FROM card"),
     "card_rolling_sweep": ROLLING_ALL,
     "card_rolling_hot_split": ROLLING_ALL,
+    "card_rolling_micros": q("""SELECT txn_id, count(*) OVER (PARTITION BY card_id ORDER BY us
+ RANGE BETWEEN 3600000000 PRECEDING AND 1 PRECEDING) AS card_cnt_1h,
+ round(coalesce(sum(amount) OVER (PARTITION BY card_id ORDER BY us
+ RANGE BETWEEN 86400000000 PRECEDING AND 1 PRECEDING), 0), 4) AS card_sum_24h FROM txn"""),
+    "merchant_rolling_micros_sweep": q("""SELECT txn_id, count(*) OVER (PARTITION BY merchant_id ORDER BY us
+ RANGE BETWEEN 3600000000 PRECEDING AND 1 PRECEDING) AS merch_cnt_1h,
+ count(DISTINCT card_id) OVER (PARTITION BY merchant_id ORDER BY us
+ RANGE BETWEEN 86400000000 PRECEDING AND 1 PRECEDING) AS merch_ncards_24h FROM txn"""),
     "card_distinct_exact": q(CARD, "SELECT txn_id, card_nmerch_24h, card_ncountry_1h FROM card"),
     "card_declines_10m": q(CARD, "SELECT txn_id, card_declines_10m FROM card"),
     "card_velocity_ratios": q(
@@ -280,7 +288,7 @@ UNION ALL SELECT 'pr_auc', 'min', CAST(0.6 AS DOUBLE), round({AP}, 6) FROM curve
     "amount_drift": q(SPLIT, """
 e AS (SELECT list_distinct(quantile_disc(amount, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edges
       FROM s WHERE split = 'train'),
-r AS (SELECT split, len(list_filter(edges, lambda x: x < amount)) AS bin FROM s, e
+r AS (SELECT split, CAST(len(list_filter(edges, lambda x: x < amount)) AS INT) AS bin FROM s, e
       WHERE split IN ('train', 'test') AND amount IS NOT NULL),
 c AS (SELECT bin, count(*) FILTER (split = 'train') AS n_ref, count(*) FILTER (split = 'test') AS n_act
       FROM r GROUP BY bin),
@@ -324,6 +332,13 @@ UNION ALL SELECT split, 'roc_auc', round({AUC}, 6) FROM curve WHERE split IS NOT
  GROUP BY user_id, hr_ts""",
 }
 
+SQL["backfill_by_range"] = SQL["feature_table_full"]
+SQL["stream_rolling_counters"] = """SELECT user_id, hr_ts, count(*) AS n
+ FROM (SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS t, t - t % 3600 + 3600 * (1 + k) AS hr_ts
+       FROM events, range(24) r(k))
+ WHERE to_timestamp(hr_ts) AT TIME ZONE 'UTC' <= (SELECT max(ts) - INTERVAL '1' HOUR FROM events)
+ GROUP BY user_id, hr_ts"""
+
 
 def _recall(points: str) -> str:
     def at(t: str, tag: str) -> str:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
     cross_border,
+    epoch_seconds,
     flag_equals,
+    in_range,
     ordinal,
     ratio_to_baseline,
     share_with_current,
@@ -19,6 +23,7 @@ from ..operators.joins import lookup_join
 from ..operators.rolling import DAY, HOUR, MINUTE, WEEK, Rolling, rolling, since_last
 from ..operators.skew import KeyProfile, profile_keys
 from ..sources.schemas import Timeline
+from ..sources.tables import prune_dates
 
 RISK_CODES = {"high": 2, "med": 1}
 
@@ -46,10 +51,11 @@ def card_history(
     Ordering by (second, id) first lets the rolling frames reuse the sort.
     """
     profile = profile or profile_keys(txns, "card_id", "txn_time")
+    df = txns.withColumn("_ts", epoch_seconds("txn_time"))
     df = since_last(
-        txns, "card_id", "txn_time", "txn_id", changed={"txn_country": "country_changed"}, profile=profile
+        df, "card_id", "_ts", "txn_id", changed={"txn_country": "country_changed"}, profile=profile
     )
-    df = rolling(df, "card_id", "txn_time", card_specs(approximate), route, profile)
+    df = rolling(df, "card_id", "_ts", card_specs(approximate), route, profile).drop("_ts")
     return df.withColumns(
         {
             "amt_ratio_7d": ratio_to_baseline("amount", "card_mean_7d"),
@@ -69,10 +75,10 @@ def merchant_history(
     return join_buckets(df, rolled, "merchant_id", "txn_time", profile=profile, row_key=["txn_id"])
 
 
-def context(df: DataFrame, merchants: DataFrame) -> DataFrame:
+def context(df: DataFrame, merchants: DataFrame, profile: KeyProfile | None = None) -> DataFrame:
     """Merchant attributes and calendar flags."""
     dim = merchants.select("merchant_id", "merchant_country", "merchant_risk_tier")
-    return lookup_join(df, dim, "merchant_id", row_key=["txn_id"]).withColumns(
+    return lookup_join(df, dim, "merchant_id", profile=profile, row_key=["txn_id"]).withColumns(
         {
             "cross_border": cross_border("txn_country", "merchant_country"),
             "is_ecom": flag_equals("channel", "ecom"),
@@ -111,4 +117,36 @@ def feature_table(
     df = card_history(txns, cards, approximate)
     df = merchant_history(df, txns, sellers, "approx" if approximate else "exact")
     df = encodings(df, txns, timeline, sellers, prior)
-    return context(df, merchants)
+    return context(df, merchants, sellers)
+
+
+# The longest frame plus the bucket a row may start in.
+LEAD_IN_DAYS = 8
+
+
+def feature_range(
+    txns: DataFrame,
+    merchants: DataFrame,
+    timeline: Timeline,
+    start: str,
+    end: str,
+    approximate: bool = False,
+    prior: float | None = None,
+) -> DataFrame:
+    """Features of the days [start, end) alone, equal to those of a full build.
+
+    Only ``LEAD_IN_DAYS`` of rows before the range are read whole. Of everything older,
+    one row per card, its last, is kept for the time since the last transaction.
+    """
+    lead = str(date.fromisoformat(start) - timedelta(days=LEAD_IN_DAYS))
+    near = prune_dates(txns, lead, end).where(in_range("txn_time", lead, end))
+    older = txns.where(F.col("txn_time") < F.to_timestamp(F.lit(lead)))
+    needed = [c for c in txns.columns if c != "card_id"]
+    last = F.max_by(F.struct(*needed), F.struct(epoch_seconds("txn_time"), F.col("txn_id")))
+    tails = older.groupBy("card_id").agg(last.alias("_t")).select("card_id", "_t.*")
+    cards = profile_keys(near, "card_id", "txn_time")
+    sellers = profile_keys(near, "merchant_id", "txn_time")
+    df = card_history(near.unionByName(tails), cards, approximate).where(in_range("txn_time", start, end))
+    df = merchant_history(df, near, sellers, "approx" if approximate else "exact")
+    df = encodings(df, txns, timeline, profile_keys(txns, "merchant_id"), prior)
+    return context(df, merchants, sellers)

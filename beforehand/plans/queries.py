@@ -20,6 +20,7 @@ TIMELINE = standin.TIMELINE
 HOT_CARD_ROWS = 60
 HOT_MERCHANT_ROWS = 100
 HOT_SLICE_ROWS = 40
+BACKFILL = [("2023-12-01", "2024-01-16"), ("2024-01-16", "2024-03-01")]
 
 
 def _r(*names: str, digits: int = 4):
@@ -62,6 +63,19 @@ def card_rolling_hot_split(spark, sf):
     return df.select("txn_id", *CARD_COUNTS, *_r(*CARD_AMOUNTS, digits=8))
 
 
+def card_rolling_micros(spark, sf):
+    """Frames on the timestamp itself: earlier rows of the same second count."""
+    specs = [Rolling("card_cnt_1h", "count", HOUR), Rolling("card_sum_24h", "sum", DAY, "amount")]
+    df = rolling(txns(spark, sf), "card_id", "txn_time", specs, grain="micro")
+    return df.select("txn_id", "card_cnt_1h", *_r("card_sum_24h"))
+
+
+def merchant_rolling_micros_sweep(spark, sf):
+    specs = [Rolling("merch_cnt_1h", "count", HOUR), Rolling("merch_ncards_24h", "distinct", DAY, "card_id")]
+    df = rolling(txns(spark, sf), "merchant_id", "txn_time", specs, route="sweep", grain="micro")
+    return df.select("txn_id", "merch_cnt_1h", "merch_ncards_24h")
+
+
 def card_distinct_exact(spark, sf):
     specs = [s for s in plan.card_specs() if s.agg == "distinct"]
     return rolling(txns(spark, sf), "card_id", "txn_time", specs).select(
@@ -240,7 +254,7 @@ def join_sort_merge(spark, sf):
 def join_salted(spark, sf):
     lines = _lines(spark, sf)
     hot = profile_keys(lines, "merchant_id", heavy_rows=2 * HOT_MERCHANT_ROWS)
-    return joins.salted_join(lines, _dim(spark, sf), "merchant_id", hot)
+    return joins.salted_join(lines, _dim(spark, sf), "merchant_id", hot, rows_per_salt=HOT_SLICE_ROWS)
 
 
 def join_salted_all_keys(spark, sf):
@@ -524,6 +538,15 @@ def feature_table_approx(spark, sf):
     return _feature_columns(feature_rows(spark, sf, approximate=True))
 
 
+def backfill_by_range(spark, sf):
+    """The feature table built range by range into one folder, then read back."""
+    path = shared_dir(spark, "backfill")
+    t, m = txns(spark, sf), standin.merchants(spark, sf)
+    for start, end in BACKFILL:
+        tables.write_partitioned(plan.feature_range(t, m, TIMELINE, start, end), path)
+    return _feature_columns(tables.read_features(spark, path))
+
+
 # ---- model
 
 
@@ -593,24 +616,34 @@ def label_and_leakage_checks(spark, sf):
 # ---- streaming
 
 
-def stream_hourly_counters(spark, sf):
-    """Hourly counters of a stream of all events; hours the watermark has closed."""
+def _event_stream(spark, sf):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     like = standin.table(spark, sf, "events")
     events = counters.file_stream(spark, like, f"{sf}/events*.parquet")
-    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _drained(spark, stream):
     out = shared_dir(spark, "stream")
-    counters.run_available(
-        counters.bucket_stream(events, "user_id", "ts", "1 hour"), f"{out}/data", f"{out}/checkpoint"
-    )
+    counters.run_available(stream, f"{out}/data", f"{out}/checkpoint")
     return spark.read.parquet(f"{out}/data")
 
 
+def stream_hourly_counters(spark, sf):
+    """Hourly counters of a stream of all events; hours the watermark has closed."""
+    return _drained(spark, counters.bucket_stream(_event_stream(spark, sf), "user_id", "ts", "1 hour"))
+
+
+def stream_rolling_counters(spark, sf):
+    """Per-user counts of the last 24 hours at each hour start, from a stream."""
+    return _drained(spark, counters.rolling_stream(_event_stream(spark, sf), "user_id", "ts", DAY))
+
+
 QUERIES = {
     f.__name__: f
     for f in [
         feature_table_full, card_rolling_counts, card_rolling_amounts, card_rolling_sweep,
-        card_rolling_hot_split, card_distinct_exact, card_distinct_approx, card_declines_10m,
+        card_rolling_hot_split, card_rolling_micros, merchant_rolling_micros_sweep, card_distinct_exact, card_distinct_approx, card_declines_10m,
         card_velocity_ratios, time_since_last, country_changed, since_last_hot_split,
         secs_since_decline, merchant_hourly_buckets, merchant_rolling_bucketed,
         merchant_distinct_hll, merchant_bucket_joinback, merchant_rolling_count_sweep,
@@ -625,6 +658,6 @@ QUERIES = {
         partitioned_roundtrip, pruned_range_scan, catalog_table_roundtrip, clustered_files,
         snapshot_asof_read, snapshot_history, metrics_json_roundtrip, feature_table_approx,
         gbt_scores, importance_topk, calibrated_scores, label_and_leakage_checks,
-        stream_hourly_counters,
+        stream_hourly_counters, stream_rolling_counters, backfill_by_range,
     ]
 }

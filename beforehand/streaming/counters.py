@@ -29,6 +29,23 @@ def bucket_stream(
     )
 
 
+def rolling_stream(
+    stream: DataFrame, key: str, time: str, length: int, step: int = HOUR, late: str = "1 hour"
+) -> DataFrame:
+    """Rows per key over the ``length`` seconds before each bucket start ``hr_ts``.
+
+    The streaming form of rolling over buckets: the value a row of bucket ``hr_ts`` sees.
+    A row enters ``length / step`` windows, summed on the map side before the shuffle.
+    """
+    w = F.window(time, f"{length} seconds", f"{step} seconds").alias("_w")
+    return (
+        stream.withWatermark(time, late)
+        .groupBy(key, w)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(key, F.unix_timestamp("_w.end").alias("hr_ts"), "n")
+    )
+
+
 def dedup_stream(stream: DataFrame, key: str, time: str, late: str = "1 hour") -> DataFrame:
     """Drop repeated deliveries of a key that arrive within the watermark."""
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
