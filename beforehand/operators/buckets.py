@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import epoch_seconds
-from .joins import salted_join
+from .joins import fits_broadcast, salted_join
 from .rolling import DAY, HOUR, WEEK
 from .skew import KeyProfile
 
@@ -78,12 +78,19 @@ def join_buckets(
     profile: KeyProfile | None = None,
     row_key: list[str] | None = None,
 ) -> DataFrame:
-    """Give each row the rolled values of its bucket; rows of hot keys are salted."""
+    """Give each row the rolled values of its bucket.
+
+    With the profile of ``key`` the buckets are broadcast if their bound is small, and
+    beyond that the rows of hot keys are salted.
+    """
     rows = df.withColumn("hr_ts", bucket_start(time, seconds))
-    if profile is not None and profile.heavy:
+    on = [key, "hr_ts"]
+    if profile is None:
+        joined = rows.join(rolled, on, "left")
+    elif fits_broadcast(rolled, profile.max_buckets(seconds)):
+        joined = rows.join(F.broadcast(rolled), on, "left")
+    else:
         joined = salted_join(
-            rows, rolled, [key, "hr_ts"], profile, row_key, "left", group_micros=seconds * 1_000_000
+            rows, rolled, on, profile, row_key, "left", group_micros=seconds * 1_000_000, strategy=None
         )
-    else:
-        joined = rows.join(rolled, [key, "hr_ts"], "left")
     return joined.drop("hr_ts")

@@ -21,24 +21,30 @@ def known_history(
     )
 
 
-def prior_rate(history: DataFrame) -> Column:
-    """Global rate of ``known`` as a scalar subquery: lazy, and an error on no history."""
+def tally(history: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows ``n`` and known positives ``hits`` per combination of ``keys``.
+
+    One tally over several keys feeds the encodings of each and the global rate, so
+    history is read and shuffled once.
+    """
+    return history.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("known").alias("hits"))
+
+
+def prior_rate(tallied: DataFrame) -> Column:
+    """Global rate as a scalar subquery: lazy, and an error on no history."""
     return F.coalesce(
-        history.agg(F.avg("known")).scalar(),
+        tallied.agg(F.try_divide(F.sum("hits"), F.sum("n"))).scalar(),
         F.raise_error(F.lit("no history before hist_end: give a prior")).cast("double"),
     )
 
 
 def target_encoding(
-    history: DataFrame, key: str, name: str | None = None, k: int = SMOOTHING, prior: Column | float | None = None
+    tallied: DataFrame, key: str, name: str | None = None, k: int = SMOOTHING, prior: Column | float | None = None
 ) -> DataFrame:
-    """One row per key: (n * rate + k * prior) / (n + k) over ``history``."""
-    g = prior_rate(history) if prior is None else prior if isinstance(prior, Column) else F.lit(float(prior))
-    return (
-        history.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("known").alias("rate"))
-        .select(key, ((F.col("n") * F.col("rate") + k * g) / (F.col("n") + k)).alias(name or f"{key}_te"))
-    )
+    """One row per key: (hits + k * prior) / (n + k)."""
+    g = prior_rate(tallied) if prior is None else prior if isinstance(prior, Column) else F.lit(float(prior))
+    per_key = tallied.groupBy(key).agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    return per_key.select(key, ((F.col("hits") + k * g) / (F.col("n") + k)).alias(name or f"{key}_te"))
 
 
 def apply_encoding(
@@ -155,7 +161,7 @@ def target_encoding_by_period(
     def next_period(t: Column) -> Column:
         return (F.date_trunc(period, t) + step).alias("period")
 
-    def tally(*by) -> DataFrame:
+    def changes(*by) -> DataFrame:
         rows = df.groupBy(*by, next_period(F.col(time))).agg(
             F.count(F.lit(1)).alias("_n"), F.lit(0).cast("long").alias("_p")
         )
@@ -171,8 +177,8 @@ def target_encoding_by_period(
     # one row per period of the calendar in each ordered group
     keyed = Window.partitionBy(key).orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
     overall = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
-    prior = tally().select("period", (F.sum("_p").over(overall) / F.sum("_n").over(overall)).alias("_g"))
-    versions = tally(key).select(
+    prior = changes().select("period", (F.sum("_p").over(overall) / F.sum("_n").over(overall)).alias("_g"))
+    versions = changes(key).select(
         key, "period", F.sum("_n").over(keyed).alias("n"), F.sum("_p").over(keyed).alias("hits")
     )
     return versions.join(F.broadcast(prior), "period", "left").select(

@@ -53,29 +53,34 @@ def salted_join(
     salts: int = DEFAULT_SALTS,
     rows_per_salt: int = SLICE_ROWS,
     group_micros: int | None = None,
+    strategy: str | None = "merge",
 ) -> DataFrame:
-    """Sort-merge join with each hot key of ``big`` spread over several tasks.
+    """Shuffled join with each hot key of ``big`` spread over several tasks.
 
     The salt is a hash of the row, so a recomputed task gives the same one. A hot key
     gets one salt per ``rows_per_salt`` rows, and only its rows are repeated on the small
     side; all salts together number at most ``MAX_SLICES`` plus one per hot key. If the
     join also matches on time buckets, ``group_micros`` is their length. With
-    ``hot=None`` every key gets ``salts`` salts.
+    ``hot=None`` every key gets ``salts`` salts. ``strategy`` is the join hint, if any.
     """
     if how not in ("inner", "left"):
         raise ValueError("salting repeats the small side: only inner and left are safe")
     on = [on] if isinstance(on, str) else on
     row_hash = F.xxhash64(*(row_key or big.columns))
+    hinted = small.hint(strategy) if strategy else small
     if hot is None:
         left, right = big.withColumn("_salts", F.lit(salts)), small.withColumn("_salts", F.lit(salts))
     else:
         table = _salt_table(big, hot, rows_per_salt, group_micros)
+        if table is None:
+            return big.join(hinted, on, how)
         left, right = (_with_salts(side, hot.key, table) for side in (big, small))
     left = left.withColumn("_salt", F.pmod(row_hash, F.col("_salts")).cast("int")).drop("_salts")
     right = right.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
     ).drop("_salts")
-    return left.join(right.hint("merge"), [*on, "_salt"], how).drop("_salt")
+    right = right.hint(strategy) if strategy else right
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
 def _salt_table(
@@ -85,14 +90,14 @@ def _salt_table(
     counts = []
     for value, n, lo, hi in hot.heavy:
         groups = (hi - lo) // group_micros + 1 if group_micros and lo is not None else 1
-        counts.append((value, max(1, -(-n // (groups * per_salt)))))
+        salts = -(-n // (groups * per_salt))
+        if salts > 1:
+            counts.append((value, salts))
     schema = T.StructType([T.StructField("_hot", hot.key_type), T.StructField("_salts", T.IntegerType())])
     return df.sparkSession.createDataFrame(counts, schema) if counts else None
 
 
-def _with_salts(df: DataFrame, key: str, table: DataFrame | None) -> DataFrame:
-    if table is None:
-        return df.withColumn("_salts", F.lit(1))
+def _with_salts(df: DataFrame, key: str, table: DataFrame) -> DataFrame:
     # at most MAX_HEAVY_KEYS rows
     joined = df.join(F.broadcast(table), F.col(key).eqNullSafe(F.col("_hot")), "left")
     return joined.withColumn("_salts", F.coalesce("_salts", F.lit(1))).drop("_hot")

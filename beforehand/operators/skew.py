@@ -34,9 +34,17 @@ class KeyProfile:
     key_type: T.DataType
     keys: int
     rows: int
+    first: int | None  # micros of the earliest and latest row
+    last: int | None
     heavy: tuple[tuple, ...]  # (value, rows, first micros, last micros), largest first
     truncated: bool  # more heavy keys exist than are listed
 
+    def max_buckets(self, seconds: int) -> int:
+        """Upper bound on the (key, time bucket) pairs that can exist."""
+        if self.first is None:
+            return self.rows
+        return min(self.rows, self.keys * ((self.last - self.first) // (seconds * 1_000_000) + 2))
+
     def is_heavy(self, column: Column | None = None) -> Column:
         if not self.heavy:
             return F.lit(False)
@@ -65,34 +73,55 @@ def profile_keys(
     receives at most ``max_heavy`` + 2 rows. Keys past that limit hold less than
     1/``max_heavy`` of the table each. Rows without a key count as one key.
     """
+    return profile_many(df, [key], time, heavy_rows, max_heavy)[key]
+
+
+def profile_many(
+    df: DataFrame,
+    keys: list[str],
+    time: str | None = None,
+    heavy_rows: int = HEAVY_ROWS,
+    max_heavy: int = MAX_HEAVY_KEYS,
+) -> dict[str, KeyProfile]:
+    """Profiles of several key columns from one job."""
     t = epoch_micros(time) if time else F.lit(None).cast("long")
-    per_key = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi")
-    )
-    top = (
-        per_key.where(F.col("n") > heavy_rows)
-        .orderBy(F.desc("n"), F.asc(key))
-        .limit(max_heavy + 1)
-        .select(F.lit(0).alias("kind"), key, "n", "lo", "hi")
-    )
-    totals = per_key.select(
-        F.lit(1).alias("kind"),
-        F.lit(None).cast(df.schema[key].dataType).alias(key),
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("lo"),
-        F.lit(None).cast("long").alias("hi"),
-    )
-    got = top.unionByName(totals).collect()
-    total = next(r for r in got if r["kind"] == 1)
-    heavy = sorted((r for r in got if r["kind"] == 0), key=lambda r: -r["n"])
-    return KeyProfile(
-        key=key,
-        key_type=df.schema[key].dataType,
-        keys=total["n"],
-        rows=total["lo"],
-        heavy=tuple((r[key], r["n"], r["lo"], r["hi"]) for r in heavy[:max_heavy]),
-        truncated=len(heavy) > max_heavy,
-    )
+    parts = []
+    for i, key in enumerate(keys):
+        per_key = df.groupBy(F.col(key).alias(f"k{i}")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi")
+        )
+        tag = F.lit(i).alias("which")
+        parts.append(
+            per_key.where(F.col("n") > heavy_rows)
+            .orderBy(F.desc("n"), F.asc(f"k{i}"))
+            .limit(max_heavy + 1)
+            .select(tag, f"k{i}", "n", "lo", "hi")
+        )
+        parts.append(
+            per_key.agg(
+                F.count(F.lit(1)).alias("keys"),
+                F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                F.min("lo").alias("lo"),
+                F.max("hi").alias("hi"),
+            ).select(tag, "keys", "n", "lo", "hi")
+        )
+    got = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).collect()
+    found = {}
+    for i, key in enumerate(keys):
+        rows = [r for r in got if r["which"] == i]
+        total = next(r for r in rows if r["keys"] is not None)
+        heavy = sorted((r for r in rows if r["keys"] is None), key=lambda r: -r["n"])
+        found[key] = KeyProfile(
+            key=key,
+            key_type=df.schema[key].dataType,
+            keys=total["keys"],
+            rows=total["n"],
+            first=total["lo"],
+            last=total["hi"],
+            heavy=tuple((r[f"k{i}"], r["n"], r["lo"], r["hi"]) for r in heavy[:max_heavy]),
+            truncated=len(heavy) > max_heavy,
+        )
+    return found
 
 
 def with_slice(

@@ -18,13 +18,14 @@ from ..functions import (
     weekend_flag,
 )
 from ..operators.buckets import bucket_counts, join_buckets, rolling_buckets
-from ..operators.encoding import apply_encoding, known_history, prior_rate, target_encoding
+from ..operators.encoding import apply_encoding, known_history, prior_rate, tally, target_encoding
 from ..operators.joins import lookup_join
 from ..operators.rolling import DAY, HOUR, MINUTE, WEEK, Rolling, rolling, since_last
-from ..operators.skew import KeyProfile, profile_keys
+from ..operators.skew import KeyProfile, profile_keys, profile_many
 from ..sources.schemas import Timeline
 from ..sources.tables import prune_dates
 
+ENCODED = ["merchant_id", "mcc"]
 RISK_CODES = {"high": 2, "med": 1}
 
 
@@ -90,18 +91,23 @@ def context(df: DataFrame, merchants: DataFrame, profile: KeyProfile | None = No
 
 
 def encodings(
-    df: DataFrame, txns: DataFrame, timeline: Timeline, profile: KeyProfile, prior: float | None = None
+    df: DataFrame,
+    txns: DataFrame,
+    timeline: Timeline,
+    profiles: dict[str, KeyProfile],
+    prior: float | None = None,
 ) -> DataFrame:
     """Fraud rate per merchant and per category, from history known at the label cutoff."""
     history = known_history(
         txns, "txn_time", "is_fraud", "label_confirmed_at", timeline.hist_end, timeline.label_cutoff
     )
-    g = prior_rate(history) if prior is None else F.lit(float(prior))
-    by_merchant = target_encoding(history, "merchant_id", prior=g)
-    by_mcc = target_encoding(history, "mcc", prior=g)
-    # an encoding has at most one row per distinct key, which the profile counted
-    df = apply_encoding(df, by_merchant, "merchant_id", g, profile.keys, profile, ["txn_id"])
-    return apply_encoding(df, by_mcc, "mcc", g, row_key=["txn_id"])
+    tallied = tally(history, ENCODED)
+    g = prior_rate(tallied) if prior is None else F.lit(float(prior))
+    for key in ENCODED:
+        # an encoding has at most one row per distinct key, which the profile counted
+        known = profiles[key]
+        df = apply_encoding(df, target_encoding(tallied, key, prior=g), key, g, known.keys, known, ["txn_id"])
+    return df
 
 
 def feature_table(
@@ -112,11 +118,11 @@ def feature_table(
     prior: float | None = None,
 ) -> DataFrame:
     """All feature families joined to the transactions, one row per transaction."""
-    cards = profile_keys(txns, "card_id", "txn_time")
-    sellers = profile_keys(txns, "merchant_id", "txn_time")
-    df = card_history(txns, cards, approximate)
+    profiles = profile_many(txns, ["card_id", *ENCODED], "txn_time")
+    sellers = profiles["merchant_id"]
+    df = card_history(txns, profiles["card_id"], approximate)
     df = merchant_history(df, txns, sellers, "approx" if approximate else "exact")
-    df = encodings(df, txns, timeline, sellers, prior)
+    df = encodings(df, txns, timeline, profiles, prior)
     return context(df, merchants, sellers)
 
 
@@ -144,9 +150,9 @@ def feature_range(
     needed = [c for c in txns.columns if c != "card_id"]
     last = F.max_by(F.struct(*needed), F.struct(epoch_seconds("txn_time"), F.col("txn_id")))
     tails = older.groupBy("card_id").agg(last.alias("_t")).select("card_id", "_t.*")
-    cards = profile_keys(near, "card_id", "txn_time")
-    sellers = profile_keys(near, "merchant_id", "txn_time")
-    df = card_history(near.unionByName(tails), cards, approximate).where(in_range("txn_time", start, end))
+    profiles = profile_many(near, ["card_id", "merchant_id"], "txn_time")
+    sellers = profiles["merchant_id"]
+    df = card_history(near.unionByName(tails), profiles["card_id"], approximate).where(in_range("txn_time", start, end))
     df = merchant_history(df, near, sellers, "approx" if approximate else "exact")
-    df = encodings(df, txns, timeline, profile_keys(txns, "merchant_id"), prior)
+    df = encodings(df, txns, timeline, profile_many(txns, ENCODED), prior)
     return context(df, merchants, sellers)

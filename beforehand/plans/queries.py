@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import ratio_to_baseline, share_with_current
 from ..operators import buckets, encoding, evaluation, joins, model, quality, reports
 from ..operators.rolling import DAY, HOUR, MINUTE, WEEK, Rolling, rolling, since_last, since_last_flagged
-from ..operators.skew import profile_keys
+from ..operators.skew import profile_keys, profile_many
 from ..session import shared_dir
 from ..sources import snapshots, standin, tables
 from ..sources.schemas import MODEL_INPUTS
@@ -177,18 +177,18 @@ def _history(t):
 
 
 def te_merchant_build(spark, sf):
-    te = encoding.target_encoding(_history(txns(spark, sf)), "merchant_id")
+    te = encoding.target_encoding(encoding.tally(_history(txns(spark, sf)), ["merchant_id"]), "merchant_id")
     return te.select("merchant_id", *_r("merchant_id_te", digits=6))
 
 
 def te_mcc_build(spark, sf):
-    te = encoding.target_encoding(_history(txns(spark, sf)), "mcc")
+    te = encoding.target_encoding(encoding.tally(_history(txns(spark, sf)), ["mcc"]), "mcc")
     return te.select("mcc", *_r("mcc_te", digits=6))
 
 
 def te_applied_with_prior(spark, sf):
     t = txns(spark, sf)
-    df = plan.encodings(t, t, TIMELINE, profile_keys(t, "merchant_id", "txn_time"))
+    df = plan.encodings(t, t, TIMELINE, profile_many(t, plan.ENCODED, "txn_time"))
     return df.select("txn_id", *_r("merchant_id_te", "mcc_te", digits=6))
 
 
