@@ -1,0 +1,37 @@
+from datetime import datetime, timedelta
+
+BASE = datetime(2024, 1, 10, 0, 0, 0)
+
+
+def at(seconds: float) -> datetime:
+    return BASE + timedelta(seconds=seconds)
+
+
+def frame(spark, schema: str, *rows):
+    return spark.createDataFrame(list(rows), schema)
+
+
+TXN = (
+    "txn_id long, card_id string, txn_time timestamp, amount double, merchant_id string, mcc long, "
+    "txn_country string, channel string, declined long, is_fraud long, label_confirmed_at timestamp"
+)
+
+
+def txn(txn_id, seconds, card="c", amount=10.0, merchant="m", country="US", channel="ecom", declined=0,
+        fraud=0, confirmed=None, mcc=1):
+    when = seconds if isinstance(seconds, datetime) else at(seconds)
+    return (txn_id, card, when, amount, merchant, mcc, country, channel, declined, fraud, confirmed)
+
+
+def txns(spark, *rows):
+    return frame(spark, TXN, *rows)
+
+
+def by_id(df, *cols):
+    """{txn_id: value} or {txn_id: (values)}."""
+    got = df.select("txn_id", *cols).collect()
+    return {r[0]: r[1] if len(cols) == 1 else tuple(r[1:]) for r in got}
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()

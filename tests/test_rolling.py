@@ -1,0 +1,192 @@
+"""Rolling windows on hand-written rows."""
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from beforehand.operators.rolling import HOUR, Rolling, rolling, since_last, since_last_flagged
+from beforehand.operators.skew import profile_keys
+from beforehand.plans.features import card_history, card_specs
+
+from .helpers import at, by_id, txn, txns
+
+CNT_1H = [Rolling("n", "count", HOUR)]
+ROUTES = ["window", "sweep"]
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_rows_of_the_same_second_do_not_see_each_other(spark, route):
+    df = txns(spark, txn(1, 0), txn(2, 0), txn(3, 1))
+    assert by_id(rolling(df, "card_id", "txn_time", CNT_1H, route), "n") == {1: 0, 2: 0, 3: 2}
+
+
+def test_lag_orders_ties_by_id(spark):
+    df = txns(spark, txn(2, 0), txn(1, 0), txn(3, 1))
+    out = since_last(df, "card_id", "txn_time", "txn_id")
+    assert by_id(out, "secs_since_last") == {1: -1, 2: 0, 3: 1}
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_both_frame_ends_are_included(spark, route):
+    t = 100_000
+    df = txns(spark, txn(1, t - 3601), txn(2, t - 3600), txn(3, t - 1), txn(4, t))
+    assert by_id(rolling(df, "card_id", "txn_time", CNT_1H, route), "n")[4] == 2
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_sub_second_rows_show_at_micro_grain_only(spark, route):
+    df = txns(spark, txn(1, 0.1), txn(2, 0.9))
+    assert by_id(rolling(df, "card_id", "txn_time", CNT_1H, route), "n") == {1: 0, 2: 0}
+    assert by_id(rolling(df, "card_id", "txn_time", CNT_1H, route, grain="micro"), "n") == {1: 0, 2: 1}
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_first_row_has_no_history(spark, route):
+    out = card_history(txns(spark, txn(1, 0)), route=route).first()
+    for name in ("card_cnt_1h", "card_cnt_24h", "card_cnt_7d", "card_nmerch_24h", "card_ncountry_1h",
+                 "card_declines_10m", "country_changed"):
+        assert out[name] == 0
+    assert out["card_sum_24h"] == out["card_sum_7d"] == 0.0
+    assert out["card_mean_7d"] is None
+    assert (out["amt_ratio_7d"], out["amt_over_card_sum_24h"], out["secs_since_last"]) == (-1.0, 1.0, -1)
+
+
+def test_zero_amounts_give_a_null_share(spark):
+    out = card_history(txns(spark, txn(1, 0, amount=0.0), txn(2, 5, amount=0.0)))
+    assert by_id(out, "amt_over_card_sum_24h") == {1: None, 2: None}
+
+
+def test_null_country(spark):
+    df = txns(spark, txn(1, 0, country="US"), txn(2, 1, country=None), txn(3, 2, country="GB"))
+    out = card_history(df)
+    assert by_id(out, "country_changed") == {1: 0, 2: 0, 3: 0}
+    assert by_id(out, "card_ncountry_1h") == {1: 0, 2: 1, 3: 1}
+
+
+def test_declines_leave_the_frame(spark):
+    rows = [txn(i, i * 100, declined=i % 2) for i in range(10)] + [txn(10, 1450)]
+    got = by_id(card_history(txns(spark, *rows)), "card_declines_10m")
+    # row i sees the odd rows among the six before it; row 10 sees seconds 850 to 1449
+    assert [got[i] for i in range(11)] == [0, 0, 1, 1, 2, 2, 3, 3, 3, 3, 1]
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_sums_count_and_means_skip_nulls(spark, route):
+    df = txns(spark, txn(1, 0, amount=None), txn(2, 1, amount=4.0), txn(3, 2, amount=6.0), txn(4, 3))
+    specs = [Rolling("s", "sum", HOUR, "amount"), Rolling("m", "mean", HOUR, "amount"),
+             Rolling("n", "count", HOUR)]
+    out = by_id(rolling(df, "card_id", "txn_time", specs, route), "s", "m", "n")
+    assert out == {1: (0.0, None, 0), 2: (0.0, None, 1), 3: (4.0, 4.0, 2), 4: (10.0, 5.0, 3)}
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_distinct_member_seen_twice_counts_once_and_expires(spark, route):
+    df = txns(
+        spark, txn(1, 0, merchant="a"), txn(2, 1800, merchant="a"), txn(3, 2000, merchant="b"),
+        txn(4, 5400, merchant="c"), txn(5, 5401, merchant="c"),
+    )
+    spec = [Rolling("d", "distinct", HOUR, "merchant_id")]
+    # at 5400 the frame is [1800, 5399]: a and b; at 5401 it is [1801, 5400]: b and c
+    assert by_id(rolling(df, "card_id", "txn_time", spec, route), "d") == {1: 0, 2: 1, 3: 1, 4: 2, 5: 2}
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_rows_without_a_key_form_one_group(spark, route):
+    df = txns(spark, txn(1, 0, card=None), txn(2, 90_000, card=None), txn(3, 90_010, card=None), txn(4, 90_011))
+    spec = [Rolling("n", "count", 7 * 86_400)]
+    assert by_id(rolling(df, "card_id", "txn_time", spec, route), "n") == {1: 0, 2: 1, 3: 2, 4: 0}
+
+
+def test_heavy_rows_without_a_key_are_split_too(spark):
+    rows = [txn(i, i * 977, card=None if i % 3 else "c", country="US" if i % 2 else "GB") for i in range(60)]
+    df = txns(spark, *rows)
+    profile = profile_keys(df, "card_id", "txn_time", heavy_rows=30)
+    assert [h[0] for h in profile.heavy] == [None]
+    kw = dict(changed={"txn_country": "flip"})
+    plain = since_last(df, "card_id", "txn_time", "txn_id", **kw)
+    split = since_last(df, "card_id", "txn_time", "txn_id", profile=profile, slice_rows=5, **kw)
+    assert by_id(plain, "secs_since_last", "flip") == by_id(split, "secs_since_last", "flip")
+    assert by_id(rolling(df, "card_id", "txn_time", CNT_1H, profile=profile), "n") == by_id(
+        rolling(df, "card_id", "txn_time", CNT_1H, "window"), "n"
+    )
+
+
+def test_seconds_since_a_decline(spark):
+    df = txns(spark, txn(1, 0), txn(2, 10, declined=1), txn(3, 25, declined=1), txn(4, 40))
+    out = since_last_flagged(df, "card_id", "txn_time", "txn_id", "declined", "gap")
+    assert by_id(out, "gap") == {1: -1, 2: -1, 3: 15, 4: 15}
+
+
+def test_unknown_route_and_aggregate_are_refused(spark):
+    df = txns(spark, txn(1, 0))
+    with pytest.raises(ValueError):
+        rolling(df, "card_id", "txn_time", CNT_1H, "sideways")
+    with pytest.raises(ValueError):
+        rolling(df, "card_id", "txn_time", [Rolling("x", "median", 5, "amount")], "window")
+
+
+def test_a_frame_that_includes_the_current_second_would_peek(spark):
+    """The property that guards the frames must fail for a frame ending at the row."""
+    df = txns(spark, txn(1, 0), txn(2, 5))
+    w = Window.partitionBy("card_id").orderBy(F.unix_timestamp("txn_time")).rangeBetween(-HOUR, 0)
+    peeking = df.withColumn("n", F.count(F.lit(1)).over(w))
+    honest = rolling(df, "card_id", "txn_time", CNT_1H, "window")
+    assert by_id(peeking, "n") == {1: 1, 2: 2}
+    assert by_id(honest, "n") == {1: 0, 2: 1}
+
+
+def test_nothing_from_the_row_or_later_matters(spark):
+    rows = [
+        txn(i, (i * 7919) % 5000, card="ab"[i % 2], amount=float(i), merchant=f"m{i % 4}",
+            country=("US", "GB", None)[i % 3], declined=i % 2)
+        for i in range(40)
+    ]
+    names = [s.name for s in card_specs()] + ["secs_since_last", "country_changed"]
+    whole = by_id(card_history(txns(spark, *rows)), *names)
+    for cut in (9, 20, 33):
+        t = rows[cut][2]
+        kept = [r for r in rows if r[2] < t] + [rows[cut]]
+        assert by_id(card_history(txns(spark, *kept)), *names)[cut] == whole[cut]
+
+
+def test_window_and_sweep_agree_on_random_rows(spark):
+    """Bursts, ties, NULLs and long gaps on a few keys; both routes and the split."""
+    rnd = __import__("random").Random(7)
+    rows = []
+    for i in range(400):
+        when = rnd.choice([rnd.randrange(0, 900), rnd.randrange(0, 86_400 * 10), 86_400 * 3 + rnd.randrange(3)])
+        rows.append(
+            txn(i, when, card=rnd.choice("aaaab"), amount=rnd.choice([None, 0.0, round(rnd.random() * 100, 2)]),
+                merchant=rnd.choice(["x", "y", "z"]), country=rnd.choice(["US", "GB", None]), declined=rnd.randrange(2))
+        )
+    df = txns(spark, *rows).cache()
+    names = [s.name for s in card_specs()]
+    by_window = by_id(rolling(df, "card_id", "txn_time", card_specs(), "window"), *names)
+    by_sweep = by_id(rolling(df, "card_id", "txn_time", card_specs(), "sweep"), *names)
+    profile = profile_keys(df, "card_id", "txn_time", heavy_rows=200)
+    assert [h[0] for h in profile.heavy] == ["a"]
+    split = by_id(rolling(df, "card_id", "txn_time", card_specs(), profile=profile), *names)
+    for other in (by_sweep, split):
+        assert other.keys() == by_window.keys()
+        for k, want in by_window.items():
+            assert other[k] == pytest.approx(want, abs=1e-6)
+    df.unpersist()
+
+
+def test_truncated_profile_sends_everything_down_the_sweep(spark):
+    df = txns(spark, *[txn(i, i, card="abc"[i % 3]) for i in range(30)])
+    profile = profile_keys(df, "card_id", "txn_time", heavy_rows=5, max_heavy=1)
+    assert profile.truncated and len(profile.heavy) == 1 and profile.keys == 3 and profile.rows == 30
+    got = by_id(rolling(df, "card_id", "txn_time", CNT_1H, profile=profile), "n")
+    assert got == {i: i // 3 for i in range(30)}
+
+
+def test_profile_of_an_empty_table(spark):
+    df = txns(spark, txn(1, 0)).where("txn_id < 0")
+    profile = profile_keys(df, "card_id", "txn_time")
+    assert (profile.keys, profile.rows, profile.heavy) == (0, 0, ())
+    assert rolling(df, "card_id", "txn_time", CNT_1H, profile=profile).count() == 0
+
+
+def test_at_helper():
+    assert (at(5) - at(0)).seconds == 5
