@@ -182,7 +182,7 @@ def test_tune_on_one_set_and_report_on_another(spark):
     report = scored(spark, [(0.45, 1, 7.0), (0.405, 0, 1.0), (0.2, 1, 3.0)], schema)
     best = evaluation.best_threshold(evaluation.cost_curve(tune, "p", "y", "amount")).select("threshold")
     out = evaluation.confusion_at(report, "p", "y", best.scalar(), "amount").first()
-    assert (out.tp, out.fp, out.fn, out.tn, out.missed) == (1, 0, 1, 0, 3.0)
+    assert (out.tp, out.fp, out.fn, out.tn, out.missed) == (1, 0, 1, 1, 3.0)
 
 
 # ---- reports
