@@ -147,12 +147,14 @@ def feature_range(
     lead = str(date.fromisoformat(start) - timedelta(days=LEAD_IN_DAYS))
     near = prune_dates(txns, lead, end).where(in_range("txn_time", lead, end))
     older = txns.where(F.col("txn_time") < F.to_timestamp(F.lit(lead)))
-    needed = [c for c in txns.columns if c != "card_id"]
-    last = F.max_by(F.struct(*needed), F.struct(epoch_seconds("txn_time"), F.col("txn_id")))
+    # all that the time since the last transaction looks at; no frame reaches back to them
+    last = F.max_by(
+        F.struct("txn_id", "txn_time", "txn_country"), F.struct(epoch_seconds("txn_time"), F.col("txn_id"))
+    )
     tails = older.groupBy("card_id").agg(last.alias("_t")).select("card_id", "_t.*")
     profiles = profile_many(near, ["card_id", "merchant_id"], "txn_time")
     sellers = profiles["merchant_id"]
-    df = card_history(near.unionByName(tails), profiles["card_id"], approximate).where(in_range("txn_time", start, end))
+    df = card_history(near.unionByName(tails, allowMissingColumns=True), profiles["card_id"], approximate).where(in_range("txn_time", start, end))
     df = merchant_history(df, near, sellers, "approx" if approximate else "exact")
     df = encodings(df, txns, timeline, profile_many(txns, ENCODED), prior)
     return context(df, merchants, sellers)
