@@ -10,6 +10,7 @@ from .joins import LINEAR_HEAVY_ROWS, lookup_join
 from .skew import SLICE_ROWS, KeyProfile, null_safe_join, profile_keys, running_totals
 
 SMOOTHING = 20
+DAY_MICROS = 86_400_000_000
 
 
 def known_history(
@@ -128,7 +129,7 @@ def target_encoding_asof(
     )
     if heavy is not None:
         # widths follow the densest heavy key; rows of one instant collapse first
-        width = max(1, min((hi - lo + 1) * slice_rows // n for _, n, lo, hi in profile.heavy))
+        width = profile.slice_micros(DAY_MICROS, slice_rows)
         events = (
             heavy.select(key, "_us", "_n", "_p")
             .unionByName(heavy_hits)

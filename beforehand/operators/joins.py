@@ -28,16 +28,6 @@ def fits_broadcast(small: DataFrame, rows: int | None = None, limit: int = BROAD
     return estimated_bytes(small.schema, small.count() if rows is None else rows) <= limit
 
 
-def broadcast_join(
-    big: DataFrame, small: DataFrame, on: str, how: str = "inner", rows: int | None = None,
-    limit: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Hash join without moving ``big``; refuses a side that is not small."""
-    if not fits_broadcast(small, rows, limit):
-        raise ValueError("the small side is beyond the broadcast limit; use salted_join")
-    return big.join(F.broadcast(small), on, how)
-
-
 def merge_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """Sort-merge join: both sides move by key."""
     return big.join(small.hint("merge"), on, how)
@@ -111,9 +101,14 @@ def lookup_join(
     rows: int | None = None,
     profile: KeyProfile | None = None,
     row_key: list[str] | None = None,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Attach ``small`` to every row of ``big``: broadcast while it is small, salted beyond."""
-    if fits_broadcast(small, rows):
+    """Attach ``small`` to the rows of ``big``.
+
+    A small side is broadcast, so ``big`` does not move; beyond ``limit`` bytes both are
+    shuffled with the hot keys of ``big`` salted.
+    """
+    if fits_broadcast(small, rows, limit):
         return big.join(F.broadcast(small), on, how)
     profile = profile or profile_keys(big, on, heavy_rows=LINEAR_HEAVY_ROWS)
     return salted_join(big, small, on, profile, row_key, how=how)

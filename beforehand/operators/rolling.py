@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_micros, epoch_seconds
-from .skew import KeyProfile, null_safe_join, previous_row, profile_keys, running_totals
+from .skew import KeyProfile, next_instant, null_safe_join, previous_row, profile_keys, running_totals
 
 MINUTE, HOUR, DAY = 60, 3600, 86_400
 WEEK = 7 * DAY
@@ -61,15 +61,23 @@ def rolling(
         elif profile.heavy:
             light, heavy = profile.split(df)
             both = _by_window(light, key, at, specs, tick).unionByName(
-                _by_sweep(heavy, key, at, specs, tick)
+                _by_sweep(heavy, key, at, specs, tick, _slice_width(tick, profile))
             )
             return both.drop(*added)
         else:
             route = "window"
     if route not in ("window", "sweep"):
         raise ValueError(f"unknown route {route!r}")
-    by = _by_window if route == "window" else _by_sweep
-    return by(df, key, at, specs, tick).drop(*added)
+    if route == "window":
+        return _by_window(df, key, at, specs, tick).drop(*added)
+    return _by_sweep(df, key, at, specs, tick, _slice_width(tick, profile)).drop(*added)
+
+
+def _slice_width(tick: int, profile: KeyProfile | None) -> int:
+    """A day of whole seconds bounds a slice by itself; microseconds follow the densest key."""
+    if tick == 1:
+        return DAY
+    return profile.slice_micros(HOUR * tick) if profile else HOUR * tick
 
 
 def _integral(df: DataFrame, column: str) -> bool:
@@ -97,7 +105,7 @@ def _by_window(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int
     return df.withColumns({s.name: value(s) for s in specs})
 
 
-def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int) -> DataFrame:
+def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int, width: int) -> DataFrame:
     """All rows of one key and instant share their rolling values, so work at that grain.
 
     Rows are first summed per (key, instant). A value enters after its instant and leaves
@@ -141,10 +149,9 @@ def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int)
             for m, n in gone
         ],
     )
-    parts = [events] + [_member_events(df, key, at, c, n, tick) for c, n in members]
+    parts = [events] + [_member_events(df, key, at, c, n * tick, width, f"_dst_{c}_{n}") for c, n in members]
     events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     inclusive = [f"_out_{m}_{n}" for m, n in gone] + [f"_dst_{c}_{n}" for c, n in members]
-    width = DAY if tick == 1 else HOUR * tick
     swept = running_totals(events, key, "_at", inclusive, [f"_in_{m}" for m in seen], width).where("_ask")
 
     def left(m: str, n: int) -> Column:
@@ -166,14 +173,15 @@ def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int)
     return null_safe_join(df, result, [key, at]).fillna(zeros)
 
 
-def _member_events(df: DataFrame, key: str, at: str, column: str, seconds: int, tick: int) -> DataFrame:
+def _member_events(
+    df: DataFrame, key: str, at: str, column: str, ticks: int, width: int, name: str
+) -> DataFrame:
     """+1 when a member becomes visible in the frame, -1 when it no longer is."""
     members = df.where(F.col(column).isNotNull())
     seen = members.select(key, F.col(column).alias("_m"), F.col(at).alias("_at")).distinct()
-    # at most one row per instant of the calendar, however many rows the member has
-    again = F.lead("_at").over(Window.partitionBy(key, "_m").orderBy("_at"))
+    seen = next_instant(seen, [key, "_m"], "_at", width, "_again")
     # least() skips a NULL
-    spans = seen.select(key, "_at", F.least(F.col("_at") + seconds * tick, again).alias("_last"))
+    spans = seen.select(key, "_at", F.least(F.col("_at") + ticks, F.col("_again")).alias("_last"))
     steps = F.array(
         F.struct((F.col("_at") + 1).alias("at"), F.lit(1).cast("long").alias("d")),
         F.struct((F.col("_last") + 1).alias("at"), F.lit(-1).cast("long").alias("d")),
@@ -181,7 +189,7 @@ def _member_events(df: DataFrame, key: str, at: str, column: str, seconds: int,
     return (
         spans.select(key, F.explode(steps).alias("_e"))
         .groupBy(key, F.col("_e.at").alias("_at"))
-        .agg(F.sum("_e.d").alias(f"_dst_{column}_{seconds}"))
+        .agg(F.sum("_e.d").alias(name))
         .withColumn("_ask", F.lit(False))
     )
 

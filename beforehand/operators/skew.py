@@ -39,6 +39,11 @@ class KeyProfile:
     heavy: tuple[tuple, ...]  # (value, rows, first micros, last micros), largest first
     truncated: bool  # more heavy keys exist than are listed
 
+    def slice_micros(self, longest: int, slice_rows: int = SLICE_ROWS) -> int:
+        """Slice length at which the densest heavy key averages ``slice_rows`` rows."""
+        fits = ((hi - lo + 1) * slice_rows // n for _, n, lo, hi in self.heavy)
+        return max(1, min([longest, *fits]))
+
     def max_buckets(self, seconds: int) -> int:
         """Upper bound on the (key, time bucket) pairs that can exist."""
         if self.first is None:
@@ -203,6 +208,27 @@ def previous_row(
     )
 
 
+def next_instant(df: DataFrame, group: list[str], at: str, width: int, name: str) -> DataFrame:
+    """Add the group's next ``at`` (NULL on the last); rows must be distinct in both.
+
+    Worked on per (group, slice of ``width``); the last row of a slice takes the first
+    instant of the next slice that has any.
+    """
+    df = df.withColumns(
+        {"_group": F.struct(*group), "_slice": F.col(at) - F.pmod(F.col(at), F.lit(width))}
+    )
+    firsts = df.groupBy("_group", "_slice").agg(F.min(at).alias("_first"))
+    by_slice = Window.partitionBy("_group").orderBy("_slice")
+    following = firsts.select("_group", "_slice", F.lead("_first").over(by_slice).alias("_after"))
+    inside = Window.partitionBy("_group", "_slice").orderBy(at)
+    return (
+        df.withColumn(name, F.lead(at).over(inside))
+        .join(following, ["_group", "_slice"], "left")
+        .withColumn(name, F.coalesce(name, "_after"))
+        .drop("_group", "_slice", "_after")
+    )
+
+
 def running_totals(
     events: DataFrame,
     key: str,

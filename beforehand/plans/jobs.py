@@ -77,7 +77,7 @@ def skew(spark: SparkSession, raw: str, merchants: str, partitions: int = 32) ->
         ),
         "sort_merge": joins.merge_join(txns, dim, "merchant_id"),
         "salted": joins.salted_join(txns, dim, "merchant_id", hot, ["txn_id"]),
-        "broadcast": joins.broadcast_join(txns, dim, "merchant_id"),
+        "broadcast": joins.lookup_join(txns, dim, "merchant_id", "inner", profile=hot, row_key=["txn_id"]),
     }
 
 

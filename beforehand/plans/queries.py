@@ -262,7 +262,7 @@ def join_salted_all_keys(spark, sf):
 
 
 def join_broadcast(spark, sf):
-    return joins.broadcast_join(_lines(spark, sf), _dim(spark, sf), "merchant_id")
+    return joins.lookup_join(_lines(spark, sf), _dim(spark, sf), "merchant_id", how="inner")
 
 
 def join_lookup_left(spark, sf):

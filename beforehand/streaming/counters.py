@@ -9,6 +9,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.rolling import HOUR
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def bucket_stream(
     stream: DataFrame, key: str, time: str, late: str = "1 hour", seconds: int = HOUR, member: str | None = None
 ) -> DataFrame:
@@ -60,7 +64,14 @@ def file_stream(spark: SparkSession, like: DataFrame, path: str, files_per_batch
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process all waiting input into parquet files, exactly once, then stop."""
+    """Process all waiting input into parquet files, exactly once, then stop.
+
+    State is kept in RocksDB unless the session names another store, so it may outgrow
+    executor memory.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(STATE_STORE).endswith(".HDFSBackedStateStoreProvider"):
+        conf.set(STATE_STORE, ROCKSDB)
     query = (
         df.writeStream.format("parquet")
         .outputMode("append")

@@ -59,7 +59,7 @@ def cases(spark) -> dict:
         "join_salted": lambda: joins.salted_join(
             lines, dim, "merchant_id", profile_keys(lines, "merchant_id"), rows_per_salt=10_000
         ),
-        "join_broadcast": lambda: joins.broadcast_join(lines, dim, "merchant_id"),
+        "join_broadcast": lambda: joins.lookup_join(lines, dim, "merchant_id", how="inner"),
         "asof_lookup": lambda: queries.asof_lookup(spark, sf),
         "metric_curve": lambda: evaluation.ranking_metrics(
             evaluation.score_curve(scored, "score", "is_fraud", ["split"]), ["split"]

@@ -150,7 +150,7 @@ def test_all_join_strategies_give_the_same_rows(spark):
     assert rows(joins.merge_join(big, small, "key")) == want
     assert rows(joins.salted_join(big, small, "key", hot, rows_per_salt=10)) == want
     assert rows(joins.salted_join(big, small, "key", None)) == want
-    assert rows(joins.broadcast_join(big, small, "key")) == want
+    assert rows(joins.lookup_join(big, small, "key", how="inner")) == want
     left = rows(big.join(small, "key", "left"))
     assert rows(joins.salted_join(big, small, "key", hot, how="left", rows_per_salt=10)) == left
     assert rows(joins.lookup_join(big, small, "key")) == left
@@ -162,14 +162,13 @@ def test_join_plans(spark):
     merged = plan_of(joins.merge_join(big, small, "key"))
     assert "SortMergeJoin" in merged and "Broadcast" not in merged
     assert "SortMergeJoin" in plan_of(joins.salted_join(big, small, "key", hot, rows_per_salt=10))
-    cast = plan_of(joins.broadcast_join(big, small, "key"))
+    cast = plan_of(joins.lookup_join(big, small, "key", how="inner"))
     assert "BroadcastHashJoin" in cast and "Exchange hashpartitioning" not in cast
 
 
 def test_a_large_side_is_not_broadcast(spark):
     big, small = skewed(spark)
-    with pytest.raises(ValueError):
-        joins.broadcast_join(big, small, "key", limit=10)
+    assert "SortMergeJoin" in plan_of(joins.lookup_join(big, small, "key", limit=10))
     assert not joins.fits_broadcast(small, rows=10**9)
     out = joins.lookup_join(big, small, "key", rows=10**9, profile=profile_keys(big, "key", heavy_rows=50))
     assert "BroadcastHashJoin [key" not in plan_of(out)
