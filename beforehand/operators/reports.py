@@ -22,7 +22,19 @@ def top_keys(df: DataFrame, key: str, k: int = 3) -> DataFrame:
 
 def partition_sizes(df: DataFrame) -> DataFrame:
     """Rows per non-empty partition: count, upper median, max, max over median."""
-    sizes = df.groupBy(F.spark_partition_id().alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    return _size_summary(df, F.spark_partition_id())
+
+
+def shuffle_sizes(df: DataFrame, keys: list[Column | str], partitions: int) -> DataFrame:
+    """What ``partition_sizes`` would say after hash partitioning on ``keys``.
+
+    Counts by the hash a shuffle assigns, with a map-side combine, so no row moves.
+    """
+    return _size_summary(df, F.pmod(F.hash(*keys), F.lit(partitions)))
+
+
+def _size_summary(df: DataFrame, part: Column) -> DataFrame:
+    sizes = df.groupBy(part.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
     # one number per partition
     ordered = sizes.agg(F.sort_array(F.collect_list("_n")).alias("_s"))
     middle = F.element_at("_s", (F.floor(F.size("_s") / 2) + 1).cast("int"))
@@ -34,6 +46,13 @@ def partition_sizes(df: DataFrame) -> DataFrame:
     )
 
 
+def input_partitions(df: DataFrame) -> DataFrame:
+    """How many non-empty partitions the rows come in."""
+    return df.select(F.spark_partition_id().alias("_pid")).distinct().agg(
+        F.count(F.lit(1)).alias("partitions")
+    )
+
+
 def class_profile(df: DataFrame, label: str, means: dict[str, tuple[str, int]]) -> DataFrame:
     """Rounded means per class: output name -> (column, digits)."""
     return (

@@ -256,6 +256,11 @@ SELECT merchant_id, CAST(epoch(acc.period) AS BIGINT) AS period_ts, CAST(n AS BI
     "key_skew_report": q("""SELECT merchant_id, count(*) AS n,
  round(count(*) / (SELECT count(*) FROM txn), 6) AS share FROM txn GROUP BY merchant_id"""),
     "key_skew_topk": q("SELECT merchant_id, count(*) AS n FROM lines GROUP BY 1 ORDER BY n DESC, merchant_id LIMIT 3"),
+    "ranked_share_report": q("""SELECT CAST(mcc AS VARCHAR) AS feature, count(*) AS n,
+ round(count(*) * 100.0 / (SELECT count(*) FROM txn), 1)::DOUBLE AS n_pct FROM txn GROUP BY mcc"""),
+    "key_attribute_lookup": q("""SELECT d.mcc, count(*) AS n,
+ round(CAST(sum(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE), 2) AS total
+ FROM lines l LEFT JOIN dim d ON d.merchant_id = l.merchant_id GROUP BY d.mcc"""),
     "dedup_transactions": q("SELECT txn_id, card_id, merchant_id, amount, is_fraud FROM txn"),
     "quality_checks": q("""c AS (SELECT count(*) AS n, count(DISTINCT txn_id) AS d,
  sum(CASE WHEN label_confirmed_at IS NULL THEN 1 ELSE 0 END) / count(*) AS a,

@@ -71,10 +71,8 @@ def skew(spark: SparkSession, raw: str, merchants: str, partitions: int = 32) ->
     hot = profile_keys(txns, "merchant_id")
     return {
         "top_keys": reports.top_keys(txns, "merchant_id", 3),
-        "by_key": reports.partition_sizes(txns.repartition(partitions, "merchant_id")),
-        "by_key_and_salt": reports.partition_sizes(
-            txns.withColumn("salt", salt).repartition(partitions, "merchant_id", "salt")
-        ),
+        "by_key": reports.shuffle_sizes(txns, ["merchant_id"], partitions),
+        "by_key_and_salt": reports.shuffle_sizes(txns, ["merchant_id", salt], partitions),
         "sort_merge": joins.merge_join(txns, dim, "merchant_id"),
         "salted": joins.salted_join(txns, dim, "merchant_id", hot, ["txn_id"]),
         "broadcast": joins.lookup_join(txns, dim, "merchant_id", "inner", profile=hot, row_key=["txn_id"]),

@@ -297,11 +297,32 @@ def key_skew_topk(spark, sf):
     return reports.top_keys(_lines(spark, sf), "merchant_id", 3).select("merchant_id", "n")
 
 
+def ranked_share_report(spark, sf):
+    """Rows per category with their percentage, through a CSV file."""
+    counts = reports.key_skew(txns(spark, sf), "mcc").select(F.col("mcc").cast("string").alias("feature"), "n")
+    path = shared_dir(spark, "ranked")
+    tables.write_importance(reports.ranked_share(counts, "feature", "n"), path)
+    return tables.read_importance(spark, path, "feature string, n long, n_pct double")
+
+
+def key_attribute_lookup(spark, sf):
+    """Each line's merchant category, looked up by key."""
+    dim = standin.merchants(spark, sf).select("merchant_id", "mcc")
+    found = joins.lookup_join(_lines(spark, sf), dim, "merchant_id")
+    return found.groupBy("mcc").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double"), 2).alias("total")
+    )
+
+
+def input_partitions(spark, sf):
+    return reports.input_partitions(txns(spark, sf))
+
+
 def partition_skew(spark, sf):
     lines = _lines(spark, sf)
-    salted = lines.withColumn("salt", F.pmod(F.xxhash64(*lines.columns), F.lit(joins.DEFAULT_SALTS)))
-    plain = reports.partition_sizes(lines.repartition(32, "merchant_id"))
-    spread = reports.partition_sizes(salted.repartition(32, "merchant_id", "salt"))
+    salt = F.pmod(F.xxhash64(*lines.columns), F.lit(joins.DEFAULT_SALTS))
+    plain = reports.shuffle_sizes(lines, ["merchant_id"], 32)
+    spread = reports.shuffle_sizes(lines, ["merchant_id", salt], 32)
     return plain.withColumn("layout", F.lit("key")).unionByName(spread.withColumn("layout", F.lit("key+salt")))
 
 
@@ -651,7 +672,7 @@ QUERIES = {
         te_merchant_row_asof, te_row_asof_hot_split, te_weekly_versions, dim_enrich_context,
         calendar_context, join_sort_merge, join_salted, join_salted_all_keys, join_broadcast,
         join_lookup_left, asof_lookup, asof_lookup_hot_split, key_skew_report, key_skew_topk,
-        partition_skew, dedup_transactions, quality_checks, quality_gate, dataset_profile,
+        ranked_share_report, key_attribute_lookup, input_partitions, partition_skew, dedup_transactions, quality_checks, quality_gate, dataset_profile,
         label_maturity, temporal_split_counts, union_splits, class_weight, honest_labels,
         class_profile, amount_drift, average_precision, roc_auc, metrics_by_split, recall_at_fpr,
         recall_at_fpr_corners, cost_curve, cost_threshold, confusion_at_threshold,

@@ -134,3 +134,9 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 def write_importance(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+
+
+def read_importance(
+    spark: SparkSession, path: str, schema: str = "feature string, gain double, gain_pct double"
+) -> DataFrame:
+    return spark.read.schema(schema).csv(path, header=True)

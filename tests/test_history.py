@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from beforehand.operators import encoding, joins
 from beforehand.operators.buckets import bucket_counts, rolling_buckets
-from beforehand.operators.reports import partition_sizes
+from beforehand.operators.reports import partition_sizes, shuffle_sizes
 from beforehand.operators.skew import profile_keys, profile_many
 from beforehand.plans import features as plan
 from beforehand.sources.schemas import Timeline
@@ -187,6 +187,8 @@ def test_salt_evens_out_partitions(spark):
     before = partition_sizes(big.repartition(16, "key")).first()
     after = partition_sizes(big.withColumn("s", salt).repartition(16, "key", "s")).first()
     assert after.max_rows < before.max_rows
+    assert shuffle_sizes(big, ["key"], 16).first() == before
+    assert shuffle_sizes(big.withColumn("s", salt), ["key", "s"], 16).first() == after
     assert before.partitions <= 16
 
 
