@@ -49,15 +49,26 @@ def card_history(
 ) -> DataFrame:
     """Per-card counts, sums, velocity and time since the last transaction.
 
-    Ordering by (second, id) first lets the rolling frames reuse the sort.
+    Light and heavy cards part ways first, so all windows of the light ones share one
+    shuffle, and ordering by (second, id) lets the rolling frames reuse the sort.
     """
     profile = profile or profile_keys(txns, "card_id", "txn_time")
-    df = txns.withColumn("_ts", epoch_seconds("txn_time"))
-    df = since_last(
-        df, "card_id", "_ts", "txn_id", changed={"txn_country": "country_changed"}, profile=profile
-    )
-    df = rolling(df, "card_id", "_ts", card_specs(approximate), route, profile).drop("_ts")
-    return df.withColumns(
+
+    def windows(rows: DataFrame, route: str, profile: KeyProfile | None = None) -> DataFrame:
+        seen = since_last(
+            rows, "card_id", "_ts", "txn_id", changed={"txn_country": "country_changed"}, profile=profile
+        )
+        return rolling(seen, "card_id", "_ts", card_specs(approximate), route, profile)
+
+    rows = txns.withColumn("_ts", epoch_seconds("txn_time"))
+    if route == "auto":
+        light, heavy = profile.split(rows)
+        df = windows(light, "sweep" if profile.truncated else "window")
+        if heavy is not None:
+            df = df.unionByName(windows(heavy, "sweep", profile))
+    else:
+        df = windows(rows, route, profile)
+    return df.drop("_ts").withColumns(
         {
             "amt_ratio_7d": ratio_to_baseline("amount", "card_mean_7d"),
             "amt_over_card_sum_24h": share_with_current("amount", "card_sum_24h"),

@@ -20,19 +20,35 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+# Shuffles and scans of a cluster. Many partitions to start with, which the
+# adaptive planner merges to the advisory size.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+}
+
 _local_root: str | None = None
 
 
 def build_session(app: str = "beforehand", master: str | None = None, **extra) -> SparkSession:
-    """A session with the engine's settings; ``extra`` uses ``__`` for dots."""
+    """A session with the engine's settings; ``extra`` uses ``__`` for dots.
+
+    Away from a local master the cluster settings apply too.
+    """
+    given = {name.replace("__", "."): str(value) for name, value in extra.items()}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in SETTINGS.items():
+    for name, value in {**SETTINGS, **given}.items():
         builder = builder.config(name, value)
-    for name, value in extra.items():
-        builder = builder.config(name.replace("__", "."), str(value))
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        for name, value in {**CLUSTER_SETTINGS, **given}.items():
+            if name in CLUSTER_SETTINGS:
+                spark.conf.set(name, value)
+    return spark
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:

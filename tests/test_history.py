@@ -1,5 +1,6 @@
 """Buckets, encodings, context and joins on hand-written rows."""
 
+import re
 from collections import Counter
 from datetime import datetime
 
@@ -232,6 +233,19 @@ def test_card_windows_share_one_exchange_and_one_sort(spark):
     assert plan_text.count("Sort [card_id") == 1
 
 
+def test_light_cards_share_one_exchange_beside_a_heavy_one(spark):
+    df, _ = pipeline_input(spark)
+    one = df.withColumn("card_id", F.when(F.col("txn_id") % 3 == 0, "big").otherwise(F.col("card_id")))
+    profile = profile_keys(one, "card_id", "txn_time", heavy_rows=40)
+    assert [h[0] for h in profile.heavy] == ["big"]
+    out = plan.card_history(one, profile)
+    # by card alone: the light windows, and the small table of slice ends
+    assert len(re.findall(r"Exchange hashpartitioning\(card_id#\d+, \d+\)", plan_of(out))) == 2
+    a = by_id(out, "secs_since_last", "country_changed", "card_cnt_7d", "card_nmerch_24h")
+    b = by_id(plan.card_history(one), "secs_since_last", "country_changed", "card_cnt_7d", "card_nmerch_24h")
+    assert a == b
+
+
 def test_encodings_are_lazy(spark):
     df, _ = pipeline_input(spark)
     sc = spark.sparkContext
