@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from ..functions import in_range
 
-SCORE_RANGES = 200
+MIN_RANGES, MAX_RANGES = 200, 5_000
 FPR_TARGETS = (0.01, 0.001)
 COST_GRID = (0.05, 0.95, 91)
 FALSE_DECLINE_COST = 5.0
+MONEY = "decimal(28,6)"
 
 
 def temporal_split(df: DataFrame, time: str, ranges: dict[str, tuple], name: str = "split") -> DataFrame:
@@ -51,18 +52,26 @@ def score_counts(df: DataFrame, score: str, label: str, by: list[str] | None = N
     )
 
 
+def _default_ranges(df: DataFrame) -> int:
+    conf = df.sparkSession.conf
+    shuffle = conf.get("spark.sql.shuffle.partitions")
+    partitions = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", shuffle)
+    return max(MIN_RANGES, min(MAX_RANGES, int(partitions)))
+
+
 def score_curve(
-    df: DataFrame, score: str, label: str, by: list[str] | None = None, ranges: int = SCORE_RANGES
+    df: DataFrame, score: str, label: str, by: list[str] | None = None, ranges: int | None = None
 ) -> DataFrame:
     """Cumulative ``tp`` and ``fp`` at each distinct score, from the highest down.
 
     Scores are cut into ranges of about equal size; each range is summed in its own task
-    and started at the totals of the higher ranges. The driver sees ``ranges`` numbers.
+    and started at the totals of the higher ranges. There are as many ranges as shuffle
+    partitions, within limits, and the driver sees one number for each.
     """
     by = by or []
-    cuts = df.agg(
-        F.percentile_approx(F.col(score).cast("double"), [i / ranges for i in range(1, ranges)], 10_000)
-    ).first()[0]
+    ranges = ranges or _default_ranges(df)
+    at = [i / ranges for i in range(1, ranges)]
+    cuts = df.agg(F.percentile_approx(F.col(score).cast("double"), at, 50 * ranges)).first()[0]
     edges = sorted(set(cuts)) if cuts else [0.0]
     counts = _bucketed(score_counts(df, score, label, by), "score", edges, "range").withColumn("_g", _group(by))
     sums = counts.groupBy("_g", "range").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
@@ -176,7 +185,7 @@ def cost_curve(
         _bucketed(df.withColumn("_p", F.col(score).cast("double")), "_p", thresholds, "bin")
         .groupBy("bin")
         .agg(
-            F.sum(F.when(is_pos, F.col(amount).cast("decimal(18,2)"))).alias("_lost"),
+            F.sum(F.when(is_pos, F.col(amount).cast(MONEY))).alias("_lost"),
             F.sum(F.when(is_pos, 1).otherwise(0)).alias("_pos"),
             F.sum(F.when(is_pos, 0).otherwise(1)).alias("_neg"),
         )
@@ -235,7 +244,7 @@ def confusion_at(
         count(flagged & ~pos).alias("fp"),
         count(~flagged & pos).alias("fn"),
         count(~flagged & ~pos).alias("tn"),
-        *([F.coalesce(F.sum(F.when(~flagged & pos, F.col(amount).cast("decimal(18,2)"))), F.lit(0))
+        *([F.coalesce(F.sum(F.when(~flagged & pos, F.col(amount).cast(MONEY))), F.lit(0))
            .cast("double").alias("missed")] if amount else []),
     )
     return out.withColumns(

@@ -149,7 +149,7 @@ def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int,
             for m, n in gone
         ],
     )
-    parts = [events] + [_member_events(df, key, at, c, n * tick, width, f"_dst_{c}_{n}") for c, n in members]
+    parts = [events] + [_member_events(df, key, at, c, n, tick, width) for c, n in members]
     events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     inclusive = [f"_out_{m}_{n}" for m, n in gone] + [f"_dst_{c}_{n}" for c, n in members]
     swept = running_totals(events, key, "_at", inclusive, [f"_in_{m}" for m in seen], width).where("_ask")
@@ -174,14 +174,19 @@ def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int,
 
 
 def _member_events(
-    df: DataFrame, key: str, at: str, column: str, ticks: int, width: int, name: str
+    df: DataFrame, key: str, at: str, column: str, seconds: int, tick: int, width: int
 ) -> DataFrame:
     """+1 when a member becomes visible in the frame, -1 when it no longer is."""
     members = df.where(F.col(column).isNotNull())
     seen = members.select(key, F.col(column).alias("_m"), F.col(at).alias("_at")).distinct()
-    seen = next_instant(seen, [key, "_m"], "_at", width, "_again")
+    if tick == 1:
+        # at most one row per second of the calendar, however many rows the member has
+        again = F.lead("_at").over(Window.partitionBy(key, "_m").orderBy("_at"))
+        seen = seen.withColumn("_again", again)
+    else:
+        seen = next_instant(seen, [key, "_m"], "_at", width, "_again")
     # least() skips a NULL
-    spans = seen.select(key, "_at", F.least(F.col("_at") + ticks, F.col("_again")).alias("_last"))
+    spans = seen.select(key, "_at", F.least(F.col("_at") + seconds * tick, F.col("_again")).alias("_last"))
     steps = F.array(
         F.struct((F.col("_at") + 1).alias("at"), F.lit(1).cast("long").alias("d")),
         F.struct((F.col("_last") + 1).alias("at"), F.lit(-1).cast("long").alias("d")),
@@ -189,7 +194,7 @@ def _member_events(
     return (
         spans.select(key, F.explode(steps).alias("_e"))
         .groupBy(key, F.col("_e.at").alias("_at"))
-        .agg(F.sum("_e.d").alias(name))
+        .agg(F.sum("_e.d").alias(f"_dst_{column}_{seconds}"))
         .withColumn("_ask", F.lit(False))
     )
 

@@ -143,6 +143,8 @@ def with_slice(
     """
     if not profile.heavy:
         return df.withColumn(name, F.lit(0).cast("long"))
+    if profile.first is None:
+        raise ValueError("time slices need a profile taken with a time column")
     per_slice = max(slice_rows, -(-profile.rows // MAX_SLICES))
     widths = [
         (value, lo, max(1, -(-(hi - lo + 1) * per_slice // n)))

@@ -278,3 +278,28 @@ def test_range_build_equals_whole_build(spark):
     assert part and set(part) == {k for k, r in whole.items() if str(r.txn_date) in ("2024-01-24", "2024-01-25")}
     for k, r in part.items():
         assert r.asDict() == whole[k].asDict()
+
+
+def test_merchant_history_and_row_encoding_never_peek(spark):
+    df, _ = pipeline_input(spark)
+    df = df.cache()
+
+    def features(rows):
+        merch = by_id(merchant_view(spark, rows), "merch_cnt_7d", "merch_ncards_24h")
+        te = by_id(
+            encoding.target_encoding_asof(rows, "merchant_id", "txn_time", "is_fraud", "label_confirmed_at"),
+            "merchant_id_te",
+        )
+        return merch, te
+
+    whole = features(df)
+    for cut in (20, 77, 149):
+        t = df.where(F.col("txn_id") == cut).first().txn_time
+        # nothing at or after t, and no label confirmed at or after t
+        known = F.when(F.col("label_confirmed_at") < F.lit(t), F.col("label_confirmed_at"))
+        before = df.where(F.col("txn_time") < F.lit(t)).withColumn("label_confirmed_at", known)
+        row = df.where(F.col("txn_id") == cut)
+        merch, te = features(before.unionByName(row))
+        assert merch[cut] == whole[0][cut]
+        assert te[cut] == pytest.approx(whole[1][cut])
+    df.unpersist()
