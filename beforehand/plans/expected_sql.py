@@ -174,6 +174,21 @@ prior AS (SELECT d.day, coalesce((SELECT count(*) FROM hits h WHERE h.day < d.da
   / nullif((SELECT count(*) FROM txn t WHERE CAST(t.txn_time AS DATE) < d.day), 0), 0) AS g FROM days d)
 """
 
+WEEKLY = """
+ev AS (
+ SELECT merchant_id, date_trunc('week', txn_time) + INTERVAL '7' DAY AS period, 1 AS n, 0 AS p FROM txn
+ UNION ALL
+ SELECT merchant_id, date_trunc('week', greatest(label_confirmed_at, txn_time)) + INTERVAL '7' DAY, 0, 1
+ FROM txn WHERE is_fraud = 1),
+v AS (SELECT merchant_id, period, sum(n) AS n, sum(p) AS p FROM ev GROUP BY 1, 2),
+gl AS (SELECT period, sum(p) OVER (ORDER BY period) / sum(n) OVER (ORDER BY period) AS g
+       FROM (SELECT period, sum(n) AS n, sum(p) AS p FROM ev GROUP BY 1)),
+acc AS (SELECT merchant_id, period, sum(n) OVER w AS n, sum(p) OVER w AS hits FROM v
+        WINDOW w AS (PARTITION BY merchant_id ORDER BY period)),
+versions AS (SELECT merchant_id, acc.period, n, hits, (hits + 20 * g) / (n + 20) AS te
+             FROM acc JOIN gl ON gl.period = acc.period)
+"""
+
 SQL = {
     "feature_table_full": q(
         CARD, BUCKETS, TE, FEATURES,
@@ -206,6 +221,10 @@ SQL = {
  ON l.card_id = r.card_id AND l.txn_time > r.txn_time"""),
     "merchant_hourly_buckets": q(BUCKETS, "SELECT merchant_id, hr_ts, n, nc FROM hourly"),
     "merchant_rolling_bucketed": q(BUCKETS, "SELECT * FROM rolled"),
+    "merchant_distinct_hll": q(BUCKETS, """SELECT r.merchant_id, r.hr_ts, r.merch_cnt_7d,
+ count(DISTINCT t.card_id) AS merch_ncards_24h FROM rolled r
+ LEFT JOIN txn t ON t.merchant_id = r.merchant_id AND t.ts >= r.hr_ts - 86400 AND t.ts < r.hr_ts
+ GROUP BY ALL"""),
     "merchant_bucket_joinback": q(BUCKETS, """SELECT t.txn_id, k.merch_cnt_7d, k.merch_ncards_24h FROM txn t
  LEFT JOIN rolled k ON k.merchant_id = t.merchant_id AND k.hr_ts = t.ts - t.ts % 3600"""),
     "merchant_rolling_count_sweep": q("""SELECT txn_id, count(*) OVER w24h AS merch_cnt_24h,
@@ -226,20 +245,11 @@ SQL = {
     "te_row_asof_hot_split": q(ASOF_TE_PARTS, """SELECT s.txn_id,
  round((coalesce(k.p, 0) + 20 * 0.05::DOUBLE) / (s.n + 20), 6) AS merchant_id_te
  FROM seen s LEFT JOIN known k ON k.txn_id = s.txn_id"""),
-    "te_weekly_versions": q("""
-ev AS (
- SELECT merchant_id, date_trunc('week', txn_time) + INTERVAL '7' DAY AS period, 1 AS n, 0 AS p FROM txn
- UNION ALL
- SELECT merchant_id, date_trunc('week', greatest(label_confirmed_at, txn_time)) + INTERVAL '7' DAY, 0, 1
- FROM txn WHERE is_fraud = 1),
-v AS (SELECT merchant_id, period, sum(n) AS n, sum(p) AS p FROM ev GROUP BY 1, 2),
-gl AS (SELECT period, sum(p) OVER (ORDER BY period) / sum(n) OVER (ORDER BY period) AS g
-       FROM (SELECT period, sum(n) AS n, sum(p) AS p FROM ev GROUP BY 1)),
-acc AS (SELECT merchant_id, period, sum(n) OVER w AS n, sum(p) OVER w AS hits FROM v
-        WINDOW w AS (PARTITION BY merchant_id ORDER BY period))""", """
-SELECT merchant_id, CAST(epoch(acc.period) AS BIGINT) AS period_ts, CAST(n AS BIGINT) AS n,
- CAST(hits AS BIGINT) AS hits, round((hits + 20 * g) / (n + 20), 6) AS merchant_id_te
- FROM acc JOIN gl ON gl.period = acc.period"""),
+    "te_weekly_versions": q(WEEKLY, """
+SELECT merchant_id, CAST(epoch(period) AS BIGINT) AS period_ts, CAST(n AS BIGINT) AS n,
+ CAST(hits AS BIGINT) AS hits, round(te, 6) AS merchant_id_te FROM versions"""),
+    "te_weekly_applied": q(WEEKLY, """SELECT t.txn_id, round(v.te, 6) AS merchant_id_te
+ FROM txn t ASOF LEFT JOIN versions v ON v.merchant_id = t.merchant_id AND t.txn_time >= v.period"""),
     "dim_enrich_context": q("""SELECT t.txn_id, CAST(t.txn_country <> d.merchant_country AS INT) AS cross_border,
  CAST(t.channel = 'ecom' AS INT) AS is_ecom,
  CASE d.merchant_risk_tier WHEN 'high' THEN 2 WHEN 'med' THEN 1 ELSE 0 END AS risk_tier_num
@@ -290,7 +300,7 @@ UNION ALL SELECT 'pr_auc', 'min', CAST(0.6 AS DOUBLE), round({AP}, 6) FROM curve
  round(avg(secs_since_last), 2) AS secs_since_last, round(avg(amt_ratio_7d), 4) AS amt_ratio_7d,
  round(avg(card_declines_10m), 4) AS declines_10m, round(avg(merchant_id_te), 4) AS merchant_te
  FROM feat GROUP BY is_fraud"""),
-    "amount_drift": q(SPLIT, """
+    "psi_drift": q(SPLIT, """
 e AS (SELECT list_distinct(quantile_disc(amount, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edges
       FROM s WHERE split = 'train'),
 r AS (SELECT split, CAST(len(list_filter(edges, lambda x: x < amount)) AS INT) AS bin FROM s, e
@@ -345,6 +355,21 @@ SQL["stream_rolling_counters"] = """SELECT user_id, hr_ts, count(*) AS n
  GROUP BY user_id, hr_ts"""
 
 
+def _ap(where: str, name: str) -> str:
+    return f"""
+{name}_p AS (SELECT score, sum(is_fraud) AS pos, sum(1 - is_fraud) AS neg FROM s WHERE {where} GROUP BY score),
+{name}_c AS (SELECT *, sum(pos) OVER d AS tp, sum(neg) OVER d AS fp, sum(pos) OVER () AS p
+ FROM {name}_p WINDOW d AS (ORDER BY score DESC)),
+{name} AS (SELECT {AP} AS v FROM {name}_c)"""
+
+
+SQL["leakage_gap_given_scores"] = q(
+    SPLIT, _ap("(txn_id * 7919) % 10 >= 7", "a"), _ap("split = 'test'", "t"),
+    """ SELECT round(a.v, 6) AS random_holdout, round(t.v, 6) AS time_test, round(a.v - t.v, 6) AS gap,
+ a.v - t.v >= 0.05 AS alarm FROM a, t""",
+)
+
+
 def _recall(points: str) -> str:
     def at(t: str, tag: str) -> str:
         return f"""round(CASE WHEN max(p) > 0 THEN coalesce(max(CASE WHEN fp / nullif(nn, 0) <= {t} THEN tp END) / max(p), 0)

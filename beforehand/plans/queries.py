@@ -218,6 +218,16 @@ def te_weekly_versions(spark, sf):
     )
 
 
+def te_weekly_applied(spark, sf):
+    """Each transaction with the encoding version in force at its time."""
+    t = txns(spark, sf)
+    te = encoding.target_encoding_by_period(
+        t, "merchant_id", "txn_time", "is_fraud", "label_confirmed_at", period="week"
+    )
+    out = joins.asof_join(t, te, "merchant_id", "txn_time", "period", ["merchant_id_te"], strict=False)
+    return out.select("txn_id", *_r("merchant_id_te", digits=6))
+
+
 # ---- context and joins
 
 
@@ -406,7 +416,7 @@ def class_profile(spark, sf):
     )
 
 
-def amount_drift(spark, sf):
+def psi_drift(spark, sf):
     s = _splits(spark, sf)
     d = reports.column_drift(s.where("split = 'train'"), s.where("split = 'test'"), "amount")
     return d.select("bin", "n_ref", "n_act", *_r("psi", digits=6))
@@ -446,6 +456,21 @@ def recall_at_fpr_corners(spark, sf):
     return points.select(*_r(*RECALLS, digits=6))
 
 
+def leakage_gap_given_scores(spark, sf):
+    """Average precision on a scattered holdout against the test period, for one score column."""
+    s = _splits(spark, sf)
+    scattered = s.where((F.col("txn_id") * 7919) % 10 >= 7)
+
+    def pr_auc(rows, run):
+        m = evaluation.ranking_metrics(evaluation.score_curve(rows, "score", "is_fraud"))
+        return m.select(F.col("pr_auc").alias(run))
+
+    both = quality.concat(pr_auc(scattered, "random_holdout"), pr_auc(s.where("split = 'test'"), "time_test"))
+    random, timed = F.max("random_holdout"), F.max("time_test")
+    out = both.agg(random.alias("random_holdout"), timed.alias("time_test"), *evaluation.leakage_gap(random, timed))
+    return out.select(*_r("random_holdout", "time_test", "gap", digits=6), "alarm")
+
+
 def _test_rows(spark, sf):
     return _splits(spark, sf).where("split = 'test'")
 
@@ -588,8 +613,12 @@ def _fit(f, label, trees=10):
 
 
 def gbt_scores(spark, sf):
+    """Test rows scored by a model that was saved and loaded again."""
     f = _written_features(spark, sf)
-    return model.score(_fit(f, "y_honest"), f.where("split = 'test'"), MODEL_INPUTS).select("txn_id", "is_fraud", "p")
+    path = shared_dir(spark, "model")
+    model.save_model(_fit(f, "y_honest"), path)
+    scored = model.score(model.load_model(path), f.where("split = 'test'"), MODEL_INPUTS)
+    return scored.select("txn_id", "is_fraud", "p")
 
 
 def importance_topk(spark, sf):
@@ -669,13 +698,13 @@ QUERIES = {
         secs_since_decline, merchant_hourly_buckets, merchant_rolling_bucketed,
         merchant_distinct_hll, merchant_bucket_joinback, merchant_rolling_count_sweep,
         merchant_rolling_distinct_sweep, te_merchant_build, te_mcc_build, te_applied_with_prior,
-        te_merchant_row_asof, te_row_asof_hot_split, te_weekly_versions, dim_enrich_context,
+        te_merchant_row_asof, te_row_asof_hot_split, te_weekly_versions, te_weekly_applied, dim_enrich_context,
         calendar_context, join_sort_merge, join_salted, join_salted_all_keys, join_broadcast,
         join_lookup_left, asof_lookup, asof_lookup_hot_split, key_skew_report, key_skew_topk,
         ranked_share_report, key_attribute_lookup, input_partitions, partition_skew, dedup_transactions, quality_checks, quality_gate, dataset_profile,
         label_maturity, temporal_split_counts, union_splits, class_weight, honest_labels,
-        class_profile, amount_drift, average_precision, roc_auc, metrics_by_split, recall_at_fpr,
-        recall_at_fpr_corners, cost_curve, cost_threshold, confusion_at_threshold,
+        class_profile, psi_drift, average_precision, roc_auc, metrics_by_split, recall_at_fpr,
+        recall_at_fpr_corners, leakage_gap_given_scores, cost_curve, cost_threshold, confusion_at_threshold,
         partitioned_roundtrip, pruned_range_scan, catalog_table_roundtrip, clustered_files,
         snapshot_asof_read, snapshot_history, metrics_json_roundtrip, feature_table_approx,
         gbt_scores, importance_topk, calibrated_scores, label_and_leakage_checks,
