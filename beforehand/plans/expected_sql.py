@@ -334,6 +334,7 @@ x AS (SELECT sum(CASE WHEN score >= threshold AND is_fraud = 1 THEN 1 ELSE 0 END
     "pruned_range_scan": q(SPLIT, "SELECT txn_id, amount FROM s WHERE split = 'train'"),
     "catalog_table_roundtrip": q("""SELECT t.txn_id, t.merchant_id, d.merchant_country FROM txn t
  LEFT JOIN dim d ON d.merchant_id = t.merchant_id"""),
+    "bucketed_table_windows": q(CARD, "SELECT txn_id, card_cnt_24h, card_cnt_7d FROM card"),
     "clustered_files": q("SELECT txn_id, card_id, amount FROM txn"),
     "snapshot_asof_read": q("SELECT txn_id, card_id, amount FROM txn"),
     "snapshot_history": q("""SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS rows FROM txn

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import known_label
 from ..operators import evaluation, joins, model, quality, reports
 from ..operators.skew import profile_keys
-from ..session import build_session
+from ..session import build_session, shared_dir
 from ..sources import snapshots, tables
 from ..sources.schemas import MODEL_INPUTS, Timeline
 from .features import feature_range, feature_table
@@ -79,20 +79,22 @@ def skew(spark: SparkSession, raw: str, merchants: str, partitions: int = 32) ->
     }
 
 
-def run_metrics(scored: DataFrame, run: str, score: str = "p", label: str = "is_fraud") -> DataFrame:
-    """All ranking metrics of a run as ``split, metric, value`` rows."""
-    curve = evaluation.score_curve(scored, score, label)
-    ranking = evaluation.ranking_metrics(curve)
-    recall = evaluation.recall_at_fpr(curve, corners_only=True)
+def run_metrics(scored: DataFrame, score: str = "p", label: str = "is_fraud") -> DataFrame:
+    """All ranking metrics of each value of ``split`` as ``split, metric, value`` rows."""
+    by = ["split"]
+    curve = evaluation.score_curve(scored, score, label, by)
+    ranking = evaluation.ranking_metrics(curve, by)
+    recall = evaluation.recall_at_fpr(curve, by=by, corners_only=True)
     names = {
         "recall_1pct": "recall@1%FPR", "recall_0_1pct": "recall@0.1%FPR",
         "threshold_1pct": "threshold@1%FPR", "threshold_0_1pct": "threshold@0.1%FPR", "n_pos": "n_fraud",
     }
     parts = []
     for wide in (ranking, recall):
-        cast = wide.select(*[F.col(c).cast("double").alias(names.get(c, c)) for c in wide.columns])
-        parts.append(cast.unpivot([], [f"`{c}`" for c in cast.columns], "metric", "value"))
-    return quality.concat(*parts).select(F.lit(run).alias("split"), "metric", "value")
+        found = [c for c in wide.columns if c not in by]
+        cast = wide.select("split", *[F.col(c).cast("double").alias(names.get(c, c)) for c in found])
+        parts.append(cast.unpivot(by, [f"`{c}`" for c in cast.columns[1:]], "metric", "value"))
+    return quality.concat(*parts)
 
 
 def train(spark: SparkSession, features: str, out: str, timeline: Timeline, trees: int = 50) -> DataFrame:
@@ -119,7 +121,21 @@ def train(spark: SparkSession, features: str, out: str, timeline: Timeline, tree
     pool = evaluation.random_group_split(f, ["txn_id"]).withColumn("held_out", ~F.col("in_train"))
     mixed = model.fit_gbt(pool, MODEL_INPUTS, "is_fraud", valid="held_out", trees=trees)
 
-    honest_test = model.score(honest, test, MODEL_INPUTS)
+    def scored(run: str, fitted_model, rows: DataFrame) -> DataFrame:
+        return model.score(fitted_model, rows, MODEL_INPUTS).select(
+            F.lit(run).alias("split"), "txn_id", "is_fraud", "amount", "p"
+        )
+
+    # every run scored once and written; the metrics read it several times
+    scores_path = shared_dir(spark, "scores")
+    quality.concat(
+        scored("A_honest_valid", honest, valid),
+        scored("A_honest_test", honest, test),
+        scored("B_oracle_test", oracle, test),
+        scored("random_split_holdout", mixed, pool.where("held_out")),
+    ).write.partitionBy("split").parquet(scores_path)
+    scores = spark.read.parquet(scores_path)
+    honest_test = scores.where("split = 'A_honest_test'")
     cost = evaluation.best_threshold(evaluation.cost_curve(honest_test, "p", "is_fraud", "amount"))
     cost = cost.select(*[F.col(c).cast("double").alias(c) for c in cost.columns])
     maturity = reports.label_maturity(
@@ -127,10 +143,7 @@ def train(spark: SparkSession, features: str, out: str, timeline: Timeline, tree
     )
     maturity = maturity.select(*[F.col(c).cast("double").alias(c) for c in maturity.columns])
     metrics = quality.concat(
-        run_metrics(model.score(honest, valid, MODEL_INPUTS), "A_honest_valid"),
-        run_metrics(honest_test, "A_honest_test"),
-        run_metrics(model.score(oracle, test, MODEL_INPUTS), "B_oracle_test"),
-        run_metrics(model.score(mixed, pool.where("held_out"), MODEL_INPUTS), "random_split_holdout"),
+        run_metrics(scores),
         cost.unpivot([], cost.columns, "metric", "value").withColumn("split", F.lit("business_threshold")),
         maturity.unpivot([], maturity.columns, "metric", "value").withColumn("split", F.lit("label_maturity")),
     )

@@ -528,6 +528,20 @@ def catalog_table_roundtrip(spark, sf):
     return joins.lookup_join(t, m.drop("mcc"), "merchant_id").select("txn_id", "merchant_id", "merchant_country")
 
 
+def bucketed_table_windows(spark, sf):
+    """Card windows over a table stored by card: its rows need no shuffle."""
+    root = shared_dir(spark, "bucketed")
+    schema = "b" + root[-12:]
+    tables.create_schema(spark, schema, root)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tables.write_table(
+        txns(spark, sf), f"{schema}.silver", bucket_by=(buckets, "card_id"), sort_by=["card_id", "txn_time"]
+    )
+    specs = [s for s in plan.card_specs() if s.name in ("card_cnt_24h", "card_cnt_7d")]
+    df = rolling(spark.table(f"{schema}.silver"), "card_id", "txn_time", specs)
+    return df.select("txn_id", "card_cnt_24h", "card_cnt_7d")
+
+
 def clustered_files(spark, sf):
     path = shared_dir(spark, "clustered")
     tables.cluster_write(txns(spark, sf), path, ["card_id", "txn_time"])
@@ -640,17 +654,20 @@ def label_and_leakage_checks(spark, sf):
     f = _written_features(spark, sf)
     test = f.where("split = 'test'")
 
-    def measure(scored, name):
-        curve = evaluation.score_curve(scored, "p", "is_fraud")
-        return evaluation.ranking_metrics(curve).withColumn("run", F.lit(name))
+    def scored(fitted, rows, run):
+        return model.score(fitted, rows, MODEL_INPUTS).select(F.lit(run).alias("run"), "is_fraud", "p")
 
-    honest = measure(model.score(_fit(f, "y_honest"), test, MODEL_INPUTS), "honest_test")
-    oracle = measure(model.score(_fit(f, "is_fraud"), test, MODEL_INPUTS), "oracle_test")
     pool = evaluation.random_group_split(f.where("split is not null"), ["txn_id"])
-    fitted = model.fit_gbt(pool.withColumn("held_out", ~F.col("in_train")), MODEL_INPUTS, "is_fraud",
-                           valid="held_out", trees=10)
-    rand = measure(model.score(fitted, pool.where(~F.col("in_train")), MODEL_INPUTS), "random_holdout")
-    runs = quality.concat(honest, oracle, rand)
+    mixed = model.fit_gbt(pool.withColumn("held_out", ~F.col("in_train")), MODEL_INPUTS, "is_fraud",
+                          valid="held_out", trees=10)
+    path = shared_dir(spark, "scores")
+    quality.concat(
+        scored(_fit(f, "y_honest"), test, "honest_test"),
+        scored(_fit(f, "is_fraud"), test, "oracle_test"),
+        scored(mixed, pool.where(~F.col("in_train")), "random_holdout"),
+    ).write.parquet(path)
+    curve = evaluation.score_curve(spark.read.parquet(path), "p", "is_fraud", ["run"])
+    runs = evaluation.ranking_metrics(curve, ["run"])
 
     def pr_auc(run):
         return F.max(F.when(F.col("run") == run, F.col("pr_auc")))
@@ -705,7 +722,7 @@ QUERIES = {
         label_maturity, temporal_split_counts, union_splits, class_weight, honest_labels,
         class_profile, psi_drift, average_precision, roc_auc, metrics_by_split, recall_at_fpr,
         recall_at_fpr_corners, leakage_gap_given_scores, cost_curve, cost_threshold, confusion_at_threshold,
-        partitioned_roundtrip, pruned_range_scan, catalog_table_roundtrip, clustered_files,
+        partitioned_roundtrip, pruned_range_scan, catalog_table_roundtrip, bucketed_table_windows, clustered_files,
         snapshot_asof_read, snapshot_history, metrics_json_roundtrip, feature_table_approx,
         gbt_scores, importance_topk, calibrated_scores, label_and_leakage_checks,
         stream_hourly_counters, stream_rolling_counters, backfill_by_range,

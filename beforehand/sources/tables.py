@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import in_range
+from ..operators.joins import LINEAR_HEAVY_ROWS
 from ..operators.quality import dedup
+from ..operators.skew import profile_keys
 from .schemas import MERCHANTS, TRANSACTIONS, check_schema
 
 KEYS = ("txn_id", "card_id", "merchant_id", "txn_country", "merchant_country")
@@ -92,11 +94,28 @@ def write_table(
     partition_by: str | None = None,
     fmt: str = "parquet",
     path: str | None = None,
+    bucket_by: tuple[int, str] | None = None,
+    sort_by: list[str] | None = None,
 ) -> None:
-    """Replace a catalog table, its schema included. ``fmt`` may be any installed format."""
-    writer = df.hint("rebalance", F.col(partition_by)) if partition_by else df
-    writer = writer.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
+    """Replace a catalog table, its schema included. ``fmt`` may be any installed format.
+
+    ``bucket_by`` = (buckets, key) stores each key's rows together, in ``sort_by`` order,
+    so windows and joins by that key read the table without a shuffle. A bucket is read by
+    one task, so a table in which some key outweighs two buckets is left unbucketed and
+    ordered by ranges instead.
+    """
+    if bucket_by and not _buckets_even(df, *bucket_by):
+        order = sort_by or [bucket_by[1]]
+        rows, bucket_by = df.repartitionByRange(*order).sortWithinPartitions(*order), None
+    elif bucket_by:
+        # the hash of the shuffle is the hash of the buckets: one file per task
+        rows = df.repartition(bucket_by[0], bucket_by[1])
+    else:
+        rows = df.hint("rebalance", F.col(partition_by)) if partition_by else df
+    writer = rows.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     writer = writer.option("partitionOverwriteMode", "static")
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by).sortBy(*(sort_by or [bucket_by[1]]))
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if path:
@@ -104,6 +123,11 @@ def write_table(
     writer.saveAsTable(table)
 
 
+def _buckets_even(df: DataFrame, buckets: int, key: str, small: int = LINEAR_HEAVY_ROWS) -> bool:
+    profile = profile_keys(df, key, heavy_rows=small)
+    return not profile.heavy or profile.heavy[0][1] <= 2 * profile.rows / buckets
+
+
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """Write ``split, metric, value`` rows as one JSON object of objects."""
     # a handful of rows per run

@@ -119,6 +119,27 @@ def test_clustered_files_are_ordered(spark, tmp_path):
     assert all(a.hi <= b.lo for a, b in zip(ranges, ranges[1:]))
 
 
+def test_windows_over_a_bucketed_table_do_not_shuffle(spark, tmp_path):
+    from beforehand.plans.features import card_history
+
+    tables.create_schema(spark, "by_card", str(tmp_path / "by_card"))
+    df = tables.normalise(daily(spark)).withColumn("card_id", F.concat(F.lit("c"), F.col("txn_id") % 5))
+    tables.write_table(df, "by_card.silver", bucket_by=(4, "card_id"), sort_by=["card_id", "txn_time"])
+    stored = spark.table("by_card.silver")
+    assert "Exchange" not in plan_of(card_history(stored))
+    names = ("card_cnt_7d", "secs_since_last")
+    assert by_id(card_history(stored), *names) == by_id(card_history(df), *names)
+
+
+def test_a_table_with_a_key_beyond_a_bucket_is_not_bucketed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables._buckets_even, "__defaults__", (10,))
+    tables.create_schema(spark, "uneven", str(tmp_path / "uneven"))
+    df = tables.normalise(daily(spark))  # one card
+    tables.write_table(df, "uneven.silver", bucket_by=(4, "card_id"), sort_by=["card_id", "txn_time"])
+    assert spark.table("uneven.silver").count() == 40
+    assert spark.sql("DESCRIBE EXTENDED uneven.silver").where("col_name = 'Num Buckets'").count() == 0
+
+
 def test_shared_dir_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = shared_dir(spark, "x"), shared_dir(spark, "x")
