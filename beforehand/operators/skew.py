@@ -88,41 +88,40 @@ def profile_many(
     heavy_rows: int = HEAVY_ROWS,
     max_heavy: int = MAX_HEAVY_KEYS,
 ) -> dict[str, KeyProfile]:
-    """Profiles of several key columns from one job."""
+    """Profiles of several key columns from one job and one scan."""
     t = epoch_micros(time) if time else F.lit(None).cast("long")
-    parts = []
-    for i, key in enumerate(keys):
-        per_key = df.groupBy(F.col(key).alias(f"k{i}")).agg(
-            F.count(F.lit(1)).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi")
-        )
-        tag = F.lit(i).alias("which")
-        parts.append(
-            per_key.where(F.col("n") > heavy_rows)
-            .orderBy(F.desc("n"), F.asc(f"k{i}"))
-            .limit(max_heavy + 1)
-            .select(tag, f"k{i}", "n", "lo", "hi")
-        )
-        parts.append(
-            per_key.agg(
-                F.count(F.lit(1)).alias("keys"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-                F.min("lo").alias("lo"),
-                F.max("hi").alias("hi"),
-            ).select(tag, "keys", "n", "lo", "hi")
-        )
-    got = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).collect()
+    names = [f"k{i}" for i in range(len(keys))]
+    rows = df.select(*[F.col(key).alias(n) for key, n in zip(keys, names)], t.alias("_t"))
+    per_key = rows.groupingSets([[n] for n in names], *names).agg(
+        F.grouping_id().alias("set"),
+        F.count(F.lit(1)).alias("n"),
+        F.min("_t").alias("lo"),
+        F.max("_t").alias("hi"),
+    )
+    totals = per_key.groupBy("set").agg(
+        F.count(F.lit(1)).alias("keys"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    )
+    # one bit per column, set where the column is not grouped by
+    sets = [2 ** len(keys) - 1 - 2 ** (len(keys) - 1 - i) for i in range(len(keys))]
+    tops = [
+        per_key.where((F.col("set") == s) & (F.col("n") > heavy_rows))
+        .orderBy(F.desc("n"), F.asc(name))
+        .limit(max_heavy + 1)
+        for s, name in zip(sets, names)
+    ]
+    got = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [totals, *tops]).collect()
     found = {}
     for i, key in enumerate(keys):
-        rows = [r for r in got if r["which"] == i]
-        total = next(r for r in rows if r["keys"] is not None)
-        heavy = sorted((r for r in rows if r["keys"] is None), key=lambda r: -r["n"])
+        of_key = [r for r in got if r["set"] == sets[i]]
+        total = next((r for r in of_key if r["keys"] is not None), None)
+        heavy = sorted((r for r in of_key if r["keys"] is None), key=lambda r: -r["n"])
         found[key] = KeyProfile(
             key=key,
             key_type=df.schema[key].dataType,
-            keys=total["keys"],
-            rows=total["n"],
-            first=total["lo"],
-            last=total["hi"],
+            keys=total["keys"] if total else 0,
+            rows=total["n"] if total else 0,
+            first=total["lo"] if total else None,
+            last=total["hi"] if total else None,
             heavy=tuple((r[f"k{i}"], r["n"], r["lo"], r["hi"]) for r in heavy[:max_heavy]),
             truncated=len(heavy) > max_heavy,
         )
