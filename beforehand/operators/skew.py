@@ -145,24 +145,27 @@ def with_slice(
     if profile.first is None:
         raise ValueError("time slices need a profile taken with a time column")
     per_slice = max(slice_rows, -(-profile.rows // MAX_SLICES))
-    widths = [
-        (value, lo, max(1, -(-(hi - lo + 1) * per_slice // n)))
-        for value, n, lo, hi in profile.heavy
-    ]
+    widths = []
+    for value, n, lo, hi in profile.heavy:
+        width = max(1, -(-(hi - lo + 1) * per_slice // n))
+        widths.append((value, lo, width, (hi - lo) // width))
     schema = T.StructType(
         [
             T.StructField("_heavy", profile.key_type),
             T.StructField("_start", T.LongType()),
             T.StructField("_width", T.LongType()),
+            T.StructField("_final", T.LongType()),
         ]
     )
     table = df.sparkSession.createDataFrame(widths, schema)
     # at most MAX_HEAVY_KEYS rows
     joined = df.join(F.broadcast(table), F.col(profile.key).eqNullSafe(F.col("_heavy")), "left")
-    at = F.floor(F.try_divide(F.greatest(micros - F.col("_start"), F.lit(0)), F.col("_width")))
-    return joined.withColumn(name, F.coalesce(at.cast("long"), F.lit(0).cast("long"))).drop(
-        "_heavy", "_start", "_width"
-    )
+    # rows outside the profiled time range join the first or the last slice
+    into = F.greatest(micros - F.col("_start"), F.lit(0).cast("long"))
+    at = F.least((into - F.pmod(into, F.col("_width"))) / F.col("_width"), F.col("_final"))
+    return joined.withColumn(
+        name, F.when(F.col("_width").isNull(), F.lit(0).cast("long")).otherwise(at.cast("long"))
+    ).drop("_heavy", "_start", "_width", "_final")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

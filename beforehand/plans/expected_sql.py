@@ -221,6 +221,7 @@ SQL = {
  ON l.card_id = r.card_id AND l.txn_time > r.txn_time"""),
     "merchant_hourly_buckets": q(BUCKETS, "SELECT merchant_id, hr_ts, n, nc FROM hourly"),
     "merchant_rolling_bucketed": q(BUCKETS, "SELECT * FROM rolled"),
+    # the sketches are exact up to some 400 members, which holds at small scale
     "merchant_distinct_hll": q(BUCKETS, """SELECT r.merchant_id, r.hr_ts, r.merch_cnt_7d,
  count(DISTINCT t.card_id) AS merch_ncards_24h FROM rolled r
  LEFT JOIN txn t ON t.merchant_id = r.merchant_id AND t.ts >= r.hr_ts - 86400 AND t.ts < r.hr_ts
@@ -342,6 +343,7 @@ UNION ALL SELECT 1, 'REPLACE', count(*) FROM txn WHERE is_fraud = 1"""),
     "metrics_json_roundtrip": q(SPLIT, _curve("s", "split"), f"""
 SELECT split, 'pr_auc' AS metric, round({AP}, 6) AS value FROM curve WHERE split IS NOT NULL GROUP BY split
 UNION ALL SELECT split, 'roc_auc', round({AUC}, 6) FROM curve WHERE split IS NOT NULL GROUP BY split"""),
+    "stream_dedup": "SELECT event_id, user_id, value FROM events",
     "stream_hourly_counters": """SELECT user_id, hr_ts, count(*) AS n
  FROM (SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS t, t - t % 3600 AS hr_ts FROM events)
  WHERE to_timestamp(hr_ts + 3600) AT TIME ZONE 'UTC' <= (SELECT max(ts) - INTERVAL '1' HOUR FROM events)

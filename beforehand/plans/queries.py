@@ -706,6 +706,12 @@ def stream_rolling_counters(spark, sf):
     return _drained(spark, counters.rolling_stream(_event_stream(spark, sf), "user_id", "ts", DAY))
 
 
+def stream_dedup(spark, sf):
+    """A stream that delivers every event twice, reduced to one copy."""
+    twice = _event_stream(spark, sf).unionByName(_event_stream(spark, sf))
+    return _drained(spark, counters.dedup_stream(twice, "event_id", "ts").select("event_id", "user_id", "value"))
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -725,6 +731,6 @@ QUERIES = {
         partitioned_roundtrip, pruned_range_scan, catalog_table_roundtrip, bucketed_table_windows, clustered_files,
         snapshot_asof_read, snapshot_history, metrics_json_roundtrip, feature_table_approx,
         gbt_scores, importance_topk, calibrated_scores, label_and_leakage_checks,
-        stream_hourly_counters, stream_rolling_counters, backfill_by_range,
+        stream_hourly_counters, stream_rolling_counters, stream_dedup, backfill_by_range,
     ]
 }
