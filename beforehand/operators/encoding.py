@@ -83,7 +83,7 @@ def daily_prior(df: DataFrame, time: str, label: str, confirmed: str, first: flo
     )
     daily = rows.unionByName(hits).groupBy("_day").agg(F.sum("_n").alias("_n"), F.sum("_p").alias("_p"))
     # a single ordered group, but of calendar days
-    w = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(F.lit(0)).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     rate = F.try_divide(F.sum("_p").over(w), F.sum("_n").over(w))
     return daily.select("_day", F.coalesce(rate, F.lit(first)).alias("_prior"))
 
@@ -177,7 +177,7 @@ def target_encoding_by_period(
 
     # one row per period of the calendar in each ordered group
     keyed = Window.partitionBy(key).orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
-    overall = Window.orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
+    overall = Window.partitionBy(F.lit(0)).orderBy("period").rowsBetween(Window.unboundedPreceding, 0)
     prior = changes().select("period", (F.sum("_p").over(overall) / F.sum("_n").over(overall)).alias("_g"))
     versions = changes(key).select(
         key, "period", F.sum("_n").over(keyed).alias("n"), F.sum("_p").over(keyed).alias("hits")

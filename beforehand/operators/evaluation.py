@@ -195,9 +195,9 @@ def cost_curve(
         [(0, None)] + [(i + 1, t) for i, t in enumerate(thresholds)], "bin int, threshold double"
     )
     full = grid.join(F.broadcast(binned), "bin", "left").fillna(0, ["_pos", "_neg"])
-    below = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    above = Window.orderBy("bin").rowsBetween(0, Window.unboundedFollowing)
-    everything = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    everything = Window.partitionBy(F.lit(0))
+    below = everything.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    above = everything.orderBy("bin").rowsBetween(0, Window.unboundedFollowing)
     swept = full.withColumns(
         {
             "missed": F.coalesce(F.sum("_lost").over(below), F.lit(0)).cast("double"),

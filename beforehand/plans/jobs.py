@@ -1,6 +1,6 @@
 """Batch jobs with a command line: build, skew, train, gate.
 
-    spark-submit -m beforehand.plans.jobs build --raw ... --merchants ... --out ...
+    python -m beforehand.plans.jobs build --raw ... --merchants ... --out ...
 """
 
 from __future__ import annotations
@@ -147,7 +147,7 @@ def train(spark: SparkSession, features: str, out: str, timeline: Timeline, tree
         cost.unpivot([], cost.columns, "metric", "value").withColumn("split", F.lit("business_threshold")),
         maturity.unpivot([], maturity.columns, "metric", "value").withColumn("split", F.lit("label_maturity")),
     )
-    tables.write_metrics(metrics, f"{out}/metrics")
+    tables.write_metrics(metrics.withColumn("value", F.round("value", 4)), f"{out}/metrics")
     tables.write_importance(model.importance(f, honest, MODEL_INPUTS), f"{out}/feature_importance")
     model.save_model(honest, f"{out}/model")
     return tables.read_metrics(spark, f"{out}/metrics")
