@@ -27,8 +27,8 @@ def _r(*names: str, digits: int = 4):
     return [F.round(n, digits).alias(n) for n in names]
 
 
-def txns(spark: SparkSession, sf: str) -> DataFrame:
-    return standin.transactions(spark, sf)
+def txns(spark: SparkSession, sf: str, country: bool = False) -> DataFrame:
+    return standin.transactions(spark, sf, country)
 
 
 # ---- rolling, card side
@@ -52,12 +52,12 @@ CARD_AMOUNTS = ["card_sum_24h", "card_sum_7d", "card_mean_7d"]
 
 
 def card_rolling_sweep(spark, sf):
-    df = rolling(txns(spark, sf), "card_id", "txn_time", plan.card_specs(), route="sweep")
+    df = rolling(txns(spark, sf, country=True), "card_id", "txn_time", plan.card_specs(), route="sweep")
     return df.select("txn_id", *CARD_COUNTS, *_r(*CARD_AMOUNTS, digits=8))
 
 
 def card_rolling_hot_split(spark, sf):
-    t = txns(spark, sf)
+    t = txns(spark, sf, country=True)
     profile = profile_keys(t, "card_id", "txn_time", heavy_rows=HOT_CARD_ROWS)
     df = rolling(t, "card_id", "txn_time", plan.card_specs(), profile=profile)
     return df.select("txn_id", *CARD_COUNTS, *_r(*CARD_AMOUNTS, digits=8))
@@ -78,14 +78,14 @@ def merchant_rolling_micros_sweep(spark, sf):
 
 def card_distinct_exact(spark, sf):
     specs = [s for s in plan.card_specs() if s.agg == "distinct"]
-    return rolling(txns(spark, sf), "card_id", "txn_time", specs).select(
+    return rolling(txns(spark, sf, country=True), "card_id", "txn_time", specs).select(
         "txn_id", "card_nmerch_24h", "card_ncountry_1h"
     )
 
 
 def card_distinct_approx(spark, sf):
     specs = [s for s in plan.card_specs(approximate=True) if s.agg == "approx_distinct"]
-    return rolling(txns(spark, sf), "card_id", "txn_time", specs).select(
+    return rolling(txns(spark, sf, country=True), "card_id", "txn_time", specs).select(
         "txn_id", "card_nmerch_24h", "card_ncountry_1h"
     )
 
@@ -105,7 +105,7 @@ def card_velocity_ratios(spark, sf):
 
 
 def _since_last(spark, sf, heavy_rows=None, slice_rows=None):
-    t = txns(spark, sf)
+    t = txns(spark, sf, country=True)
     bar = {"heavy_rows": heavy_rows} if heavy_rows else {}
     return since_last(
         t, "card_id", "txn_time", "txn_id", changed={"txn_country": "country_changed"},
@@ -232,7 +232,7 @@ def te_weekly_applied(spark, sf):
 
 
 def dim_enrich_context(spark, sf):
-    return plan.context(txns(spark, sf), standin.merchants(spark, sf)).select(
+    return plan.context(txns(spark, sf, country=True), standin.merchants(spark, sf)).select(
         "txn_id", "cross_border", "is_ecom", "risk_tier_num"
     )
 
@@ -504,7 +504,7 @@ def confusion_at_threshold(spark, sf):
 def partitioned_roundtrip(spark, sf):
     """Land day-partitioned rows twice and read them back: still one copy."""
     path = shared_dir(spark, "landing")
-    t = txns(spark, sf)
+    t = txns(spark, sf, country=True)
     tables.land_raw(t, path)
     tables.land_raw(t, path)
     back = tables.read_transactions(spark, path)
@@ -513,7 +513,7 @@ def partitioned_roundtrip(spark, sf):
 
 def pruned_range_scan(spark, sf):
     path = shared_dir(spark, "landing")
-    tables.write_partitioned(txns(spark, sf), path)
+    tables.write_partitioned(txns(spark, sf, country=True), path)
     start, end = TIMELINE.train
     return tables.read_transactions(spark, path, start, end).select("txn_id", "amount")
 
@@ -578,7 +578,7 @@ def metrics_json_roundtrip(spark, sf):
 
 
 def feature_rows(spark, sf, approximate=False):
-    return plan.feature_table(txns(spark, sf), standin.merchants(spark, sf), TIMELINE, approximate)
+    return plan.feature_table(txns(spark, sf, country=True), standin.merchants(spark, sf), TIMELINE, approximate)
 
 
 FEATURE_ROUNDED = ["card_sum_24h", "card_sum_7d", "card_mean_7d", "amt_ratio_7d", "amt_over_card_sum_24h",
@@ -601,7 +601,7 @@ def feature_table_approx(spark, sf):
 def backfill_by_range(spark, sf):
     """The feature table built range by range into one folder, then read back."""
     path = shared_dir(spark, "backfill")
-    t, m = txns(spark, sf), standin.merchants(spark, sf)
+    t, m = txns(spark, sf, country=True), standin.merchants(spark, sf)
     for start, end in BACKFILL:
         tables.write_partitioned(plan.feature_range(t, m, TIMELINE, start, end), path)
     return _feature_columns(tables.read_features(spark, path))

@@ -23,10 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions(spark: SparkSession, sf_dir: str, country: bool = True) -> DataFrame:
+    """Events as card transactions. The country needs a customer lookup, so it is optional."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    home = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
-    e = lookup_join(table(spark, sf_dir, "events"), home, "user_id", row_key=["event_id"])
+    e = table(spark, sf_dir, "events")
+    if country:
+        home = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+        e = lookup_join(e, home, "user_id", row_key=["event_id"])
     event_id = F.col("event_id")
     merchant = F.when(event_id % 4 == 0, F.lit(0).cast("long")).otherwise(
         F.regexp_extract("props", "[0-9]+", 0).cast("long")
@@ -36,7 +39,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_type") == "error") & (F.col("merchant_id") % 7 == 3)
     )
     e = e.withColumn("is_fraud", F.when(fraud, 1).otherwise(0))
-    away = (F.col("c_nationkey") + 1 + event_id % 24) % 25
+    away = (F.col("c_nationkey") + 1 + event_id % 24) % 25 if country else None
     score = ((event_id * 7919) % 1000 * 7 + F.col("is_fraud") * 3000).cast("double") / 10000
     confirmed = F.expr("ts + make_dt_interval(cast(1 + event_id % 9 as int))")
     return normalise(
@@ -47,7 +50,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("value").alias("amount"),
             "merchant_id",
             (F.col("merchant_id") % 10).alias("mcc"),
-            F.when(event_id % 33 == 0, away).otherwise(F.col("c_nationkey")).alias("txn_country"),
+            *([F.when(event_id % 33 == 0, away).otherwise(F.col("c_nationkey")).alias("txn_country")]
+              if country else []),
             F.when(F.col("event_type").isin("click", "signup"), "ecom").otherwise("card_present").alias("channel"),
             F.when(F.col("event_type") == "error", 1).otherwise(0).alias("declined"),
             "is_fraud",

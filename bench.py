@@ -39,7 +39,7 @@ MERCHANT = [
 
 def cases(spark, wide_transactions: str, wide_merchants: str) -> dict:
     sf = SF_DIR
-    txns = standin.transactions(spark, sf)
+    txns, full = standin.transactions(spark, sf, country=False), standin.transactions(spark, sf)
     dim = tables.read_merchants(spark, wide_merchants).drop("mcc")
     many = tables.read_transactions(spark, wide_transactions).select("txn_id", "merchant_id", "amount")
     scored = evaluation.temporal_split(txns, "txn_time", standin.TIMELINE.ranges)
@@ -48,7 +48,7 @@ def cases(spark, wide_transactions: str, wide_merchants: str) -> dict:
         return rolling_buckets(bucket_counts(txns, "merchant_id", "txn_time", "card_id"), "merchant_id")
 
     return {
-        "card_windows": lambda: features.card_history(txns),
+        "card_windows": lambda: features.card_history(full),
         "merchant_auto": lambda: rolling(txns, "merchant_id", "txn_time", MERCHANT),
         "merchant_sweep": lambda: rolling(txns, "merchant_id", "txn_time", MERCHANT, route="sweep"),
         "merchant_buckets": hourly,
@@ -67,7 +67,7 @@ def cases(spark, wide_transactions: str, wide_merchants: str) -> dict:
         "cost_sweep": lambda: evaluation.best_threshold(
             evaluation.cost_curve(scored.where(F.col("split") == "test"), "score", "is_fraud", "amount")
         ),
-        "feature_table": lambda: features.feature_table(txns, standin.merchants(spark, sf), standin.TIMELINE),
+        "feature_table": lambda: features.feature_table(full, standin.merchants(spark, sf), standin.TIMELINE),
     }
 
 
@@ -130,7 +130,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     paths = widened(spark)
     took = {name: median(build) for name, build in cases(spark, *paths).items()}
-    txns = standin.transactions(spark, SF_DIR)
+    txns = standin.transactions(spark, SF_DIR, country=False)
     naive = {
         "merchant_row_window": median(
             lambda: rolling(txns, "merchant_id", "txn_time", MERCHANT, route="window")

@@ -91,6 +91,8 @@ def test_unseen_key_gets_the_prior_and_neutral_context(spark):
                 ("old", "US", "high"))
     ctx = plan.context(df, dim)
     assert by_id(ctx, "cross_border", "risk_tier_num", "is_ecom") == {1: (0, 2, 1), 2: (None, 0, 1)}
+    gaps = plan.context(txns(spark, txn(1, 0, merchant="old", country=None, channel=None)), dim)
+    assert by_id(gaps, "cross_border", "is_ecom") == {1: (None, None)}
 
 
 def test_weekend(spark):
@@ -303,3 +305,12 @@ def test_merchant_history_and_row_encoding_never_peek(spark):
         assert merch[cut] == whole[0][cut]
         assert te[cut] == pytest.approx(whole[1][cut])
     df.unpersist()
+
+
+def test_counts_read_only_the_columns_they_need(spark):
+    from beforehand.plans.queries import QUERIES
+
+    text = plan_of(QUERIES["card_rolling_counts"](spark, "/root/testdata/sf0.001"))
+    assert re.findall(r"ReadSchema: struct<([^>]*)>", text) == ["event_id:bigint,ts:timestamp_ntz,user_id:bigint"]
+    te = plan_of(QUERIES["te_mcc_build"](spark, "/root/testdata/sf0.001"))
+    assert "PushedFilters: [IsNotNull(ts), LessThan(ts," in te
