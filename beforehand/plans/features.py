@@ -127,9 +127,13 @@ def feature_table(
     timeline: Timeline,
     approximate: bool = False,
     prior: float | None = None,
+    profiles: dict[str, KeyProfile] | None = None,
 ) -> DataFrame:
-    """All feature families joined to the transactions, one row per transaction."""
-    profiles = profile_many(txns, ["card_id", *ENCODED], "txn_time")
+    """All feature families joined to the transactions, one row per transaction.
+
+    ``profiles`` of the card, merchant and category columns save the counting pass.
+    """
+    profiles = profiles or profile_many(txns, ["card_id", *ENCODED], "txn_time")
     sellers = profiles["merchant_id"]
     df = card_history(txns, profiles["card_id"], approximate)
     df = merchant_history(df, txns, sellers, "approx" if approximate else "exact")

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # hash instead of sort where every partition of the small side measures below this
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # small sides may be the end of a long aggregation
+    "spark.sql.broadcastTimeout": "7200",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }
