@@ -55,7 +55,9 @@ def rolling(
     else:
         df, at, added = df.withColumn("_at", to_ticks(time)), "_at", ["_at"]
     if route == "auto":
-        profile = profile or profile_keys(df, key, time)
+        if profile is None:
+            micros = F.col(at) * (1_000_000 // tick)
+            profile = profile_keys(df.withColumn("_time", F.timestamp_micros(micros)), key, "_time")
         if profile.truncated:
             route = "sweep"
         elif profile.heavy:
@@ -111,7 +113,8 @@ def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int,
     Rows are first summed per (key, instant). A value enters after its instant and leaves
     ``seconds`` later; the rolling value is what entered minus what left, both running
     sums. For distinct counts each (key, member) interval is cut at the member's next
-    appearance, so a member never counts twice. Sums run on decimals to stay exact.
+    appearance, so a member never counts twice. Sums run on decimals with six digits
+    after the point, so that differences of long sums stay exact.
     """
     sums = sorted({s.column for s in specs if s.agg in ("sum", "mean")})
     means = sorted({s.column for s in specs if s.agg == "mean"})

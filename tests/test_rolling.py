@@ -190,3 +190,13 @@ def test_profile_of_an_empty_table(spark):
 
 def test_at_helper():
     assert (at(5) - at(0)).seconds == 5
+
+
+def test_time_may_be_counted_already(spark):
+    df = txns(spark, *[txn(i, i * 0.4) for i in range(12)])
+    for grain, clock in (("second", F.unix_timestamp("txn_time")), ("micro", F.unix_micros("txn_time"))):
+        counted = df.withColumn("t", clock)
+        spec = [Rolling("n", "count", 2)]
+        a = by_id(rolling(df, "card_id", "txn_time", spec, grain=grain), "n")
+        b = by_id(rolling(counted, "card_id", "t", spec, grain=grain), "n")
+        assert a == b and max(a.values()) >= 4
