@@ -46,8 +46,7 @@ def gate(metrics: DataFrame, rules: list[tuple[str, str, float]]) -> DataFrame:
     ``rules`` are (metric, ``min`` or ``max``, bound).
     """
     table = metrics.sparkSession.createDataFrame(rules, "metric string, op string, bound double")
-    # the rules are the short list just given
-    joined = F.broadcast(table).join(metrics.select("metric", "value"), "metric", "left")
+    joined = table.join(metrics.select("metric", "value"), "metric", "left")
     ok = F.when(F.col("op") == "min", F.col("value") >= F.col("bound")).otherwise(
         F.col("value") <= F.col("bound")
     )
