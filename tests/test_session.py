@@ -16,7 +16,7 @@ def fake(master, root=None):
 
 def test_settings_are_in_force(spark):
     for name, value in SETTINGS.items():
-        assert spark.conf.get(name).lower() == value, name
+        assert spark.conf.get(name) == value, name
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
