@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_micros
-from .skew import MAX_SLICES, SLICE_ROWS, KeyProfile, profile_keys, with_slice
+from .skew import MAX_SLICES, SLICE_ROWS, KeyProfile, profile_keys, with_key_values, with_slice
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key that only has to be sorted and walked once may be far larger than one whose
@@ -61,21 +61,21 @@ def salted_join(
     if hot is None:
         left, right = big.withColumn("_salts", F.lit(salts)), small.withColumn("_salts", F.lit(salts))
     else:
-        table = _salt_table(big, hot, rows_per_salt, group_micros)
-        if table is None:
+        counts = _salts_per_key(hot, rows_per_salt, group_micros)
+        if not counts:
             return big.join(hinted, on, how)
-        left, right = (_with_salts(side, hot.key, table) for side in (big, small))
+        left, right = (
+            with_key_values(side, hot, counts, ["_salts"]).fillna(1, ["_salts"]) for side in (big, small)
+        )
     left = left.withColumn("_salt", F.pmod(row_hash, F.col("_salts")).cast("int")).drop("_salts")
     right = right.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
+        "_salt", F.explode(F.sequence(F.lit(0), F.col("_salts").cast("int") - 1))
     ).drop("_salts")
     right = right.hint(strategy) if strategy else right
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def _salt_table(
-    df: DataFrame, hot: KeyProfile, rows_per_salt: int, group_micros: int | None
-) -> DataFrame | None:
+def _salts_per_key(hot: KeyProfile, rows_per_salt: int, group_micros: int | None) -> list[tuple]:
     per_salt = max(rows_per_salt, -(-hot.rows // MAX_SLICES))
     counts = []
     for value, n, lo, hi in hot.heavy:
@@ -83,14 +83,7 @@ def _salt_table(
         salts = -(-n // (groups * per_salt))
         if salts > 1:
             counts.append((value, salts))
-    schema = T.StructType([T.StructField("_hot", hot.key_type), T.StructField("_salts", T.IntegerType())])
-    return df.sparkSession.createDataFrame(counts, schema) if counts else None
-
-
-def _with_salts(df: DataFrame, key: str, table: DataFrame) -> DataFrame:
-    # at most MAX_HEAVY_KEYS rows
-    joined = df.join(F.broadcast(table), F.col(key).eqNullSafe(F.col("_hot")), "left")
-    return joined.withColumn("_salts", F.coalesce("_salts", F.lit(1))).drop("_hot")
+    return counts
 
 
 def lookup_join(

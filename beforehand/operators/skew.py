@@ -24,6 +24,7 @@ HEAVY_ROWS = 20_000
 MAX_HEAVY_KEYS = 10_000
 SLICE_ROWS = 200_000
 MAX_SLICES = 100_000
+CASE_KEYS = 16
 
 
 @dataclass(frozen=True)
@@ -128,6 +129,29 @@ def profile_many(
     return found
 
 
+def with_key_values(
+    df: DataFrame, profile: KeyProfile, rows: list[tuple], names: list[str]
+) -> DataFrame:
+    """Add long columns looked up by key in ``rows`` of (key, value, …); NULL for other keys.
+
+    A few keys become a CASE expression, more a broadcast table of at most
+    ``MAX_HEAVY_KEYS`` rows.
+    """
+    key = F.col(profile.key)
+    if len(rows) <= CASE_KEYS:
+        columns = {}
+        for i, name in enumerate(names, 1):
+            found = F.lit(None).cast("long")
+            for row in rows:
+                hit = key.eqNullSafe(F.lit(row[0]).cast(profile.key_type))
+                found = F.when(hit, F.lit(row[i]).cast("long")).otherwise(found)
+            columns[name] = found
+        return df.withColumns(columns)
+    fields = [T.StructField("_heavy", profile.key_type), *[T.StructField(n, T.LongType()) for n in names]]
+    table = df.sparkSession.createDataFrame(rows, T.StructType(fields))
+    return df.join(F.broadcast(table), key.eqNullSafe(F.col("_heavy")), "left").drop("_heavy")
+
+
 def with_slice(
     df: DataFrame,
     profile: KeyProfile,
@@ -149,23 +173,13 @@ def with_slice(
     for value, n, lo, hi in profile.heavy:
         width = max(1, -(-(hi - lo + 1) * per_slice // n))
         widths.append((value, lo, width, (hi - lo) // width))
-    schema = T.StructType(
-        [
-            T.StructField("_heavy", profile.key_type),
-            T.StructField("_start", T.LongType()),
-            T.StructField("_width", T.LongType()),
-            T.StructField("_final", T.LongType()),
-        ]
-    )
-    table = df.sparkSession.createDataFrame(widths, schema)
-    # at most MAX_HEAVY_KEYS rows
-    joined = df.join(F.broadcast(table), F.col(profile.key).eqNullSafe(F.col("_heavy")), "left")
+    joined = with_key_values(df, profile, widths, ["_start", "_width", "_final"])
     # rows outside the profiled time range join the first or the last slice
     into = F.greatest(micros - F.col("_start"), F.lit(0).cast("long"))
     at = F.least((into - F.pmod(into, F.col("_width"))) / F.col("_width"), F.col("_final"))
     return joined.withColumn(
         name, F.when(F.col("_width").isNull(), F.lit(0).cast("long")).otherwise(at.cast("long"))
-    ).drop("_heavy", "_start", "_width", "_final")
+    ).drop("_start", "_width", "_final")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

@@ -314,3 +314,14 @@ def test_counts_read_only_the_columns_they_need(spark):
     assert re.findall(r"ReadSchema: struct<([^>]*)>", text) == ["event_id:bigint,ts:timestamp_ntz,user_id:bigint"]
     te = plan_of(QUERIES["te_mcc_build"](spark, "/root/testdata/sf0.001"))
     assert "PushedFilters: [IsNotNull(ts), LessThan(ts," in te
+
+
+@pytest.mark.parametrize("case_keys", [0, 16])
+def test_key_values_by_case_and_by_table_agree(spark, monkeypatch, case_keys):
+    from beforehand.operators import skew
+
+    monkeypatch.setattr(skew, "CASE_KEYS", case_keys)
+    df = txns(spark, *[txn(i, i, card=("a", "b", None)[i % 3]) for i in range(9)])
+    profile = profile_keys(df, "card_id", "txn_time", heavy_rows=1)
+    out = skew.with_key_values(df, profile, [("a", 7, 1), (None, 8, 2)], ["x", "y"])
+    assert by_id(out, "x", "y") == {i: ((7, 1), (None, None), (8, 2))[i % 3] for i in range(9)}
