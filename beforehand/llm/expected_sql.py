@@ -1,5 +1,110 @@
-"""DuckDB SQL with the rows of the queries that SQL can express."""
+"""DuckDB SQL with the rows of the queries that SQL can express.
+
+SimHash, Merkle trees, the Hilbert curve, Viterbi paths, the trained model and tokens have no
+SQL form; tests hold those queries against brute force.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from .secrets import BASE, RULES
+from .url_lists import HOST, PATH
+
+WARC = """
+WITH d AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+k AS (SELECT payload_digest, max(page_id) AS keep FROM d WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+  CASE WHEN keep <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN keep <> page_id THEN keep END AS refers_to
+FROM d LEFT JOIN k ON k.payload_digest = d.payload_digest AND payload_bytes >= 1000
+"""
+
+URL_LISTS = f"""
+WITH pg AS (
+  SELECT page_id, nullif(lower(regexp_extract(url, '{HOST}', 1)), '') AS host,
+    [s FOR s IN string_split(regexp_extract(url, '{PATH}', 1), '/') IF s <> ''] AS segs,
+    regexp_extract(regexp_extract(url, '{PATH}', 1), '^/([^/]+)', 1) AS first,
+    (1704067200 + (page_id * 7919) % 2592000) * 1000000 AS fetched_at
+  FROM pages),
+parts AS (SELECT *, string_split(host, '.') AS labels FROM pg),
+keys AS (
+  SELECT page_id, fetched_at, unnest(list_concat(['h:' || host],
+    ['d:' || array_to_string(labels[i:], '.') FOR i IN range(1, greatest(len(labels) - 1, 1) + 1)],
+    ['p:' || host || '/' || array_to_string(segs[:i], '/') FOR i IN range(1, len(segs) + 1)])) AS key
+  FROM parts WHERE host IS NOT NULL),
+changes AS (
+  SELECT key, since, bool_or(active) AS active FROM (
+    SELECT CASE user_id % 3 WHEN 0 THEN 'h:' || host
+        WHEN 1 THEN 'd:' || coalesce(nullif(regexp_extract(host, '([^.]+\\.[^.]+\\.[^.]+)$', 1), ''), host)
+        ELSE 'p:' || host || '/' || first END AS key,
+      epoch_us(ts) AS since, event_type IN ('click', 'error', 'purchase') AS active
+    FROM events JOIN parts ON event_id = page_id)
+  WHERE key IS NOT NULL GROUP BY 1, 2),
+hits AS (
+  SELECT k.page_id, c.key, c.since, row_number() OVER (PARTITION BY k.page_id ORDER BY length(c.key) DESC, c.key DESC) AS n,
+    count(*) OVER (PARTITION BY k.page_id) AS n_active
+  FROM (SELECT k.page_id, k.key, c.since, c.active FROM keys k ASOF JOIN changes c ON k.key = c.key AND k.fetched_at >= c.since) k
+  JOIN changes c ON c.key = k.key AND c.since = k.since WHERE k.active)
+SELECT pg.page_id, pg.fetched_at, pg.host, coalesce(n_active, 0) AS n_active, n_active IS NOT NULL AS blocked,
+  hits.key AS rule, hits.since AS valid_from
+FROM pg LEFT JOIN hits ON hits.page_id = pg.page_id AND hits.n = 1
+"""
+
+MIXING = """
+WITH s AS (SELECT source, sum(coalesce(strlen(text), 0) + 1) AS bytes FROM documents GROUP BY 1),
+r AS (
+  SELECT source, pow(bytes, 0.7) / (SELECT sum(pow(bytes, 0.7)) FROM s) * (SELECT sum(bytes) FROM s) / bytes AS rate FROM s),
+b AS (
+  SELECT *, CAST(greatest(0, floor(rate - 12 * sqrt(rate) - 20)) AS BIGINT) AS low,
+    CAST(ceil(rate + 12 * sqrt(rate) + 20) AS BIGINT) AS high FROM r),
+k AS (SELECT source, rate, unnest(range(low, high + 1)) AS k FROM b),
+p AS (
+  SELECT source, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS p FROM k),
+d AS (
+  SELECT doc_id, source, (CAST('0x' || substr(md5('mix|' || doc_id), 1, 13) AS BIGINT) + 0.5) / pow(2, 52) AS u FROM documents),
+c AS (
+  SELECT d.doc_id, d.source, rate, low + (SELECT count(*) FROM p WHERE p.source = d.source AND p.p <= d.u) AS copies
+  FROM d JOIN b ON b.source = d.source),
+e AS (SELECT *, unnest(range(1, copies + 1)) AS copy FROM c)
+SELECT doc_id, source, round(rate, 6) AS rate, copies, copy,
+  CAST('0x' || substr(md5('mix-order|' || doc_id || '|' || copy), 1, 13) AS BIGINT) AS shuffle_key
+FROM e
+"""
+
+
+def _secrets() -> str:
+    """For each rule: matches, the counted group, the pieces between, and spans from running lengths."""
+    quoted = [r.pattern.replace("'", "''") for r in RULES]
+    found = ", ".join(
+        f"regexp_extract_all(t, '{q}') AS f{i}, regexp_extract_all(t, '{q}', {r.group}) AS v{i}, "
+        f"string_split_regex(t, '{q}') AS p{i}"
+        for i, (r, q) in enumerate(zip(RULES, quoted))
+    )
+    spans = ", ".join(
+        f"[{{'start': list_sum([length(x) FOR x IN p{i}[:n]]) + coalesce(list_sum([length(x) FOR x IN f{i}[:n - 1]]), 0), "
+        f"'kind': {i}, 'size': length(f{i}[n])}} FOR n IN range(1, len(f{i}) + 1) IF length(v{i}[n]) >= {r.least}] AS s{i}"
+        for i, r in enumerate(RULES)
+    )
+    kinds = "[" + ", ".join(f"'{r.kind}'" for r in RULES) + "]"
+
+    def told(lists: str) -> str:
+        each = f"[{kinds}[x.kind + 1] || ':' || x.start || ':' || (x.start + x.size) FOR x IN list_sort({lists})]"
+        return f"coalesce(array_to_string({each}, ','), '')"
+
+    base = "s0 || s1 || s2"
+    every = " || ".join(f"s{i}" for i in range(len(RULES)))
+    counts = ", ".join(f"CAST(len(s{i}) AS BIGINT) AS n_{r.kind}" for i, r in enumerate(BASE))
+    return (
+        f"WITH f AS (SELECT doc_id, {found} FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)), "
+        f"s AS (SELECT doc_id, {spans} FROM f) "
+        f"SELECT doc_id, {counts}, sha256({told(base)}) AS base_sha256, {told(every)} AS spans FROM s"
+    )
+
+
+SQL = {
+    "op1_warc_members": WARC,
+    "op4_url_list_asof": URL_LISTS,
+    "op7_secret_trigrams": _secrets(),
+    "op9_poisson_mixing": MIXING,
+}

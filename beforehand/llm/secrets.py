@@ -45,6 +45,7 @@ MORE = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 )
+RULES = BASE + MORE
 
 
 def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
