@@ -1,0 +1,104 @@
+import random
+import re
+
+import pytest
+import xxhash
+
+from beforehand.llm import components, queries, simhash
+
+from .helpers import clashing, corpus, docs
+
+
+def brute_print(t):
+    t = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", t)
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) >= 3 else [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), seed=42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_groups(prints, k=2):
+    parent = list(range(len(prints)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= k:
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(prints))]
+
+
+def test_whole_table(spark, monkeypatch):
+    rows = corpus(160)
+    monkeypatch.setattr(queries, "table", lambda *_: clashing(docs(spark, rows)))
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op2_simhash_pigeonring(spark, "").collect()}
+    prints = [brute_print(r[1]) for r in rows]
+    groups = brute_groups(prints)
+    assert got == {r[0]: (f"{p:016x}", rows[g][0]) for r, p, g in zip(rows, prints, groups)}
+
+
+def flips(rng, n, width):
+    return [sum(1 << b for b in rng.sample(range(64), rng.randint(0, width))) for _ in range(n)]
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+@pytest.mark.parametrize("k,limit", [(2, 512), (2, 3), (4, 512), (4, 2), (0, 512)])
+def test_links_by_chains_and_by_meeting_halfway(spark, k, limit):
+    rng = random.Random(k * 10 + limit)
+    centres = [rng.getrandbits(64) for _ in range(12)]
+    prints = sorted({c ^ f for c in centres for f in flips(rng, 14, 4)} | {0, (1 << 64) - 1})
+    rows = spark.createDataFrame([(i, signed(p)) for i, p in enumerate(prints)], "doc_id long, fp long")
+    got = {r.doc_id: r.component_id for r in simhash.groups(rows, k, bucket_limit=limit).collect()}
+    assert got == dict(enumerate(brute_groups(prints, k)))
+
+
+@pytest.mark.parametrize("segments,k", [(5, 2), (7, 2), (3, 2), (9, 4), (11, 4)])
+def test_every_close_pair_has_a_viable_chain(segments, k):
+    rng = random.Random(0)
+    keys, longer = simhash.chains(segments, k)
+    for _ in range(3000):
+        diff = sum(1 << b for b in rng.sample(range(64), rng.randint(0, k)))
+        assert any(
+            not diff & key and all((diff & bits).bit_count() <= most for bits, most in own)
+            for key, own in zip(keys, longer)
+        )
+
+
+def test_one_of_each_keeps_one_row_whatever_the_ids(spark):
+    rows = [(5, "a b c d", "en", "s", 7), (5, "a b c d", "en", "s", 7), (None, "a b c d", "en", "s", 7),
+            (None, "x y z w", "en", "s", 7), (None, "x y z w", "en", "s", 7), (2, None, None, None, None), (1, "", "en", "s", 0)]
+    got = simhash.one_of_each(clashing(docs(spark, rows))).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in got) == [
+        (False, 1, ""), (False, 5, "a b c d"), (True, 0, "x y z w")
+    ]
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(docs(spark, [])).collect() == []
+    assert simhash.one_of_each(docs(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("edges", [
+    [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 30)], [(3, 1), (1, 3), (3, 3), (9, 8), (8, -7)], [],
+])
+def test_components(spark, edges):
+    got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    want = {}
+    for a, b in edges:
+        for x in (a, b):
+            want.setdefault(x, {x})
+        if a != b:
+            both = want[a] | want[b]
+            for x in both:
+                want[x] = both
+    assert got == {x: min(s) for x, s in want.items() if len(s) > 1}
