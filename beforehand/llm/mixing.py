@@ -75,9 +75,10 @@ def replicate(
     smoothing: float = SMOOTHING,
     seed: str = "mix",
     keep: tuple[str, ...] | None = None,
+    draws: bool = True,
 ) -> DataFrame:
-    """The columns ``keep`` (all by default) of each document as often as its draw says, and
-    ``rate, copies, copy`` (from 1)``, shuffle_key``; rows in the order of shuffle_key.
+    """The columns ``keep`` (all by default) of each document as often as its draw says, and, with
+    ``draws``, ``rate, copies, copy`` (from 1)``, shuffle_key``; rows in the order of shuffle_key.
 
     A document's uniform number is a hash of the seed and its doc_id (without one, of its text),
     so a run can be repeated and a lost task draws the same. Documents drawn zero times go.
@@ -85,17 +86,17 @@ def replicate(
     the adaptive join where that table is too large to broadcast. Copies are made before the
     one shuffle, which sorts all rows by a hash of seed, document and copy.
     """
-    columns = list(keep or docs.columns)
-    drawn = inverses(rates(docs, weights, size_ratio, smoothing))
+    drawn = inverses(rates(docs.select("source", "text"), weights, size_ratio, smoothing))
     drawn = drawn.where("rate > 0").select(F.col("source").alias("_source"), "rate", "least", "steps")
     name = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    own = [F.col(c) for c in columns]
-    rows = docs.select(*own, F.col("source").alias("_of"), F.col("doc_id").alias("_id"), name.alias("_name"))
+    # the documents' columns as one, so that no name of theirs can clash
+    whole = F.struct(*(keep or docs.columns)).alias("_doc")
+    rows = docs.select(whole, F.col("source").alias("_of"), F.col("doc_id").alias("_id"), name.alias("_name"))
     rows = rows.withColumn("_u", (_number(seed, F.col("_name")) + 0.5) / float(1 << 52))
     rows = rows.join(drawn, rows["_of"].eqNullSafe(drawn["_source"]))
     copies = F.col("least") + F.size(F.filter("steps", lambda p: p <= F.col("_u")))
     rows = rows.withColumn("copies", copies.cast("long")).where("copies > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     rows = rows.withColumn("shuffle_key", _number(seed + "-order", F.col("_name"), F.col("copy")))
-    rows = rows.select(*columns, "_id", "rate", "copies", "copy", "shuffle_key")
-    return rows.orderBy("shuffle_key", "_id", "copy").drop("_id")
+    rows = rows.orderBy("shuffle_key", "_id", "copy")
+    return rows.select("_doc.*", *(("rate", "copies", "copy", "shuffle_key") if draws else ()))

@@ -2,10 +2,11 @@
 
 Each source is a queue of tokens, documents in the order of doc_id. A window has ``length``
 tokens in grains of ``grain``. Window after window, a queue earns its share of the grains; what
-is not a whole grain is a deficit that it carries on. The running sum of whole grains after w
-windows has a closed form, floor(cumulative share * w), so any document's place follows from
-its place in its queue alone. Deficits thus cross windows, partitions and machines without any
-of them waiting for another.
+is not a whole grain is a deficit that it carries on. What a queue has had after w windows has
+a closed form: queues are the leaves of a binary tree, and of the first k grains of a branch
+floor(k * share) are its left side's. So any document's place follows from its place in its
+queue alone, and deficits cross windows, partitions and machines without any of them waiting
+for another.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.window import Window
 
 from .common import saved
@@ -80,13 +82,23 @@ def encode(text: str, path: str) -> np.ndarray:
     return np.append(np.frombuffer(ids, "<u4"), np.uint32(END_ID))
 
 
+def served(path: list, k: int) -> tuple[int, int]:
+    """Of the first ``k`` grains of a phase: the queue's own, and those of queues before it."""
+    earlier = 0
+    for turn in path:
+        left = k * turn["left"] // turn["total"]
+        if turn["right"]:
+            earlier, k = earlier + left, k - left
+        else:
+            k = left
+    return k, earlier
+
+
 def places(first: int, n: int, queue: dict, length: int = LENGTH, grain: int = GRAIN) -> Iterator[tuple[int, int, int, int]]:
     """``(start, size, sequence, offset)`` of the pieces of the ``n`` tokens that begin at ``first`` in their queue.
 
-    In a phase of ``total`` grains, the queues up to some cumulative count c have had
-    c * per * w // total of them after w windows. What a queue has had is the difference of two
-    such numbers, and so is the place of its run in a window. Tokens beyond the last whole
-    grain of a queue go to the end, one queue after another.
+    In a window the grains of a queue lie together, queues in their order. Tokens beyond the last
+    whole grain of a queue go to the end, one queue after another.
     """
     per, at, end, whole = length // grain, first, first + n, queue["grains"]
     while at < end:
@@ -95,21 +107,14 @@ def places(first: int, n: int, queue: dict, length: int = LENGTH, grain: int = G
             place, stop = queue["tail"] + at - whole * grain, end
         else:
             ph = next(p for p in queue["phases"] if p["first"] <= j < p["first"] + p["own"])
-            own, before, total = ph["own"], ph["before"], ph["total"]
-            j -= ph["first"]
-
-            def had(c: int, w: int) -> int:
-                return c * min(per * w, total) // total
-
-            w = max(1, j * total // (own * per))
-            while had(before + own, w) - had(before, w) <= j:
+            own, total, path, j = ph["own"], ph["total"], ph["path"], j - ph["first"]
+            w = j * total // (own * per)
+            while served(path, min(per * (w + 1), total))[0] <= j:
                 w += 1
-            while w > 1 and had(before + own, w - 1) - had(before, w - 1) > j:
+            while w and served(path, per * w)[0] > j:
                 w -= 1
-            low = had(before + own, w - 1) - had(before, w - 1)
-            high = had(before + own, w) - had(before, w)
-            run = had(before, w) - had(before, w - 1)
-            place = (ph["slot"] + per * (w - 1) + run + j - low) * grain + at % grain
+            (low, before), (high, after) = served(path, per * w), served(path, min(per * (w + 1), total))
+            place = (ph["slot"] + per * w + after - before + j - low) * grain + at % grain
             stop = min(end, (ph["first"] + high) * grain)
         while at < stop:
             size = min(stop - at, length - place % length)
@@ -117,27 +122,42 @@ def places(first: int, n: int, queue: dict, length: int = LENGTH, grain: int = G
             at, place = at + size, place + size
 
 
-def phases(totals: list[tuple], weights: dict, grain: int = GRAIN) -> list[dict]:
-    """How queues with these token totals are served at given weights: one phase until the first
-    is empty, one with the rest until the next is, and so on; those of weight 0 come last."""
+def _paths(counts: list[int]) -> list[list[dict]]:
+    """For each count, its turns from the root of a balanced tree over all of them."""
+    if len(counts) == 1:
+        return [[]]
+    half = len(counts) // 2
+    turn = {"left": sum(counts[:half]), "total": sum(counts)}
+    return [
+        [{"right": right, **turn}, *path]
+        for right, side in ((False, counts[:half]), (True, counts[half:]))
+        for path in _paths(side)
+    ]
+
+
+def plan(totals: list[tuple], weights: dict | None = None, grain: int = GRAIN) -> list[dict]:
+    """How queues with these token totals are served.
+
+    Without weights, in one phase with the shares of the totals. With weights, in one phase until the first
+    queue is empty, one with the others until the next is, and so on; those of weight 0 come last.
+    """
     left = {q: n // grain for q, n in totals}
-    out = {q: {"queue": q, "grains": left[q], "phases": []} for q, _ in totals}
-    first, slot, order = dict.fromkeys(left, 0), 0, [q for q, _ in totals]
+    out = {q: {"queue": q, "grains": left[q], "phases": []} for q in left}
+    first, slot = dict.fromkeys(left, 0), 0
     while any(left.values()):
-        live = [q for q in order if left[q] and weights.get(q, 0) > 0]
+        live = [q for q in left if left[q] and (weights or {}).get(q, 0) > 0]
         if live:
             share = {q: Fraction(weights[q]) for q in live}
             scarce = min(live, key=lambda q: left[q] / share[q])
             now = {q: int(left[scarce] * share[q] / share[scarce]) for q in live}
+            now = {q: n for q, n in now.items() if n}
         else:
             now = {q: n for q, n in left.items() if n}
-        total, before = sum(now.values()), 0
-        for q in order:
-            if now.get(q):
-                out[q]["phases"].append(
-                    {"first": first[q], "own": now[q], "before": before, "total": total, "slot": slot}
-                )
-                first[q], before, left[q] = first[q] + now[q], before + now[q], left[q] - now[q]
+        total = sum(now.values())
+        for (q, own), path in zip(now.items(), _paths(list(now.values()))):
+            phase = {"first": first[q], "own": own, "total": total, "slot": slot, "path": path}
+            out[q]["phases"].append(phase)
+            first[q], left[q] = first[q] + own, left[q] - own
         slot += total
     tail = slot * grain
     for q, n in totals:
@@ -146,8 +166,21 @@ def phases(totals: list[tuple], weights: dict, grain: int = GRAIN) -> list[dict]
     return list(out.values())
 
 
-PHASE = "struct<first: bigint, own: bigint, before: bigint, total: bigint, slot: bigint>"
-PLAN = f"queue string, grains long, phases array<{PHASE}>, tail long"
+TURN = pa.struct([("right", pa.bool_()), ("left", pa.int64()), ("total", pa.int64())])
+PHASE = pa.struct([*[(n, pa.int64()) for n in ("first", "own", "total", "slot")], ("path", pa.list_(TURN))])
+PLAN = pa.schema([("queue", pa.string()), ("grains", pa.int64()), ("phases", pa.list_(PHASE)), ("tail", pa.int64())])
+
+
+def _planner(weights: dict | None, grain: int):
+    def planned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [t for b in batches for t in zip(*(c.to_pylist() for c in b.columns))]
+        totals.sort(key=lambda t: (t[0] is not None, t[0]))
+        if totals:
+            yield pa.RecordBatch.from_pylist(plan(totals, weights, grain), PLAN)
+
+    return planned
+
+
 STORED = "doc_id long, queue string, part long, start long, n long, ids binary"
 PIECES = (
     "doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -205,26 +238,6 @@ def _placed(length: int, grain: int, with_ids: bool):
     return pieces
 
 
-def _natural(totals: DataFrame, grain: int) -> DataFrame:
-    """The plan that gives every window the corpus's own shares: one phase; one narrow row a queue."""
-    order = Window.orderBy("queue")
-    earlier, every = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    none = F.lit(0).cast("long")
-    rows = totals.withColumn("grains", F.expr(f"tokens div {grain}")).withColumn("rest", F.col("tokens") % grain)
-    total = F.sum("grains").over(every)
-    phase = F.struct(
-        none.alias("first"),
-        F.col("grains").alias("own"),
-        F.coalesce(F.sum("grains").over(earlier), none).alias("before"),
-        total.alias("total"),
-        none.alias("slot"),
-    )
-    tail = total * grain + F.coalesce(F.sum("rest").over(earlier), none)
-    return rows.select("queue", "grains", F.array(phase).alias("phases"), tail.alias("tail"))
-
-
 def pack(
     docs: DataFrame,
     path: str,
@@ -254,16 +267,12 @@ def pack(
     stored = saved(texts.select("doc_id", "queue", "text").mapInArrow(_tokenised(path), STORED), "tokens")
     ranges = saved(stored.groupBy("queue", "part").agg(F.sum("n").alias("tokens")), "ranges")
     totals = ranges.groupBy("queue").agg(F.sum("tokens").alias("tokens"))
-    if weights is None:
-        plan = _natural(totals, grain)
-    else:
-        # one number a source, for the exact arithmetic of the phases
-        known = sorted(((r["queue"], r["tokens"]) for r in totals.collect()), key=lambda x: (x[0] is not None, x[0] or ""))
-        plan = docs.sparkSession.createDataFrame(phases(known, weights, grain), PLAN)
+    # one narrow row a source
+    plans = totals.repartition(1).mapInArrow(_planner(weights, grain), from_arrow_schema(PLAN))
     before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("before", F.coalesce(F.sum("tokens").over(before), F.lit(0).cast("long")))
-    plan = plan.select(F.col("queue").alias("_queue"), F.struct("grains", "phases", "tail").alias("plan"))
-    ranges = ranges.join(plan, ranges["queue"].eqNullSafe(plan["_queue"]))
+    plans = plans.select(F.col("queue").alias("_queue"), F.struct("grains", "phases", "tail").alias("plan"))
+    ranges = ranges.join(plans, ranges["queue"].eqNullSafe(plans["_queue"]))
     ranges = saved(ranges.select(F.col("queue").alias("_queue"), F.col("part").alias("_part"), "before", "plan"), "plan")
     same = stored["queue"].eqNullSafe(ranges["_queue"]) & (stored["part"] == ranges["_part"])
     rows = stored.join(ranges, same).select(

@@ -210,11 +210,15 @@ def redact(docs: DataFrame, more: tuple[Rule, ...] = MORE) -> DataFrame:
     Texts that the index rules out for a rule are not searched for it. Patterns are the strict
     ones, which cover all that ``scan`` finds.
     """
-    names, rules = docs.columns, BASE + more
-    df = _marked(docs, rules)
+    rules = BASE + more
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # as one column, so that no name of theirs can clash
+    packed = F.struct(*rest) if rest else F.struct(F.lit(0))
+    df = _marked(docs.select("doc_id", "text", packed.alias("_rest")), rules)
     for rule in rules:
         clean = F.regexp_replace("text", rule.strict or rule.pattern, REDACTED)
         df = df.withColumn("text", F.when(_may(df, rule), clean).otherwise(F.col("text")))
-    if "n_chars" in names:
-        df = df.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return df.select(*names)
+    out = {c: F.col("_rest").getField(c).alias(c) for c in rest} | {c: F.col(c) for c in ("doc_id", "text")}
+    if "n_chars" in rest:
+        out["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    return df.select(*[out[c] for c in docs.columns])

@@ -171,10 +171,11 @@ def one_of_each(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
 
     Rows are numbered in a written table, so that just one stays whatever ids repeat or lack.
     """
-    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    ids = rows.select("_row", "doc_id")
-    prints = fingerprints(rows, shingle, ("_row",)).withColumnRenamed("_row", "doc_id")
+    whole = F.struct(*docs.columns).alias("_doc")  # as one column, so that no name can clash
+    rows = saved(docs.select(whole, F.monotonically_increasing_id().alias("_row")), "numbered")
+    prints = fingerprints(rows.select("_row", "_doc.text"), shingle, ("_row",)).withColumnRenamed("_row", "doc_id")
     grouped = groups(saved(prints, "simhash"), k).select(F.col("doc_id").alias("_row"), "component_id")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")
+    ids = rows.select("_row", "_doc.doc_id")
     stay = saved(grouped.join(ids, "_row").groupBy("component_id").agg(first).select("first._row"), "stay")
-    return rows.join(stay, "_row", "left_semi").drop("_row")
+    return rows.join(stay, "_row", "left_semi").select("_doc.*")

@@ -41,7 +41,9 @@ MARKER = re.compile(
     re.I,
 )
 LENGTHS = (0, 20, 80, 200)
-N_SYMBOLS = 4 * 2 * (len(LENGTHS) + 1) * 3
+N_MARKERS = len(ROLES) + 1
+N_SHAPES = 2 * (len(LENGTHS) + 1) * 3
+N_SYMBOLS = N_MARKERS * N_SHAPES
 
 
 def marker(line: str) -> tuple[str | None, str]:
@@ -74,8 +76,11 @@ class Model(NamedTuple):
 
 
 def model(counts: dict[tuple[str, int, int], int]) -> Model:
-    """From counts of ("start", state, 0), ("step", from, to) and ("emit", state, symbol)."""
-    start, step, emit = np.full(K, ADDED), np.full((K, K), ADDED), np.full((K, N_SYMBOLS), ADDED)
+    """From counts of ("start", state, 0), ("step", from, to) and ("emit", state, symbol).
+
+    Markers and shapes are taken as independent given the state, so a rare pair is not unseen.
+    """
+    start, step, emit = np.full(K, ADDED), np.full((K, K), ADDED), np.zeros((K, N_SYMBOLS))
     for (kind, a, b), n in counts.items():
         if kind == "start":
             start[a] += n
@@ -86,8 +91,12 @@ def model(counts: dict[tuple[str, int, int], int]) -> Model:
             if not opens and other != role:
                 step[s, t] = 0  # a turn does not change its role
     start[[not opens for _, opens in STATES]] = 0
+    pairs = emit.reshape(K, N_MARKERS, N_SHAPES)
     with np.errstate(divide="ignore"):
-        return Model(*(np.log(x / x.sum(-1, keepdims=True)) for x in (start, step, emit)))
+        start, step, marks, shapes = (
+            np.log(x / x.sum(-1, keepdims=True)) for x in (start, step, pairs.sum(2) + ADDED, pairs.sum(1) + ADDED)
+        )
+    return Model(start, step, (marks[:, :, None] + shapes[:, None, :]).reshape(K, N_SYMBOLS))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

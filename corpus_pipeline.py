@@ -27,7 +27,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated as their source's rate asks, in one global shuffle."""
-    return mixing.replicate(docs).select(*docs.columns)
+    return mixing.replicate(docs, draws=False)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,108 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from beforehand.llm import grams, queries, secrets
+
+from .helpers import clashing, corpus, docs, sentence
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+ACCESS, HEX = re.compile("AKIA[A-Z0-9]+"), re.compile("[0-9a-f]+")
+
+
+def base(text):
+    text = text or ""
+    out = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    out += [("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
+    out += [("hex", *m.span()) for m in HEX.finditer(text) if len(m[0]) >= 24]
+    order = ["assign", "access", "hex"]
+    return sorted(out, key=lambda s: (s[1], order.index(s[0])))
+
+
+def more(text):
+    return [(r.kind, *m.span()) for r in secrets.MORE for m in re.finditer(r.pattern, text or "", re.A)]
+
+
+def told(spans):
+    return ",".join(":".join(map(str, s)) for s in spans)
+
+
+def sample():
+    rng = random.Random(9)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in (8, 23, 24, 40, 64)]
+    bits = [f'token = "{h}"' for h in hexes] + [
+        "AKIA" + "A" * 15, "AKIA" + "AKIA" * 4, "AKIAAKIA" + "B7" * 9, "secret: token : abcdefgh", "PassWord='x'", "API_KEY=abc123xyz",
+        "passwd  :   hunter2hunter2", "token=token=abcdef", "ghp_" + "a1B2" * 10, "xoxb-" + "1234567890-" * 3, "AIza" + "S" * 36,
+        "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSM", "-----BEGIN RSA PRIVATE KEY-----", "apikeys", "secretary", "ſecret=abcdefgh",
+        "pas swo token", "\U0001F511 é token=" + hexes[3], "toKen=abcdefgh",
+    ]
+    rows = corpus(60)
+    for i in range(150):
+        words = sentence(rng, 20).split()
+        for _ in range(rng.randint(0, 5)):
+            words.insert(rng.randrange(len(words)), rng.choice(bits))
+        rows.append((10_000 + i, rng.choice([" ", "\n", ""]).join(words), "en", "big", 1))
+    rows.append((20_000, "token=abcdefgh " * 3000, "en", "big", 1))
+    rows.append((None, "secret=abcdefgh", "en", "big", 1))
+    rows.append((20_001, "password=abcdefgh", "en", "big", 1))
+    rows.append((20_001, "nothing", "en", "big", 1))
+    return rows + rows[-2:]
+
+
+def test_whole_table(spark, monkeypatch):
+    rows = sample()
+    monkeypatch.setattr(queries, "table", lambda *_: clashing(docs(spark, rows)))
+    want = []
+    for doc_id, text, *_ in rows:
+        b = base(text)
+        order = [r.kind for r in secrets.RULES]
+        every = sorted(b + more(text), key=lambda s: (s[1], order.index(s[0])))
+        n = [sum(s[0] == k for s in b) for k in ("assign", "access", "hex")]
+        want.append((doc_id, *n, hashlib.sha256(told(b).encode()).hexdigest(), told(every)))
+    got = [tuple(r) for r in queries.op7_secret_trigrams(spark, "").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(w[1] + w[2] + w[3] for w in want) > 3100 and any("pem" in w[5] for w in want)
+
+
+def test_no_python_in_the_plan(spark):
+    plan = secrets.scan(docs(spark))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("pattern,want", [
+    ("abcd", {frozenset({"abc", "bcd"})}),
+    ("(?i)PASS(word|wd)", {frozenset({"pas", "ass", "ssw", "swo", "wor", "ord"}), frozenset({"pas", "ass", "ssw", "swd"})}),
+    ("abc.*xyz", {frozenset({"abc", "xyz"})}),
+    ("ab?c", set(grams.ANY)), ("[0-9a-f]{24,}", set(grams.ANY)), ("(abc|.)", set(grams.ANY)), ("(abc)*", set(grams.ANY)),
+    ("(abc)+d", {frozenset({"abc"})}), ("a[bc]d", {frozenset({"abd"}), frozenset({"acd"})}), (r"\bkey:", {frozenset({"key", "ey:"})}),
+    ("x{3}y", {frozenset({"xxx", "xxy"})}), ("[^a]bcd", {frozenset({"bcd"})}),
+])
+def test_queries_of_patterns(pattern, want):
+    assert grams.query(pattern) == frozenset(want)
+
+
+@pytest.mark.parametrize("rule", secrets.RULES, ids=lambda r: r.kind)
+def test_every_match_satisfies_its_query(rule):
+    for _, text, *_ in sample():
+        low = (text or "").lower()
+        if re.search(rule.pattern, text or "", re.A):
+            assert any(all(g in low for g in need) for need in grams.query(rule.pattern))
+
+
+def test_redaction(spark):
+    rows = sample()
+    got = secrets.redact(clashing(docs(spark, rows)))
+    assert got.columns == clashing(docs(spark, [])).columns and got.schema["n_chars"].dataType.typeName() == "long"
+    out = got.collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert not base(r.text) and not more(r.text)
+        assert r.n_chars == (None if r.text is None else len(r.text))
+    clean = {r[1] for r in rows if not base(r[1]) and not more(r[1]) and "secret: token" not in (r[1] or "")}
+    assert clean <= {r.text for r in out}
+
+
+def test_empty_table(spark):
+    assert secrets.scan(docs(spark, [])).collect() == [] and secrets.redact(docs(spark, [])).collect() == []
