@@ -3,6 +3,7 @@ from .scalar import (
     epoch_micros,
     epoch_seconds,
     flag_equals,
+    in_days,
     in_range,
     known_label,
     ordinal,
@@ -16,6 +17,7 @@ __all__ = [
     "epoch_micros",
     "epoch_seconds",
     "flag_equals",
+    "in_days",
     "in_range",
     "known_label",
     "ordinal",

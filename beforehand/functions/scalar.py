@@ -25,6 +25,13 @@ def known_label(label: Column | str, confirmed: Column | str, cutoff) -> Column:
     return F.when((_col(label) == 1) & (_col(confirmed) < cutoff), 1).otherwise(0)
 
 
+def in_days(date: str, start, end) -> Column:
+    """The days that the time range [start, end) touches; on a partition column it skips folders."""
+    day = F.col(date).cast("date")
+    first, last = (F.to_date(F.to_timestamp(F.lit(str(t)))) for t in (start, end))
+    return (day >= first) & (day <= last)
+
+
 def in_range(time: Column | str, start, end) -> Column:
     """Half-open time range [start, end)."""
     t = _col(time)

@@ -16,7 +16,12 @@ DAY_MICROS = 86_400_000_000
 def known_history(
     df: DataFrame, time: str, label: str, confirmed: str, hist_end, label_cutoff
 ) -> DataFrame:
-    """Rows before ``hist_end`` with ``known`` = what the cutoff day knew about them."""
+    """Rows before ``hist_end`` with ``known`` = what the cutoff day knew about them.
+
+    Where rows carry their ``txn_date``, later days are not read.
+    """
+    if "txn_date" in df.columns:
+        df = df.where(F.col("txn_date") <= F.to_date(F.to_timestamp(F.lit(str(hist_end)))))
     return df.where(F.col(time) < F.to_timestamp(F.lit(str(hist_end)))).withColumn(
         "known", known_label(label, confirmed, label_cutoff)
     )

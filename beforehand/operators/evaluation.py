@@ -5,11 +5,14 @@ Everything starts from one row per distinct score, so ties are handled exactly.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import in_range
+from ..functions import in_days, in_range
+from ..session import shared_dir
 
 MIN_RANGES, MAX_RANGES = 200, 5_000
 FPR_TARGETS = (0.01, 0.001)
@@ -24,12 +27,26 @@ def temporal_split(df: DataFrame, time: str, ranges: dict[str, tuple], name: str
     return df.withColumn(name, picked)
 
 
+def split_parts(df: DataFrame, time: str, ranges: dict[str, tuple], name: str = "split", date: str = "txn_date") -> DataFrame:
+    """The rows of ranges that do not overlap, each labelled; rows in no range are left out.
+
+    Each range is a filter of its own, on the date column too where there is one, so a later
+    filter on ``name`` reads that range's days alone.
+    """
+    dated = date in df.columns
+    parts = []
+    for s, (a, b) in ranges.items():
+        part = df.where(in_days(date, a, b)) if dated else df
+        parts.append(part.where(in_range(time, a, b)).withColumn(name, F.lit(s)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def random_group_split(df: DataFrame, group: list[str], train_tenths: int = 7, name: str = "in_train") -> DataFrame:
     """Random split by hash of a group key, so copies of a row never land on both sides."""
     return df.withColumn(name, F.pmod(F.xxhash64(*group), F.lit(10)) < train_tenths)
 
 
-def _bucketed(df: DataFrame, column: str, edges: list[float], name: str) -> DataFrame:
+def bucketed(df: DataFrame, column: str, edges: list[float], name: str) -> DataFrame:
     """``name`` = number of ``edges`` at or below the value (binary search on the JVM)."""
     splits = [float("-inf"), *edges, float("inf")]
     out = Bucketizer(splits=splits, inputCol=column, outputCol=name).transform(df)
@@ -64,16 +81,21 @@ def score_curve(
 ) -> DataFrame:
     """Cumulative ``tp`` and ``fp`` at each distinct score, from the highest down.
 
-    Scores are cut into ranges of about equal size; each range is summed in its own task
+    Rows are counted per distinct score once, in a written table. Its scores are cut into ranges
+    of about equal number, however many rows share a score; each range is summed in its own task
     and started at the totals of the higher ranges. There are as many ranges as shuffle
     partitions, within limits, and the driver sees one number for each.
     """
     by = by or []
     ranges = ranges or _default_ranges(df)
     at = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(F.col(score).cast("double"), at, 50 * ranges)).first()[0]
+    path = shared_dir(df.sparkSession, "scores")
+    counted = score_counts(df, score, label, by)
+    counted.write.parquet(path)
+    counts = df.sparkSession.read.schema(counted.schema).parquet(path)
+    cuts = counts.agg(F.percentile_approx("score", at, 50 * ranges)).first()[0]
     edges = sorted(set(cuts)) if cuts else [0.0]
-    counts = _bucketed(score_counts(df, score, label, by), "score", edges, "range").withColumn("_g", _group(by))
+    counts = bucketed(counts, "score", edges, "range").withColumn("_g", _group(by))
     sums = counts.groupBy("_g", "range").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     # at most ``ranges`` rows per group
     whole = Window.partitionBy("_g")
@@ -182,7 +204,7 @@ def cost_curve(
     spark = df.sparkSession
     is_pos = F.col(label) == 1
     binned = (
-        _bucketed(df.withColumn("_p", F.col(score).cast("double")), "_p", thresholds, "bin")
+        bucketed(df.withColumn("_p", F.col(score).cast("double")), "_p", thresholds, "bin")
         .groupBy("bin")
         .agg(
             F.sum(F.when(is_pos, F.col(amount).cast(MONEY))).alias("_lost"),

@@ -24,8 +24,13 @@ def estimated_bytes(schema: T.StructType, rows: int) -> int:
 
 
 def fits_broadcast(small: DataFrame, rows: int | None = None, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether ``small`` is known to stay below ``limit``; counts it unless ``rows`` is given."""
-    return estimated_bytes(small.schema, small.count() if rows is None else rows) <= limit
+    """Whether ``small`` stays below ``limit``: its rows, unless given, and its texts are measured in one pass."""
+    texts = [f.name for f in small.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    if rows is not None and (not texts or estimated_bytes(small.schema, rows) > limit):
+        return estimated_bytes(small.schema, rows) <= limit
+    lengths = [F.coalesce(F.sum(F.octet_length(c).cast("long")), F.lit(0)) for c in texts]
+    n, *octets = small.agg(F.count(F.lit(1)), *lengths).first()
+    return estimated_bytes(small.schema, n) + sum(octets) <= limit
 
 
 def merge_join(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:

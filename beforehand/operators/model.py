@@ -10,6 +10,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .evaluation import bucketed
 from .reports import class_weight, ranked_share
 
 MISSING = -1.0
@@ -74,14 +75,22 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+CALIBRATION_POINTS = 2_000
+
+
 def fit_calibration(df: DataFrame, score: str, label: str) -> IsotonicRegressionModel:
     """Monotone map from score to observed rate.
 
-    Rows first collapse to one weighted point per score rounded to 1e-4, so the fit
-    handles at most 10,001 points for probabilities whatever the table's size.
+    Rows first collapse to weighted points: one for each of up to ``CALIBRATION_POINTS`` ranges of
+    equal numbers of distinct scores, at the mean of its scores. Low scores, where most rows
+    lie, thus stay apart however close they are, and fewer distinct scores are not merged.
     """
-    points = df.groupBy(F.round(score, 4).alias("_s")).agg(
-        F.avg(F.col(label).cast("double")).alias("_y"), F.count(F.lit(1)).cast("double").alias("_w")
+    scores = df.select(F.col(score).cast("double").alias("_s"), F.col(label).cast("double").alias("_y"))
+    at = [i / CALIBRATION_POINTS for i in range(1, CALIBRATION_POINTS)]
+    cuts = scores.select("_s").distinct().agg(F.percentile_approx("_s", at, 10 * CALIBRATION_POINTS)).first()[0]
+    ranged = bucketed(scores, "_s", sorted(set(cuts)) if cuts else [0.0], "_range")
+    points = ranged.groupBy("_range").agg(
+        F.avg("_s").alias("_s"), F.avg("_y").alias("_y"), F.count(F.lit(1)).cast("double").alias("_w")
     )
     return IsotonicRegression(featuresCol="_s", labelCol="_y", weightCol="_w").fit(points)
 

@@ -15,11 +15,14 @@ class GateError(RuntimeError):
 def dedup(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep one row per business key: the first in ``order``, then in the other columns.
 
-    Copies combine on the map side, so a key with very many copies stays cheap.
+    A row in which a key is NULL is nobody's copy: all such rows are kept. Copies combine on the
+    map side, so a key with very many copies stays cheap.
     """
     rest = [c for c in df.columns if c not in keys]
     rank = F.struct(*order, *[c for c in rest if c not in order])
-    kept = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("_kept"))
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    apart = df.withColumn("_apart", F.when(missing, F.monotonically_increasing_id()))
+    kept = apart.groupBy(*keys, "_apart").agg(F.min_by(F.struct(*rest), rank).alias("_kept"))
     return kept.select(*[F.col(c) if c in keys else F.col(f"_kept.{c}").alias(c) for c in df.columns])
 
 

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_micros, epoch_seconds
-from .skew import KeyProfile, next_instant, null_safe_join, previous_row, profile_keys, running_totals
+from .skew import KeyProfile, addend, next_instant, null_safe_join, previous_row, profile_keys, running_totals
 
 MINUTE, HOUR, DAY = 60, 3600, 86_400
 WEEK = 7 * DAY
 
 DEFAULT_RSD = 0.05
+DIGITS = 9
 
 
 @dataclass(frozen=True)
@@ -58,7 +59,9 @@ def rolling(
         if profile is None:
             micros = F.col(at) * (1_000_000 // tick)
             profile = profile_keys(df.withColumn("_time", F.timestamp_micros(micros)), key, "_time")
-        if profile.truncated:
+        estimated = any(s.agg == "approx_distinct" for s in specs)
+        # the sweep counts exactly: estimates of light keys must not stand beside counts of heavy ones
+        if profile.truncated or profile.heavy and estimated:
             route = "sweep"
         elif profile.heavy:
             light, heavy = profile.split(df)
@@ -86,6 +89,21 @@ def _integral(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.IntegralType)
 
 
+def _exact(df: DataFrame, column: str) -> Column:
+    """What sums add up, on every route: whole numbers, or decimals with ``DIGITS`` after the point.
+
+    Decimals add to the same total in any order, so a key's size cannot change a value. NaN,
+    infinity and numbers of 20 digits before the point have no such form and fail.
+    """
+    if _integral(df, column):
+        return F.col(column).cast("long")
+    value = F.col(column)
+    if isinstance(df.schema[column].dataType, T.FractionalType) and not isinstance(df.schema[column].dataType, T.DecimalType):
+        refused = F.raise_error(F.lit(f"NaN or infinity in {column}")).cast("double")
+        value = F.when(F.isnan(value - value), refused).otherwise(value)
+    return value.cast(f"decimal(28,{DIGITS})")
+
+
 def _by_window(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int) -> DataFrame:
     base = Window.partitionBy(key).orderBy(at)
 
@@ -94,10 +112,11 @@ def _by_window(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int
         if s.agg == "count":
             return F.count(F.lit(1)).over(frame)
         if s.agg == "sum":
-            zero = F.lit(0).cast("long") if _integral(df, s.column) else F.lit(0.0)
-            return F.coalesce(F.sum(s.column).over(frame), zero)
+            total = F.coalesce(F.sum(_exact(df, s.column)).over(frame), F.lit(0))
+            return total.cast("long" if _integral(df, s.column) else "double")
         if s.agg == "mean":
-            return F.avg(s.column).over(frame)
+            total = F.sum(_exact(df, s.column)).over(frame).cast("double")
+            return F.try_divide(total, F.count(s.column).over(frame))
         if s.agg == "distinct":
             return F.size(F.collect_set(s.column).over(frame)).cast("long")
         if s.agg == "approx_distinct":
@@ -113,12 +132,12 @@ def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int,
     Rows are first summed per (key, instant). A value enters after its instant and leaves
     ``seconds`` later; the rolling value is what entered minus what left, both running
     sums. For distinct counts each (key, member) interval is cut at the member's next
-    appearance, so a member never counts twice. Sums run on decimals with six digits
-    after the point, so that differences of long sums stay exact.
+    appearance, so a member never counts twice. Differences of long sums stay exact on the
+    numbers of ``_exact``.
     """
     sums = sorted({s.column for s in specs if s.agg in ("sum", "mean")})
     means = sorted({s.column for s in specs if s.agg == "mean"})
-    amount = {c: F.col(c).cast("long" if _integral(df, c) else "decimal(28,6)") for c in sums}
+    amount = {c: _exact(df, c) for c in sums}
     per_instant = df.groupBy(key, F.col(at).alias("_at")).agg(
         F.count(F.lit(1)).alias("_m_rows"),
         *[F.coalesce(F.sum(amount[c]), F.lit(0)).alias(f"_m_sum_{c}") for c in sums],
@@ -158,7 +177,7 @@ def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int,
     swept = running_totals(events, key, "_at", inclusive, [f"_in_{m}" for m in seen], width).where("_ask")
 
     def left(m: str, n: int) -> Column:
-        return F.col(f"_in_{m}") - F.col(f"_out_{m}_{n}")
+        return addend(swept, f"_in_{m}") - addend(swept, f"_out_{m}_{n}")
 
     def value(s: Rolling) -> Column:
         if s.agg == "count":

@@ -247,6 +247,13 @@ def next_instant(df: DataFrame, group: list[str], at: str, width: int, name: str
     )
 
 
+def addend(df: DataFrame, column: str) -> Column:
+    """``column``, 0 for NULL; a decimal leaves room for one more digit, so that adding keeps its scale."""
+    kind = df.schema[column].dataType
+    value = F.coalesce(column, F.lit(0))
+    return value.cast(f"decimal(37,{kind.scale})") if isinstance(kind, T.DecimalType) else value
+
+
 def running_totals(
     events: DataFrame,
     key: str,
@@ -276,7 +283,6 @@ def running_totals(
     before = inside.rangeBetween(Window.unboundedPreceding, -1)
     sums = {c: F.sum(c).over(upto) for c in inclusive} | {c: F.sum(c).over(before) for c in exclusive}
     joined = events.withColumns(sums).join(offsets, ["_key", "_slice"], "left")
-    zero = F.lit(0)
     return joined.withColumns(
-        {c: F.coalesce(c, zero) + F.coalesce(f"_off_{c}", zero) for c in cols}
+        {c: addend(joined, c) + addend(joined, f"_off_{c}") for c in cols}
     ).drop("_key", "_slice", *[f"_off_{c}" for c in cols])

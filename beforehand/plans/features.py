@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
@@ -141,8 +142,12 @@ def feature_table(
     return context(df, merchants, sellers)
 
 
-# The longest frame plus the bucket a row may start in.
-LEAD_IN_DAYS = 8
+def lead_in_days() -> int:
+    """Days the longest frame reaches back, and the one in which its first bucket may start."""
+    merchant = inspect.signature(rolling_buckets).parameters
+    frames = [s.seconds for s in card_specs()]
+    frames += [merchant[name].default for name in ("count_seconds", "member_seconds")]
+    return -(-max(frames) // DAY) + 1
 
 
 def feature_range(
@@ -156,12 +161,14 @@ def feature_range(
 ) -> DataFrame:
     """Features of the days [start, end) alone, equal to those of a full build.
 
-    Only ``LEAD_IN_DAYS`` of rows before the range are read whole. Of everything older,
+    Only ``lead_in_days()`` of rows before the range are read whole. Of everything older,
     one row per card, its last, is kept for the time since the last transaction.
     """
-    lead = str(date.fromisoformat(start) - timedelta(days=LEAD_IN_DAYS))
+    lead = str(date.fromisoformat(start) - timedelta(days=lead_in_days()))
     near = prune_dates(txns, lead, end).where(in_range("txn_time", lead, end))
     older = txns.where(F.col("txn_time") < F.to_timestamp(F.lit(lead)))
+    if "txn_date" in txns.columns:
+        older = older.where(F.col("txn_date") <= F.lit(lead).cast("date"))
     # all that the time since the last transaction looks at; no frame reaches back to them
     last = F.max_by(
         F.struct("txn_id", "txn_time", "txn_country"), F.struct(epoch_seconds("txn_time"), F.col("txn_id"))

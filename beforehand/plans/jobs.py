@@ -102,13 +102,8 @@ def train(spark: SparkSession, features: str, out: str, timeline: Timeline, tree
 
     Writes the metrics, the importances and the model below ``out`` and returns the metrics.
     """
-    f = evaluation.temporal_split(
-        tables.read_features(
-            spark, features, ["txn_id", "txn_time", "is_fraud", "label_confirmed_at", *MODEL_INPUTS]
-        ),
-        "txn_time",
-        timeline.ranges,
-    ).where("split is not null")
+    columns = ["txn_id", "txn_time", "txn_date", "is_fraud", "label_confirmed_at", *MODEL_INPUTS]
+    f = evaluation.split_parts(tables.read_features(spark, features, columns), "txn_time", timeline.ranges)
     f = f.withColumn("y_honest", known_label("is_fraud", "label_confirmed_at", timeline.label_cutoff))
     valid, test = (f.where(F.col("split") == s) for s in ("valid", "test"))
 

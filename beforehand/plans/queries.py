@@ -498,6 +498,13 @@ def confusion_at_threshold(spark, sf):
     return out.select("tp", "fp", "fn", "tn", *_r("missed", digits=2), *_r("recall", "precision"))
 
 
+def dedup_missing_keys(spark, sf):
+    """Rows of one merchant in ten have lost their key: none of those is a copy of another."""
+    t = txns(spark, sf).withColumn("txn_id", F.when(F.col("merchant_id") % 10 != 3, F.col("txn_id")))
+    kept = quality.dedup(quality.concat(t, t), ["txn_id"], ["txn_time"])
+    return kept.select("txn_id", "card_id", "merchant_id", "amount")
+
+
 # ---- sources and sinks
 
 
@@ -511,6 +518,17 @@ def partitioned_roundtrip(spark, sf):
     return back.select("txn_id", "card_id", "amount", F.date_format("txn_date", "yyyy-MM-dd").alias("txn_date"))
 
 
+def land_late_rows(spark, sf):
+    """All rows but every day's first hour, then those, late: each day holds both."""
+    path = shared_dir(spark, "landing")
+    t = txns(spark, sf, country=True)
+    late = F.hour("txn_time") == 0
+    tables.land_raw(t.where(~late), path)
+    tables.land_raw(t.where(late), path)
+    back = tables.read_transactions(spark, path)
+    return back.select("txn_id", "card_id", "amount", F.date_format("txn_date", "yyyy-MM-dd").alias("txn_date"))
+
+
 def pruned_range_scan(spark, sf):
     path = shared_dir(spark, "landing")
     tables.write_partitioned(txns(spark, sf, country=True), path)
@@ -614,7 +632,7 @@ def _written_features(spark, sf):
     """The feature table written once and read back, split and with both labels."""
     path = shared_dir(spark, "features")
     tables.write_partitioned(feature_rows(spark, sf), path)
-    f = evaluation.temporal_split(spark.read.parquet(path), "txn_time", TIMELINE.ranges)
+    f = evaluation.split_parts(spark.read.parquet(path), "txn_time", TIMELINE.ranges)
     return f.withColumn(
         "y_honest", encoding.known_label("is_fraud", "label_confirmed_at", TIMELINE.label_cutoff)
     )
@@ -725,7 +743,7 @@ QUERIES = {
         calendar_context, join_sort_merge, join_salted, join_salted_all_keys, join_broadcast,
         join_lookup_left, asof_lookup, asof_lookup_hot_split, key_skew_report, key_skew_topk,
         ranked_share_report, key_attribute_lookup, input_partitions, partition_skew, dedup_transactions, quality_checks, quality_gate, dataset_profile,
-        label_maturity, temporal_split_counts, union_splits, class_weight, honest_labels,
+        label_maturity, temporal_split_counts, dedup_missing_keys, land_late_rows, union_splits, class_weight, honest_labels,
         class_profile, psi_drift, average_precision, roc_auc, metrics_by_split, recall_at_fpr,
         recall_at_fpr_corners, leakage_gap_given_scores, cost_curve, cost_threshold, confusion_at_threshold,
         partitioned_roundtrip, pruned_range_scan, catalog_table_roundtrip, bucketed_table_windows, clustered_files,

@@ -2,27 +2,36 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import in_range
+from ..functions import in_days, in_range
 from ..operators.joins import LINEAR_HEAVY_ROWS
 from ..operators.quality import dedup
 from ..operators.skew import profile_keys
+from ..session import shared_dir
 from .schemas import MERCHANTS, TRANSACTIONS, check_schema
 
 KEYS = ("txn_id", "card_id", "merchant_id", "txn_country", "merchant_country")
 
 
 def normalise(df: DataFrame) -> DataFrame:
-    """Zoned timestamps and a date column derived from the event time."""
+    """Zoned timestamps, and a date column derived from the event time where there is none.
+
+    A date column that is there, as of a table partitioned by it, stays as it is, so that
+    filters on it still skip folders.
+    """
     times = {
         f.name: F.col(f.name).cast("timestamp")
         for f in df.schema.fields
         if isinstance(f.dataType, T.TimestampNTZType)
     }
     out = df.withColumns(times) if times else df
+    if "txn_date" in out.columns and isinstance(out.schema["txn_date"].dataType, T.DateType):
+        return out
     return out.withColumn("txn_date", F.to_date("txn_time"))
 
 
@@ -37,10 +46,7 @@ def read_transactions(spark: SparkSession, path: str, start=None, end=None) -> D
 
 def prune_dates(df: DataFrame, start, end, column: str = "txn_date") -> DataFrame:
     """The date range implied by the time range [start, end), so the scan skips folders."""
-    day = F.col(column).cast("date")
-    first = F.to_date(F.to_timestamp(F.lit(str(start))))
-    last = F.to_date(F.to_timestamp(F.lit(str(end))))
-    return df.where((day >= first) & (day <= last))
+    return df.where(in_days(column, start, end))
 
 
 def read_merchants(spark: SparkSession, path: str) -> DataFrame:
@@ -68,8 +74,37 @@ def write_partitioned(df: DataFrame, path: str, by: str = "txn_date") -> None:
 
 
 def land_raw(df: DataFrame, path: str, key: str = "txn_id", order: str = "txn_time") -> None:
-    """Land a raw batch: one row per key, partitioned by day, safe to rerun."""
-    write_partitioned(dedup(normalise(df), [key], [order]), path)
+    """Land a raw batch: one row per key, partitioned by day, safe to rerun.
+
+    Rows that landed on the batch's days before are kept: the batch is merged with them, so a late
+    row of an old day adds to that day. Only those days are read and written again. Rows
+    without a key cannot be told from copies of each other; landing the same batch again
+    does not double them, as rows equal in every column are kept once.
+    """
+    spark = df.sparkSession
+    batch = saved(normalise(df), "batch")
+    days = [r[0] for r in batch.select("txn_date").distinct().collect()]
+    landed = landed_days(spark, path, days)
+    rows = batch if landed is None else batch.unionByName(landed, allowMissingColumns=True)
+    known, lost = rows.where(F.col(key).isNotNull()), rows.where(F.col(key).isNull()).distinct()
+    # written aside first: the days it replaces are among those it reads
+    write_partitioned(saved(dedup(known, [key], [order]).unionByName(lost), "merged"), path)
+
+
+def landed_days(spark: SparkSession, path: str, days: list) -> DataFrame | None:
+    """The rows of these days below ``path``, or None where nothing has landed yet."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(where) or not len(store.listStatus(where)):
+        return None
+    return normalise(spark.read.parquet(path)).where(F.col("txn_date").isin(days))
+
+
+def saved(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written below the shared folder and read from there."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cluster_write(df: DataFrame, path: str, by: list[str], partitions: int | None = None) -> None:
@@ -96,15 +131,18 @@ def write_table(
     path: str | None = None,
     bucket_by: tuple[int, str] | None = None,
     sort_by: list[str] | None = None,
-) -> None:
+) -> str:
     """Replace a catalog table, its schema included. ``fmt`` may be any installed format.
 
     ``bucket_by`` = (buckets, key) stores each key's rows together, in ``sort_by`` order,
     so windows and joins by that key read the table without a shuffle. A bucket is read by
     one task, so a table in which some key outweighs two buckets is left unbucketed and
-    ordered by ranges instead.
+    ordered by ranges instead, with a warning. Returns the layout: bucketed, ranged or plain.
     """
+    layout = "bucketed" if bucket_by else "plain"
     if bucket_by and not _buckets_even(df, *bucket_by):
+        layout = "ranged"
+        warnings.warn(f"{table}: a key outweighs its bucket, so the table is ordered, not bucketed", stacklevel=2)
         order = sort_by or [bucket_by[1]]
         rows, bucket_by = df.repartitionByRange(*order).sortWithinPartitions(*order), None
     elif bucket_by:
@@ -121,6 +159,7 @@ def write_table(
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
+    return layout
 
 
 def _buckets_even(df: DataFrame, buckets: int, key: str, small: int = LINEAR_HEAVY_ROWS) -> bool:

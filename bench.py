@@ -72,11 +72,12 @@ def cases(spark, wide_transactions: str, wide_merchants: str) -> dict:
 
 
 def widened(spark) -> tuple[str, str]:
-    """The events repeated to 22 times their number: more cards, 30 merchants for each
-    but the hot one, and 90 days instead of 30. Written once, by day."""
+    """The events repeated to 22 times their number: more cards, 22 merchants for each but the hot
+    one, and 90 days instead of 30. Merchants are repeated alike, so every row finds its own.
+    Written once, by day."""
     k = F.col("k")
     shift = F.expr("make_dt_interval(cast(k % 3 as int) * 30)")
-    merchant = F.when(F.col("merchant_id") == 0, F.col("merchant_id")).otherwise(F.col("merchant_id") * 30 + (k % 30))
+    merchant = F.when(F.col("merchant_id") == 0, F.col("merchant_id")).otherwise(F.col("merchant_id") * COPIES + k)
     t = standin.transactions(spark, SF_DIR).drop("score", "txn_date")
     t = t.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1)))).withColumns(
         {
@@ -89,7 +90,12 @@ def widened(spark) -> tuple[str, str]:
     )
     root = shared_dir(spark, "widened")
     tables.write_partitioned(tables.normalise(t.drop("k")), f"{root}/transactions")
-    standin.merchants(spark, SF_DIR).write.parquet(f"{root}/merchants")
+    known = standin.merchants(spark, SF_DIR)
+    own = known.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    own = own.where((F.col("merchant_id") != 0) | (F.col("k") == 0)).withColumn("merchant_id", merchant).drop("k")
+    missing = t.where(F.col("merchant_id") == 0).select("merchant_id").distinct().join(known, "merchant_id", "left_anti")
+    hot = missing.select([F.col(c) if c == "merchant_id" else F.lit(None).cast(own.schema[c].dataType).alias(c) for c in own.columns])
+    own.unionByName(hot).write.parquet(f"{root}/merchants")
     return f"{root}/transactions", f"{root}/merchants"
 
 

@@ -1,0 +1,105 @@
+"""Nothing is lost, and no value depends on how many rows its key has."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from beforehand.operators import encoding, evaluation, joins, quality
+from beforehand.operators.rolling import Rolling, rolling
+from beforehand.operators.skew import profile_keys
+from beforehand.plans import features
+from beforehand.sources import tables
+
+from .helpers import at, by_id, frame, plan_of, txn, txns
+
+SPECS = [Rolling("total", "sum", 3600, "amount"), Rolling("mean", "mean", 3600, "amount")]
+
+
+def both(spark, amounts):
+    df = txns(spark, *[txn(i, i, amount=a) for i, a in enumerate(amounts)])
+    return [
+        by_id(rolling(df, "card_id", "txn_time", SPECS, route=route), "total", "mean") for route in ("window", "sweep")
+    ]
+
+
+@pytest.mark.parametrize("amounts", [[4e-7] * 30, [i / 7 for i in range(40)], [1e15, 0.1, -1e15, 0.2], [None, 1.0, None]])
+def test_window_and_sweep_add_alike(spark, amounts):
+    window, sweep = both(spark, amounts)
+    assert window == sweep
+
+
+@pytest.mark.parametrize("bad", [float("nan"), 1e25, float("inf")])
+@pytest.mark.parametrize("route", ["window", "sweep"])
+def test_what_cannot_be_added_fails_on_both(spark, bad, route):
+    df = txns(spark, *[txn(i, i, amount=a) for i, a in enumerate([1.0, bad, 2.0])])
+    with pytest.raises(Exception, match="NaN|NUMERIC_VALUE_OUT_OF_RANGE|cannot be represented|overflow"):
+        rolling(df, "card_id", "txn_time", SPECS, route=route).collect()
+
+
+def test_an_estimate_means_the_same_for_all_keys(spark):
+    rows = [txn(i, i, card="heavy", merchant=f"m{i}") for i in range(300)]
+    rows += [txn(1000 + i, i, card="light", merchant=f"m{i}") for i in range(60)]
+    df = txns(spark, *rows)
+    specs = [Rolling("n", "approx_distinct", 9000, "merchant_id", 0.2)]
+    profile = profile_keys(df, "card_id", "txn_time", heavy_rows=100)
+    assert profile.heavy
+    got = by_id(rolling(df, "card_id", "txn_time", specs, profile=profile), "n")
+    assert got == {**{i: i for i in range(300)}, **{1000 + i: i for i in range(60)}}
+
+
+def test_rows_without_a_key_are_no_copies(spark):
+    df = frame(spark, "k long, t long, v string", (None, 1, "a"), (None, 1, "a"), (None, 2, "b"), (7, 1, "c"), (7, 1, "c"))
+    got = sorted((r.k or 0, r.v) for r in quality.dedup(df, ["k"], ["t"]).collect())
+    assert got == [(0, "a"), (0, "a"), (0, "b"), (7, "c")]
+
+
+def test_a_late_row_adds_to_its_day(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    first = txns(spark, *[txn(i, i * 3600) for i in range(50)])
+    late = txns(spark, txn(99, 60), txn(3, 3 * 3600), txn(None, 120))
+    tables.land_raw(first, path)
+    for _ in range(2):
+        tables.land_raw(late, path)
+    back = tables.read_transactions(spark, path).collect()
+    assert sorted(-1 if r.txn_id is None else r.txn_id for r in back) == [-1, *range(50), 99]
+
+
+def partition_filters(df):
+    plan = plan_of(df)
+    return [x.split("]")[0] for x in plan.split("PartitionFilters: [")[1:]]
+
+
+def test_time_filters_skip_folders(spark, tmp_path):
+    path = str(tmp_path / "txns")
+    rows = txns(spark, *[txn(i, i * 40_000, fraud=i % 2, confirmed=at(i * 40_000)) for i in range(60)])
+    tables.write_partitioned(tables.normalise(rows), path)
+    t = tables.read_transactions(spark, path)
+    history = encoding.known_history(t, "txn_time", "is_fraud", "label_confirmed_at", "2024-01-15", "2024-02-01")
+    assert all("txn_date" in f for f in partition_filters(history)) and partition_filters(history)
+    ranges = {"train": ("2024-01-11", "2024-01-15"), "test": ("2024-01-20", "2024-01-25")}
+    parts = evaluation.split_parts(t, "txn_time", ranges)
+    test = parts.where("split = 'test'")
+    assert len(partition_filters(test)) == 1 and "2024-01-20" in partition_filters(test)[0]
+    whole = evaluation.temporal_split(t, "txn_time", ranges).where("split is not null")
+    assert sorted(parts.select("txn_id", "split").collect()) == sorted(whole.select("txn_id", "split").collect())
+
+
+def test_the_lead_in_follows_the_frames(monkeypatch):
+    assert features.lead_in_days() == 8
+    longer = [Rolling("x", "count", 20 * 86_400)]
+    monkeypatch.setattr(features, "card_specs", lambda *_: longer)
+    assert features.lead_in_days() == 21
+
+
+def test_equal_scores_do_not_crowd_the_others(spark):
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 100 == 0, F.col("id") / 20_000).otherwise(0.0).alias("s"), (F.col("id") % 7 == 0).cast("int").alias("y")
+    )
+    curve = evaluation.score_curve(df, "s", "y", ranges=20)
+    sizes = [r[1] for r in curve.groupBy("range").count().collect()]
+    assert len(sizes) >= 18 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_long_texts_are_not_broadcast_by_a_guess(spark):
+    small = spark.range(300).select("id", F.repeat(F.lit("x"), 10_000).alias("t"))
+    assert not joins.fits_broadcast(small, limit=1 << 20) and not joins.fits_broadcast(small, 300, 1 << 20)
+    assert joins.fits_broadcast(small.select("id"), limit=1 << 20)
