@@ -45,10 +45,10 @@ def _hashed(codes: np.ndarray, seed: int) -> np.ndarray:
 
 
 def features(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed word 1- and 2-grams and byte 3- and 4-grams of a text: (numbers, values of length 1).
+    """Hashed word 1- and 2-grams and character 3- and 4-grams of a UTF-8 text: (numbers, values of length 1).
 
-    A value is the logarithm of one plus the count. A text is hashed in blocks, so memory does not
-    follow its length.
+    A value is the logarithm of one plus the count; A-Z count as a-z. A text is hashed in blocks, so
+    memory for its grams does not follow its length.
     """
     low = raw.lower()
     counts = np.zeros(DIMS, np.int64)
@@ -57,12 +57,14 @@ def features(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         part = words[at : at + BLOCK + 1]
         counts += np.bincount(_hashed(part[:BLOCK], 1), minlength=DIMS)
         counts += np.bincount(_hashed(part[:-1] * np.uint64(31) + part[1:], 2), minlength=DIMS)
-    for at in range(0, len(low), BLOCK):
-        part = np.frombuffer(low[at : at + BLOCK + 3], np.uint8).astype(np.uint64)
-        three = part[:-2] | part[1:-1] << np.uint64(8) | part[2:] << np.uint64(16)
-        four = three[:-1] | part[3:] << np.uint64(24)
-        counts += np.bincount(_hashed(three[: BLOCK], 3), minlength=DIMS)
-        counts += np.bincount(_hashed(four[: BLOCK], 4), minlength=DIMS)
+    points = np.frombuffer(low.decode("utf-8", "replace").encode("utf-32-le"), "<u4")
+    for at in range(0, len(points), BLOCK):
+        part = points[at : at + BLOCK + 3].astype(np.uint64)
+        # a code point has at most 21 bits
+        three = part[:-2] | part[1:-1] << np.uint64(21) | part[2:] << np.uint64(42)
+        four = three[:-1] * np.uint64(1_000_003) + part[3:]
+        counts += np.bincount(_hashed(three[:BLOCK], 3), minlength=DIMS)
+        counts += np.bincount(_hashed(four[:BLOCK], 4), minlength=DIMS)
     held = np.flatnonzero(counts)
     values = np.log1p(counts[held])
     size = np.sqrt((values**2).sum())

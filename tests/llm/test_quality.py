@@ -41,6 +41,23 @@ def labelled(n, seed):
     return rows, labels
 
 
+def test_grams_are_of_characters():
+    numbers = lambda t: set(q.features(t.encode())[0].tolist())
+    # one word of three characters, seven bytes: itself and one character gram
+    assert len(numbers("äé中")) == 2
+    # and of four: itself, two grams of three, one of four
+    assert len(numbers("äé中文")) == 4
+    assert numbers("ABCD") == numbers("abcd") and numbers("") == set()
+    long = "añ中b " * 70_000
+    whole, blocks = q.features(long.encode()), q.BLOCK
+    q.BLOCK = 1000
+    try:
+        cut = q.features(long.encode())
+    finally:
+        q.BLOCK = blocks
+    assert (whole[0] == cut[0]).all() and np.allclose(whole[1], cut[1])
+
+
 def test_base_counts():
     rng = random.Random(1)
     texts = [r[1] for r in corpus(120)] + ["a b c a b c", "a\n\na\n \n \na", "a b a b a b a", " x y z", "<|>#" * 9, "x\r\nx\r\ny"]
