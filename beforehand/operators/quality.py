@@ -43,6 +43,20 @@ def table_checks(df: DataFrame, key: str, not_null: list[str]) -> DataFrame:
     return row.unpivot([], row.columns, "metric", "value")
 
 
+def row_drift(df: DataFrame, history: DataFrame) -> DataFrame:
+    """Long table ``metric, value``: rows, rows of the last finished version, change as a share of those.
+
+    ``history`` has ``version, rows``; earlier counts come from it, so no old data is read. Without an
+    earlier version, or after an empty one, the share is NULL and breaks any rule on it.
+    """
+    last = history.agg(F.max_by("rows", "version").cast("double").alias("rows_before"))
+    now = df.agg(F.count(F.lit(1)).cast("double").alias("rows"))
+    both = concat(now, last).agg(F.max("rows").alias("rows"), F.max("rows_before").alias("rows_before"))
+    change = F.try_divide(F.abs(F.col("rows") - F.col("rows_before")), F.col("rows_before"))
+    row = both.withColumn("row_drift", change)
+    return row.unpivot([], row.columns, "metric", "value")
+
+
 def gate(metrics: DataFrame, rules: list[tuple[str, str, float]]) -> DataFrame:
     """Broken rules as rows ``metric, op, bound, value``; a missing metric breaks its rule.
 

@@ -343,6 +343,10 @@ x AS (SELECT sum(CASE WHEN score >= threshold AND is_fraud = 1 THEN 1 ELSE 0 END
     "snapshot_asof_read": q("SELECT txn_id, card_id, amount FROM txn"),
     "snapshot_history": q("""SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS rows FROM txn
 UNION ALL SELECT 1, 'REPLACE', count(*) FROM txn WHERE is_fraud = 1"""),
+    "row_count_drift": q("""c AS (SELECT CAST(count(*) AS DOUBLE) AS b, CAST(count_if(merchant_id % 10 <> 3) AS DOUBLE) AS n
+ FROM txn)""", """
+SELECT 'rows' AS metric, n AS value FROM c UNION ALL SELECT 'rows_before', b FROM c
+UNION ALL SELECT 'row_drift', round(abs(n - b) / b, 6) FROM c"""),
     "metrics_json_roundtrip": q(SPLIT, _curve("s", "split"), f"""
 SELECT split, 'pr_auc' AS metric, round({AP}, 6) AS value FROM curve WHERE split IS NOT NULL GROUP BY split
 UNION ALL SELECT split, 'roc_auc', round({AUC}, 6) FROM curve WHERE split IS NOT NULL GROUP BY split"""),
@@ -354,6 +358,7 @@ UNION ALL SELECT split, 'roc_auc', round({AUC}, 6) FROM curve WHERE split IS NOT
 }
 
 SQL["backfill_by_range"] = SQL["feature_table_full"]
+SQL["silver_feature_table"] = SQL["feature_table_full"]
 SQL["stream_rolling_counters"] = """SELECT user_id, hr_ts, count(*) AS n
  FROM (SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS t, t - t % 3600 + 3600 * (1 + k) AS hr_ts
        FROM events, range(24) r(k))

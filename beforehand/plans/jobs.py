@@ -38,10 +38,12 @@ def build(
     start: str | None = None,
     end: str | None = None,
     snapshot_root: str | None = None,
+    max_drift: float | None = None,
 ) -> DataFrame:
     """Check the input, write the feature table by day, and return its class profile.
 
-    With ``start`` and ``end`` only those days are rebuilt and overwritten.
+    With ``start`` and ``end`` only those days are rebuilt and overwritten. With ``max_drift`` a whole
+    build fails before it writes if its rows differ by more than that share from the last snapshot's.
     """
     txns = tables.read_transactions(spark, f"{raw}/transactions")
     dim = tables.read_merchants(spark, merchants)
@@ -50,6 +52,10 @@ def build(
         [("rows", "min", 1.0), ("duplicate_rows", "max", 0.0), ("null_rate_card_id", "max", 0.0),
          ("null_rate_txn_time", "max", 0.0), ("null_rate_merchant_id", "max", 0.0)],
     )
+    if snapshot_root and max_drift is not None and not start:
+        known = snapshots.history(spark, snapshot_root)
+        if known.take(1):  # a feature row for each transaction
+            quality.enforce(quality.row_drift(txns, known), [("row_drift", "max", max_drift)])
     if start:
         df = feature_range(txns, dim, timeline, start, end)
     else:
@@ -179,6 +185,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--start")
     b.add_argument("--end")
     b.add_argument("--snapshots")
+    b.add_argument("--max-drift", type=float)
     t = sub.add_parser("train")
     t.add_argument("--features", required=True)
     t.add_argument("--out", required=True)
@@ -192,7 +199,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if a.job == "build":
         line = Timeline(hist_end=a.hist_end, label_cutoff=a.label_cutoff)
-        build(spark, a.raw, a.merchants, a.out, line, a.start, a.end, a.snapshots).show()
+        build(spark, a.raw, a.merchants, a.out, line, a.start, a.end, a.snapshots, a.max_drift).show()
     elif a.job == "skew":
         found = skew(spark, a.raw, a.merchants)
         for name in ("top_keys", "by_key", "by_key_and_salt"):

@@ -583,6 +583,15 @@ def snapshot_history(spark, sf):
     return snapshots.history(spark, root).select("version", "operation", "rows")
 
 
+def row_count_drift(spark, sf):
+    """A build that lost the rows of one merchant in ten, against the version before it."""
+    root = shared_dir(spark, "snapshots")
+    t = txns(spark, sf).select("txn_id", "merchant_id")
+    snapshots.write_snapshot(t, root)
+    drift = quality.row_drift(t.where("merchant_id % 10 <> 3"), snapshots.history(spark, root))
+    return drift.select("metric", *_r("value", digits=6))
+
+
 def metrics_json_roundtrip(spark, sf):
     path = shared_dir(spark, "metrics")
     curve = evaluation.score_curve(_splits(spark, sf), "score", "is_fraud", by=["split"])
@@ -616,6 +625,18 @@ def feature_table_approx(spark, sf):
     return _feature_columns(feature_rows(spark, sf, approximate=True))
 
 
+def silver_feature_table(spark, sf):
+    """Bronze and dimension tables of the catalog to a feature table by day, read back."""
+    root = shared_dir(spark, "silver")
+    schema = "s" + root[-12:]
+    tables.create_schema(spark, schema, root)
+    tables.write_table(txns(spark, sf, country=True), f"{schema}.bronze_transactions", "txn_date")
+    tables.write_table(standin.merchants(spark, sf), f"{schema}.dim_merchant")
+    t, m = spark.table(f"{schema}.bronze_transactions"), spark.table(f"{schema}.dim_merchant")
+    tables.write_table(plan.feature_table(t, m, TIMELINE), f"{schema}.silver_features", "txn_date")
+    return _feature_columns(spark.table(f"{schema}.silver_features"))
+
+
 def backfill_by_range(spark, sf):
     """The feature table built range by range into one folder, then read back."""
     path = shared_dir(spark, "backfill")
@@ -747,7 +768,7 @@ QUERIES = {
         class_profile, psi_drift, average_precision, roc_auc, metrics_by_split, recall_at_fpr,
         recall_at_fpr_corners, leakage_gap_given_scores, cost_curve, cost_threshold, confusion_at_threshold,
         partitioned_roundtrip, pruned_range_scan, catalog_table_roundtrip, bucketed_table_windows, clustered_files,
-        snapshot_asof_read, snapshot_history, metrics_json_roundtrip, feature_table_approx,
+        snapshot_asof_read, snapshot_history, row_count_drift, metrics_json_roundtrip, silver_feature_table, feature_table_approx,
         gbt_scores, importance_topk, calibrated_scores, label_and_leakage_checks,
         stream_hourly_counters, stream_rolling_counters, stream_dedup, backfill_by_range,
     ]

@@ -215,3 +215,14 @@ def test_partition_sizes_upper_median(spark):
     r = reports.partition_sizes(spark.range(10).repartition(1)).first()
     assert (r.partitions, r.median_rows, r.max_rows, r.max_over_median) == (1, 10, 10, 1.0)
     assert reports.partition_sizes(spark.range(0)).count() == 0
+
+
+def test_row_drift_needs_an_earlier_version(spark):
+    now = spark.range(90)
+    seen = spark.createDataFrame([(0, 7), (1, 100)], "version long, rows long")
+    value = lambda h: {r.metric: r.value for r in quality.row_drift(now, h).collect()}
+    assert value(seen) == {"rows": 90.0, "rows_before": 100.0, "row_drift": 0.1}
+    assert value(seen.limit(0))["row_drift"] is None
+    for history, bound, broken in ((seen, 0.2, 0), (seen, 0.05, 1), (seen.limit(0), 0.2, 1)):
+        rules = [("row_drift", "max", bound)]
+        assert quality.gate(quality.row_drift(now, history), rules).count() == broken
