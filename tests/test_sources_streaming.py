@@ -156,6 +156,17 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert snapshots.read_snapshot(spark, str(tmp_path / "s")).count() == 10_000
 
     before = spark.read.parquet(out).agg(F.sum("card_cnt_7d"), F.sum("secs_since_last"), F.count("*")).first()
+    # the same rows again pass the drift rule; a table with rows added does not
+    again = lambda r: jobs.build(
+        spark, r, f"{raw}/merchants.parquet", str(tmp_path / "again"), standin.TIMELINE,
+        snapshot_root=str(tmp_path / "s"), max_drift=0.1,
+    )
+    again(raw)
+    more = spark.read.parquet(f"{raw}/transactions")
+    other = str(tmp_path / "more")
+    more.unionByName(more.withColumn("txn_id", F.col("txn_id") + 10**9)).write.parquet(f"{other}/transactions")
+    with pytest.raises(quality.GateError, match="row_drift"):
+        again(other)
     jobs.build(spark, raw, f"{raw}/merchants.parquet", out, standin.TIMELINE, "2024-01-20", "2024-01-22")
     assert spark.read.parquet(out).agg(F.sum("card_cnt_7d"), F.sum("secs_since_last"), F.count("*")).first() == before
 
