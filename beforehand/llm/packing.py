@@ -35,6 +35,10 @@ CACHED = 400_000
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Every blank before a letter, digit or ASCII sign is one of its cuts.
 CHUNK = re.compile(r"(?= [\w!-~])")
+# Runs of white space on which that pattern would be out of stack, at a million characters; the
+# class is that of the pattern's \s, which lacks some of Python's.
+RUN = 100_000
+BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % RUN)
 
 _encoders: dict[str, tuple] = {}
 
@@ -67,6 +71,18 @@ def _encoder(path: str) -> tuple:
     return _encoders[path]
 
 
+def _ids(encoding, chunk: str) -> list[int]:
+    """A chunk's ids. A long run of white space is one piece of its own, all but its last character
+    if more text follows: what SPLIT makes of it, without its stack."""
+    ids, at = [], 0
+    for run in BLANKS.finditer(chunk) if len(chunk) >= RUN else ():
+        stop = run.end() - (run.end() < len(chunk))
+        ids += encoding.encode_ordinary(chunk[at : run.start()])
+        ids += encoding._encode_single_piece(chunk[run.start() : stop])
+        at = stop
+    return ids + encoding.encode_ordinary(chunk[at:])
+
+
 def encode(text: str, path: str) -> np.ndarray:
     """A text's ids and END_ID. Strings of special tokens are ordinary text.
 
@@ -75,7 +91,7 @@ def encode(text: str, path: str) -> np.ndarray:
     encoding, cache = _encoder(path)
     chunks = CHUNK.split(text)
     for chunk in set(chunks).difference(cache):
-        cache[chunk] = np.array(encoding.encode_ordinary(chunk), "<u4").tobytes()
+        cache[chunk] = np.array(_ids(encoding, chunk), "<u4").tobytes()
     ids = b"".join([cache[c] for c in chunks])
     if len(cache) > CACHED:
         cache.clear()

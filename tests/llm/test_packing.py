@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -118,6 +119,24 @@ def test_ids_are_those_of_the_vocabulary(reference):
         assert packing.encode(t, PATH).tolist() == reference(t), repr(t)
 
 
+@pytest.mark.parametrize("text", [
+    "\t" * 1_200_000 + "b", " " * 1_200_000 + "b", "\n" * 1_200_000, "a " + "\u3000" * 1_200_000 + " \nb  c",
+], ids=["tabs", "blanks", "lines", "wide"])
+def test_long_white_space(reference, text):
+    assert packing.encode(text, PATH).tolist() == reference(text)
+
+
+def test_long_white_space_is_cut_exactly(monkeypatch, reference):
+    monkeypatch.setattr(packing, "RUN", 2)
+    monkeypatch.setattr(packing, "_encoders", {})
+    monkeypatch.setattr(packing, "BLANKS", re.compile(packing.BLANKS.pattern.replace("100000", "2")))
+    rng = random.Random(7)
+    alphabet = list("ab9'!.\n\t \r\x0b\x1c\x1f\x85\xa0\u2003\u200b\u2028\u3000") + ["  ", "\n\n", "\t\t", "'s"]
+    for _ in range(4000):
+        t = "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14)))
+        assert packing.encode(t, PATH).tolist() == reference(t), repr(t)
+
+
 def test_a_full_cache_starts_anew(monkeypatch, reference):
     monkeypatch.setattr(packing, "CACHED", 3)
     for t in ("one two three four five six", "seven eight one two"):
