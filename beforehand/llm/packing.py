@@ -1,6 +1,6 @@
 """Packing by deficit round-robin: every window holds the sources in their target proportions.
 
-Each source is a queue of tokens, documents in the order of doc_id. A window has ``length``
+Each source is a queue of tokens, documents in the order of doc_id or of given columns. A window has ``length``
 tokens in grains of ``grain``. Window after window, a queue earns its share of the grains; what
 is not a whole grain is a deficit that it carries on. What a queue has had after w windows has
 a closed form: queues are the leaves of a binary tree, and of the first k grains of a branch
@@ -261,6 +261,7 @@ def pack(
     length: int = LENGTH,
     grain: int = GRAIN,
     with_ids: bool = False,
+    order: tuple[str, ...] = (),
 ) -> DataFrame:
     """The columns of ``PIECES``: each document's tokens, cut and placed in sequences of ``length``.
 
@@ -268,18 +269,20 @@ def pack(
     proportion to ``weights``, or, without, to their tokens in the whole corpus; only the last
     sequence is not full. Sources without a weight wait until the others are used up. A NULL
     text is one END_ID, a NULL source a queue of its own; repeated rows are packed as often.
+    Queues are in the order of the columns ``order``, then of doc_id.
 
-    Texts move once, sorted in ranges of (source, doc_id), so a source that holds a third of all
+    Texts move once, sorted in ranges of (source, order, doc_id), so a source that holds a third of all
     rows fills as many tasks as it needs. Their ids are written with the running count of
     their range; counts of ranges and queues, a few numbers each, complete it.
     """
     if length % grain:
         raise ValueError("the length must be a multiple of the grain")
     row = F.monotonically_increasing_id()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("queue"), "text")
+    given = [F.col(c).alias(f"_order{i}") for i, c in enumerate(order)]
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("queue"), "text", *given)
     texts = texts.withColumn("_hash", F.xxhash64("text")).withColumn("_row", row)
-    order = ["queue", "doc_id", "_hash", "_row"]
-    texts = texts.repartitionByRange(*order).sortWithinPartitions(*order)
+    by = ["queue", *[f"_order{i}" for i in range(len(order))], "doc_id", "_hash", "_row"]
+    texts = texts.repartitionByRange(*by).sortWithinPartitions(*by)
     stored = saved(texts.select("doc_id", "queue", "text").mapInArrow(_tokenised(path), STORED), "tokens")
     ranges = saved(stored.groupBy("queue", "part").agg(F.sum("n").alias("tokens")), "ranges")
     totals = ranges.groupBy("queue").agg(F.sum("tokens").alias("tokens"))

@@ -26,13 +26,13 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated as their source's rate asks, in one global shuffle."""
-    return mixing.replicate(docs, draws=False)
+    """Documents repeated as their source's rate asks, and each copy's place in one global shuffle."""
+    return mixing.replicate(docs).drop("rate", "copies")
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences in which every window holds the sources as the whole corpus does."""
-    return packing.pack(docs, vocabulary()).drop("ids")
+    """Pieces of sequences in which every window holds the sources as the whole corpus does, each source shuffled."""
+    return packing.pack(docs, vocabulary(), order=("shuffle_key", "doc_id", "copy")).drop("ids")
 
 
 STAGES = [

@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from beforehand.llm import packing, queries
+import corpus_pipeline
+from beforehand.llm import mixing, packing, queries
 
 from .helpers import clashing, corpus, docs
 
@@ -143,6 +144,21 @@ def test_a_full_cache_starts_anew(monkeypatch, reference):
         assert packing.encode(t, PATH).tolist() == reference(t)
 
 
+def test_the_shuffle_outlives_packing(spark):
+    rows = [(i, f"number {i} " * (3 + i % 5), "en", "big" if i % 4 else "rare", 1) for i in range(120)]
+    weights = spark.createDataFrame([("big", 1.0), ("rare", 1.0)], "source string, weight double")
+    mixed = mixing.replicate(docs(spark, rows), weights, size_ratio=3.0)
+    key = {(r.doc_id, r.copy): r.shuffle_key for r in mixed.collect()}
+    got = corpus_pipeline.pack_windows(spark, mixed.drop("rate", "copies"), "").where("start = 0")
+    for source in ("big", "rare"):
+        own = got.where(f"source = '{source}'").orderBy("sequence_id", "offset").collect()
+        asked = sorted((k, i) for (i, _), k in key.items() if (i % 4 == 0) == (source == "rare"))
+        whole = len(asked)
+        # tokens beyond the last whole grain go to the end, in their order too
+        assert [r.doc_id for r in own] == [i for _, i in asked] and whole > 40
+        assert sum(a.doc_id == b.doc_id for a, b in zip(own, own[1:])) < whole / 5
+
+
 def test_empty_table(spark):
     assert packing.pack(docs(spark, []), PATH).collect() == []
     assert packing.pack(docs(spark, []), PATH, {"a": 1}).collect() == []
