@@ -18,8 +18,8 @@ REDACTED = "[REDACTED]"
 class Rule(NamedTuple):
     """A pattern; ``group`` of a match must have ``least`` characters, or the match is dropped.
 
-    ``strict`` is the pattern with that length inside, where the two differ: a dropped match still
-    hides what overlaps it, so ``strict`` may find more.
+    ``strict`` is the pattern to redact by, where the two differ: with that length inside, as a dropped
+    match still hides what overlaps it, or with all of a secret of which ``pattern`` is only the start.
     """
 
     kind: str
@@ -37,13 +37,22 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+_PEM = "-----BEGIN [A-Z ]*PRIVATE KEY-----"
+_GAP = r"""(?:[\s"'>#*|,+]|\\[nrt])*+"""
+# To the END line if there is one before the next such line. Otherwise headers, lines of a key's characters, and
+# the run after them, which may be its last line. Loops are possessive: Java's others recurse on long texts.
+_PEM_BLOCK = (
+    _PEM + r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]*PRIVATE KEY-----"
+    r"|(?:\s*+(?:Proc-Type|DEK-Info):\s*+\S++)*+"
+    rf"(?:(?:{_GAP}[A-Za-z0-9+/=]{{24,}}+)++(?:{_GAP}[A-Za-z0-9+/=]++)?+)?+)"
+)
 # Forms that issuers publish.
 MORE = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{20,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", _PEM, strict=_PEM_BLOCK),
 )
 RULES = BASE + MORE
 
@@ -208,9 +217,10 @@ def redact(docs: DataFrame, more: tuple[Rule, ...] = MORE) -> DataFrame:
     """``docs`` with every match in ``text`` replaced; ``n_chars``, if it is there, counts the new text.
 
     Texts that the index rules out for a rule are not searched for it. Patterns are the strict
-    ones, which cover all that ``scan`` finds.
+    ones, which cover all that ``scan`` finds, and of a private key also the block below its first line.
     """
-    rules = BASE + more
+    # a key's block is read before its body is changed
+    rules = sorted(BASE + more, key=lambda r: r.kind != "pem")
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     # as one column, so that no name of theirs can clash
     packed = F.struct(*rest) if rest else F.struct(F.lit(0))
