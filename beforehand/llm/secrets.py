@@ -213,21 +213,65 @@ def scan(docs: DataFrame, more: tuple[Rule, ...] = MORE) -> DataFrame:
     )
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """``df`` with the union of ``_every``, spans by start, replaced in ``text``.
+
+    What stays lies between the furthest stop so far and the next start. Stops and pieces are taken block
+    by block, so no long array or text is gone through for each span.
+    """
+    every, text = F.col("_every"), F.col("text")
+    numbers = lambda spans: F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / BLOCK).cast("int"))
+    block = lambda spans, b: F.slice(spans, b * BLOCK + 1, F.lit(BLOCK))
+    furthest = lambda spans: F.array_max(F.transform(spans, lambda s: s["stop"]))
+    part = lambda t, start, stop: t.substr((start + 1).cast("int"), (stop - start).cast("int"))
+    some = F.size(every) > 0
+    reach = F.aggregate(
+        F.transform(numbers(every), lambda b: furthest(block(every, b))),
+        F.array(F.lit(0).cast("long")),
+        lambda done, x: F.concat(done, F.array(F.greatest(F.element_at(done, -1), x))),
+    )
+    df = df.withColumn("_reach", F.when(some, reach))
+    before = lambda i: F.greatest(
+        F.get(F.col("_reach"), F.floor(i / BLOCK).cast("int")),
+        furthest(F.slice(every, F.floor(i / BLOCK).cast("int") * BLOCK + 1, i % BLOCK)),
+    )
+    stays = F.transform(every, lambda s, i: F.struct(before(i).alias("start"), s["start"].alias("stop")))
+    df = df.withColumn("_stays", F.when(some, F.filter(stays, lambda c: c["start"] <= c["stop"])))
+    stays = F.col("_stays")
+    blocks = F.transform(numbers(stays), lambda b: block(stays, b))
+    blocks = F.transform(
+        blocks,
+        lambda own: F.struct(
+            own.alias("own"),
+            F.get(own, 0)["start"].alias("from"),
+            part(text, F.get(own, 0)["start"], F.element_at(own, -1)["stop"]).alias("text"),
+        ),
+    )
+    pieces = F.transform(
+        blocks,
+        lambda x: F.array_join(
+            F.transform(x["own"], lambda c: F.concat(part(x["text"], c["start"] - x["from"], c["stop"] - x["from"]), F.lit(REDACTED))), ""
+        ),
+    )
+    tail = part(text, F.element_at("_reach", -1), F.length(text))
+    return df.withColumn("text", F.when(some, F.concat(F.array_join(pieces, ""), tail)).otherwise(text))
+
+
 def redact(docs: DataFrame, more: tuple[Rule, ...] = MORE) -> DataFrame:
     """``docs`` with every match in ``text`` replaced; ``n_chars``, if it is there, counts the new text.
 
-    Texts that the index rules out for a rule are not searched for it. Patterns are the strict
-    ones, which cover all that ``scan`` finds, and of a private key also the block below its first line.
+    Texts that the index rules out for a rule are not searched for it. All rules are run on the text as
+    it came, and what any of them finds, or its strict form, goes: a match cannot break another.
     """
-    # a key's block is read before its body is changed
-    rules = sorted(BASE + more, key=lambda r: r.kind != "pem")
+    rules = BASE + more
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     # as one column, so that no name of theirs can clash
     packed = F.struct(*rest) if rest else F.struct(F.lit(0))
     df = _marked(docs.select("doc_id", "text", packed.alias("_rest")), rules)
-    for rule in rules:
-        clean = F.regexp_replace("text", rule.strict or rule.pattern, REDACTED)
-        df = df.withColumn("text", F.when(_may(df, rule), clean).otherwise(F.col("text")))
+    runs = [(r, r) for r in rules] + [(r, r._replace(pattern=r.strict, group=0, least=1)) for r in rules if r.strict]
+    for i, (rule, run) in enumerate(runs):
+        df = _spans(df, run, i, _may(df, rule))
+    df = _cut(df.withColumn("_every", F.array_sort(F.concat(*[F.col(f"_s{i}") for i in range(len(runs))]))))
     out = {c: F.col("_rest").getField(c).alias(c) for c in rest} | {c: F.col(c) for c in ("doc_id", "text")}
     if "n_chars" in rest:
         out["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars")

@@ -127,6 +127,32 @@ def pem_texts():
     return out
 
 
+def without(text):
+    spans = [s[1:] for s in base(text) + more(text)]
+    spans += [m.span() for r in secrets.RULES if r.strict for m in re.finditer(r.strict, text, re.A)]
+    out, at = [], 0
+    for start, stop in sorted(spans):
+        if start >= at:
+            out += [text[at:start], secrets.REDACTED]
+        at = max(at, stop)
+    return "".join(out) + text[at:]
+
+
+def test_overlapping_matches_go_whole(spark):
+    rng = random.Random(13)
+    hexes = "0123456789abcdef" * 2
+    bits = [
+        "xoxb-1234567890-" + hexes[:24] + "-TAILSECRET", "AIza" + hexes[:24] + "ABCDEFGHIJK", "xoxb-1234567890-1234-token=abcdefgh",
+        "token=ab.AIza" + "S" * 36 + ".TAILSECRET", 'secret: token : xpassword: "abcdefgh"', "ghp_" + hexes + "ABCDEFGH", "password=" + hexes + "/TAIL",
+    ]
+    texts = bits + [rng.choice(["", " ", "é🔑 "]).join(rng.choice(bits + ["and so on", "äöü"]) for _ in range(rng.randint(1, 12))) for _ in range(200)]
+    texts.append("é token=abcdefgh " * 3000 + "end")
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.text for r in secrets.redact(docs(spark, rows)).collect()}
+    assert got == {i: without(t) for i, t in enumerate(texts)}
+    assert not any(re.search("TAIL|abcdefgh|ABCDEFGH", got[i]) for i in range(len(bits)))
+
+
 def test_private_keys_go_whole(spark):
     texts = pem_texts()
     rows = [(i, t, "en", "s", len(t)) for i, (t, _) in enumerate(texts)]
