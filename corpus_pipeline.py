@@ -43,7 +43,7 @@ STAGES = [
     ("packing", pack_windows),
 ]
 
-# The first stage applies a trained model, which SQL cannot express; tests use a brute-force version.
+# The first stage applies a trained model, which SQL cannot express; tests/llm/test_pipeline.py has a brute-force version.
 ORACLE_SQL = None
 
 
