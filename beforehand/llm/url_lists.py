@@ -1,4 +1,4 @@
-"""Dated URL lists: each entry is valid for an interval, each capture is judged as of its fetch time."""
+"""Dated URL lists: each entry holds until its key's next, each capture is judged as of its fetch time."""
 
 from __future__ import annotations
 
@@ -42,35 +42,31 @@ def keys_of(url: str) -> Column:
     ).otherwise(none)
 
 
-def _day(at: str) -> Column:
-    return F.floor(F.col(at) / DAY)
-
-
-def spans(changes: DataFrame, asked: DataFrame) -> DataFrame:
-    """``key, day, start, stop, since``: when an entry is active, cut at days.
+def states(changes: DataFrame, probes: DataFrame) -> DataFrame:
+    """``url, fetched_at, key, since`` of the probes (``url, fetched_at, key``) whose key is listed at their time.
 
     ``changes``: ``key, at`` (microseconds)``, active``. A change holds until the next of its key; of
-    several at once, a listing wins. ``asked``: distinct ``key, day`` that need an answer. State is
-    carried over days on one row a key and day, and followed inside a day by windows of one key
-    and day, so no key is held whole, however often it is listed.
+    several at once, a listing wins. Changes and probes are sorted together in ranges of (key, time),
+    so a key fills as many slices as its rows need; the last change of a slice's key is carried on, one
+    row a slice and key. Each probe takes the last change before it, and no pairs are made.
     """
     at_once = changes.where(F.col("key").isNotNull() & F.col("at").isNotNull())
     at_once = at_once.groupBy("key", "at").agg(F.max("active").alias("active"))
-    at_once = saved(at_once.withColumn("day", _day("at")), "changes")
-    last = F.max(F.struct("at", "active")).alias("last")
-    days = at_once.groupBy("key", "day").agg(last)
-    days = days.unionByName(asked.withColumn("last", F.lit(None).cast(days.schema["last"].dataType)))
-    days = days.groupBy("key", "day").agg(F.max("last").alias("last"))
-    earlier = Window.partitionBy("key").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    opening = days.withColumn("open", F.last("last", ignorenulls=True).over(earlier)).where("open is not null")
-    rows = opening.select(
-        "key", "day", (F.col("day") * DAY).alias("start"), F.col("open.active").alias("active"),
-        F.col("open.at").alias("since"), F.lit(0).alias("turn"),
-    ).unionByName(at_once.select("key", "day", F.col("at").alias("start"), "active", F.col("at").alias("since"), F.lit(1).alias("turn")))
-    # a change at midnight comes after the state it ends
-    inside = Window.partitionBy("key", "day").orderBy("start", "turn")
-    stop = F.coalesce(F.lead("start").over(inside), (F.col("day") + 1) * DAY)
-    return rows.withColumn("stop", stop).where("active and stop > start").select("key", "day", "start", "stop", "since")
+    # a change comes before the probes of its time
+    rows = at_once.select("key", "at", F.lit(0).alias("turn"), F.lit("").alias("url"), "active").unionByName(
+        probes.select("key", F.col("fetched_at").alias("at"), F.lit(1).alias("turn"), "url", F.lit(None).cast("boolean").alias("active"))
+    )
+    rows = rows.repartitionByRange("key", "at", "turn", "url").withColumn("_slice", F.spark_partition_id())
+    rows = saved(rows, "slices")
+    change = F.when(F.col("turn") == 0, F.struct("at", "active"))
+    ends = rows.groupBy("key", "_slice").agg(F.max(change).alias("last"))
+    earlier = Window.partitionBy("key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("open", F.last("last", ignorenulls=True).over(earlier))
+    inside = Window.partitionBy("key", "_slice").orderBy("at", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("last", F.last(change, ignorenulls=True).over(inside)).where("turn = 1")
+    rows = rows.join(ends.where("open is not null").select("key", "_slice", "open"), ["key", "_slice"], "left")
+    state = F.coalesce("last", "open")
+    return rows.where(state["active"]).select("url", F.col("at").alias("fetched_at"), "key", state["at"].alias("since"))
 
 
 def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
@@ -84,9 +80,7 @@ def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:
     probes = captures.where("url is not null and fetched_at is not null").select("url", "fetched_at").distinct()
     probes = probes.select("url", "fetched_at", F.explode(keys_of("url")).alias("key"))
     listed = saved(changes.select("key").where("key is not null").distinct(), "listed")
-    probes = saved(probes.join(listed, "key").withColumn("day", _day("fetched_at")), "probes")
-    active = saved(spans(changes, probes.select("key", "day").distinct()), "spans")
-    hits = probes.join(active, ["key", "day"]).where("fetched_at >= start and fetched_at < stop")
+    hits = states(changes, probes.join(listed, "key"))
     best = F.max(F.struct(F.length("key").alias("n"), "key", "since"))
     found = hits.groupBy(F.col("url").alias("_url"), F.col("fetched_at").alias("_at")).agg(
         F.count("*").alias("n_active"), best.alias("best")

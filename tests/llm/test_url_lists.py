@@ -66,6 +66,25 @@ def test_against_brute_force(spark):
     assert judged(spark, captures, changes) == brute(captures, changes)
 
 
+def test_a_hot_key_and_day_is_cut_without_pairs(spark):
+    rng = random.Random(3)
+    u = "http://a.x.net/"
+    changes = [("d:x.net", rng.randrange(DAY), rng.random() < 0.5) for _ in range(900)] + [("h:a.x.net", 5, True)]
+    captures = [(i, f"{u}{i % 7}", rng.randrange(-9, DAY)) for i in range(900)] + [(i, f"{u}{i}", DAY // 2) for i in range(900, 1100)]
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        assert judged(spark, captures, changes) == brute(captures, changes)
+        probes = spark.createDataFrame([(u, t, "d:x.net") for _, _, t in captures], "url string, fetched_at long, key string")
+        found = url_lists.states(spark.createDataFrame(changes, "key string, at long, active boolean"), probes)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert not re.search("Join.*[<>]", plan)
+        slices = spark.read.parquet(next(f for f in found.inputFiles()).rsplit("/", 1)[0])
+        assert slices.where("key = 'd:x.net'").select("_slice").distinct().count() == 8
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_boundaries(spark):
     u = "http://x.net/"
     times = [DAY - 1, DAY, DAY + 1, 5 * DAY - 1, 5 * DAY, 9 * DAY]
