@@ -1,11 +1,14 @@
 """DuckDB SQL with the rows of the queries that SQL can express.
 
-SimHash, Merkle trees, the Hilbert curve, Viterbi paths, the trained model and tokens have no
-SQL form; tests hold those queries against brute force.
+SimHash, Merkle trees, the Hilbert curve, Viterbi paths, the trained model, tokens and words chosen by a
+CRC have no SQL form; tests hold those queries against brute force.
 """
 
 from __future__ import annotations
 
+from itertools import permutations
+
+from .filter_audit import FILTERS
 from .secrets import BASE, RULES
 from .url_lists import HOST, PATH
 
@@ -102,9 +105,46 @@ def _secrets() -> str:
     )
 
 
+_STEPS = ", ".join(
+    f"('{''.join(order)}', {step}, {1 << FILTERS.index(f)}, {sum(1 << FILTERS.index(e) for e in order[: step - 1])})"
+    for order in permutations(FILTERS)
+    for step, f in enumerate(order, 1)
+)
+
+FILTER_AUDIT = f"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+marks AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY 1),
+f AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+      + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t))::INT
+      + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY t), false)::INT AS mask
+  FROM t LEFT JOIN marks ON marks.doc_id = t.doc_id),
+cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY 1, 2),
+steps(filter_order, step, own, earlier) AS (VALUES {_STEPS}),
+sums AS (
+  SELECT part, filter_order, step, own,
+    coalesce(sum(n) FILTER (mask & (own | earlier) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (mask & own > 0 AND mask & earlier = 0), 0) AS removed,
+    coalesce(sum(n) FILTER (mask & own > 0 AND mask & earlier > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (mask = own), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (mask & own > 0 AND mask & earlier = 0), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & own > 0 AND mask & earlier = 0), 0) AS toxic_lost
+  FROM cells CROSS JOIN steps GROUP BY 1, 2, 3, 4)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM sums
+"""
+
 SQL = {
     "op1_warc_members": WARC,
     "op4_url_list_asof": URL_LISTS,
     "op7_secret_trigrams": _secrets(),
     "op9_poisson_mixing": MIXING,
+    "op12_filter_audit": FILTER_AUDIT,
 }

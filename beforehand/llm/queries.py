@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from . import hilbert, merkle, mixing, packing, quality, secrets, simhash, transcripts, url_lists, warc
+from . import (
+    filter_audit, hilbert, merkle, mixing, packing, quality, secrets, simhash, spelling, token_counts, transcripts,
+    url_lists, warc,
+)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def vocabulary() -> str:
-    """Where the public byte-level vocabulary lies on this machine."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Where a public vocabulary lies on this machine."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_warc_members(spark, sf):
@@ -115,10 +118,23 @@ def op10_drr_packing(spark, sf):
     return packing.pack(table(spark, sf, "documents"), vocabulary()).drop("ids")
 
 
+def op11_spelling_tiles(spark, sf):
+    return spelling.variants(table(spark, sf, "documents"))
+
+
+def op12_filter_audit(spark, sf):
+    return filter_audit.audit(filter_audit.outcomes(table(spark, sf, "documents"), table(spark, sf, "labels")))
+
+
+def op13_token_counts(spark, sf):
+    return token_counts.token_counts(table(spark, sf, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_warc_members, op2_simhash_pigeonring, op3_merkle_fingerprints, op4_url_list_asof, op5_hilbert_shards,
         op6_transcript_roles, op7_secret_trigrams, op8_quality_ngrams, op9_poisson_mixing, op10_drr_packing,
+        op11_spelling_tiles, op12_filter_audit, op13_token_counts,
     )
 }

@@ -1,0 +1,121 @@
+import random
+import re
+from itertools import permutations
+
+import numpy as np
+import pytest
+
+from beforehand.llm import filter_audit as audit
+from beforehand.llm import queries
+
+from .helpers import DOCS, clashing, corpus, docs
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def brute_mask(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return [
+        len(words) < 200,
+        100 * len(set(words)) < 50 * len(words),
+        100 * len(re.findall("[A-Z]", text)) > 2 * len(text),
+        bool(re.search(r"[#$%&*|]", text)),
+    ]
+
+
+def brute(rows, labels):
+    good = {d for d, q, _ in labels if d is not None and q == 1}
+    toxic = {d for d, _, t in labels if d is not None and t == 1}
+    known, out = [], {}
+    for doc_id, text, _, source, _ in rows:
+        text = text or ""
+        copy = doc_id is not None and any(r[0] is not None and r[0] < doc_id and (r[1] or "") == text for r in rows)
+        known.append((source or "", dict(zip("ABCDE", [*brute_mask(text), copy])), doc_id in good, doc_id in toxic))
+    for part in {k[0] for k in known}:
+        own = [k for k in known if k[0] == part]
+        shapley = dict.fromkeys("ABCDE", 0)
+        for order in map("".join, permutations("ABCDE")):
+            left = own
+            for step, f in enumerate(order, 1):
+                gone = [k for k in left if k[1][f]]
+                left = [k for k in left if not k[1][f]]
+                fails = sum(k[1][f] for k in own)
+                alone = sum(k[1][f] and sum(k[1].values()) == 1 for k in own)
+                shapley[f] += len(gone)
+                out[part, order, step] = [
+                    len(left), len(gone), fails - len(gone), alone, sum(k[2] for k in gone), sum(k[3] for k in gone), f,
+                ]
+        for key in [k for k in out if k[0] == part]:
+            out[key][-1] = shapley[out[key][-1]]
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def told(df):
+    rows = df.collect()
+    got = {(r.part, r.filter_order, r.step): tuple(r)[3:] for r in rows}
+    assert len(got) == len(rows)
+    return got
+
+
+def variety(n=150, seed=3):
+    rng = random.Random(seed)
+    rows = corpus(n, seed)
+    for i in range(n):
+        t = rows[i][1] or ""
+        kind = rng.randrange(6)
+        t = {0: t, 1: (t + " ") * 9, 2: t.upper(), 3: t + " $5 #x", 4: " ".join(f"w{j}" for j in range(220)), 5: "Abc " * 250}[kind]
+        rows[i] = (*rows[i][:1], t, *rows[i][2:])
+    rows += [(None, rows[0][1], "en", None, 1), (None, None, "en", None, 1), rows[0], rows[0], (None, rows[0][1], "en", "", 1)]
+    rows += [(10_000 + i, rows[2][1], "en", "big", 1) for i in range(60)]
+    labels = [(r[0], rng.choice([0, 1, None]), rng.choice([0, 1, None])) for r in rows if rng.random() < 0.7]
+    return rows, labels + [(None, 1, 1), (rows[3][0], 0, 0), (rows[3][0], 1, 1)]
+
+
+def test_whole_table(spark, monkeypatch):
+    rows, labels = variety()
+    tables = {"documents": clashing(docs(spark, rows)), "labels": spark.createDataFrame(labels, LABELS)}
+    monkeypatch.setattr(queries, "table", lambda _s, _f, name: tables[name])
+    assert told(queries.op12_filter_audit(spark, "")) == brute(rows, labels)
+
+
+def test_no_labels_and_no_rows(spark):
+    none = spark.createDataFrame([], LABELS)
+    rows = [(1, "a", "en", "x", 1), (2, "a", "en", "x", 1)]
+    assert told(audit.audit(audit.outcomes(docs(spark, rows), none))) == brute(rows, [])
+    assert audit.audit(audit.outcomes(spark.createDataFrame([], DOCS), none)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_contraction_is_the_sum_over_cells(seed):
+    rng = np.random.default_rng(seed)
+    tensor = rng.integers(0, 50, (4, 2, 2, 2, 2, 2))
+    steps, weights = audit.selectors()
+    assert len(steps) == 600
+    for name in weights:
+        got = audit.contract(tensor, weights[name])
+        for s in rng.integers(0, 600, 20):
+            want = np.zeros(4, np.int64)
+            for cell in np.ndindex(2, 2, 2, 2, 2):
+                want += tensor[:, *cell] * int(np.prod([weights[name][s, i, c] for i, c in enumerate(cell)]))
+            assert (got[:, s] == want).all()
+
+
+def test_bounds_of_the_filters():
+    words = [f"w{i}" for i in range(200)]
+    assert audit.failures(" ".join(words).encode(), 9) & 1 == 0
+    assert audit.failures(" ".join(words[:-1]).encode(), 9) & 1 == 1
+    assert audit.failures(b"a b a b", 7) & 2 == 0
+    assert audit.failures(b"a b a b a", 9) & 2 == 2
+    assert audit.failures(b"A" + b"b" * 49, 50) & 4 == 0
+    assert audit.failures(b"A" + b"b" * 48, 49) & 4 == 4
+    assert audit.failures("Ä|".encode(), 2) & 12 == 8
+    assert audit.failures(b"", 0) == 1
+
+
+def test_very_long_text_in_pieces():
+    text = ("Word wörd x " * 700_000).encode()
+    assert len(text) > 8 * audit.PIECE
+    words = text.split()
+    assert sum(len(p.split()) for p in audit._pieces(text)) == len(words)
+    assert audit.failures(text, len(text.decode())) == 2 | 4
+    assert audit.failures(b"x" * (3 * audit.PIECE), 3 * audit.PIECE) == 1
