@@ -10,7 +10,6 @@ from .joins import LINEAR_HEAVY_ROWS, lookup_join
 from .skew import SLICE_ROWS, KeyProfile, null_safe_join, profile_keys, running_totals
 
 SMOOTHING = 20
-DAY_MICROS = 86_400_000_000
 
 
 def known_history(
@@ -133,15 +132,14 @@ def target_encoding_asof(
         .drop("_row", "_n", "_p")
     )
     if heavy is not None:
-        # widths follow the densest heavy key; rows of one instant collapse first
-        width = profile.slice_micros(DAY_MICROS, slice_rows)
+        # rows of one instant collapse first
         events = (
             heavy.select(key, "_us", "_n", "_p")
             .unionByName(heavy_hits)
             .groupBy(key, "_us")
             .agg(F.sum("_n").alias("_seen"), F.sum("_p").alias("_hits"))
         )
-        totals = running_totals(events, key, "_us", exclusive=["_seen", "_hits"], width=width)
+        totals = running_totals(events, key, "_us", exclusive=["_seen", "_hits"], slice_rows=slice_rows)
         counted = counted.unionByName(null_safe_join(heavy.drop("_n", "_p"), totals, [key, "_us"]))
     if prior is None:
         # one row per calendar day

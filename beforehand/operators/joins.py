@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_micros
-from .skew import MAX_SLICES, SLICE_ROWS, KeyProfile, profile_keys, with_key_values, with_slice
+from ..session import written
+from .skew import SLICE_ROWS, KeyProfile, profile_keys, with_key_values, with_slice
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key that only has to be sorted and walked once may be far larger than one whose
@@ -81,9 +82,9 @@ def salted_join(
 
 
 def _salts_per_key(hot: KeyProfile, rows_per_salt: int, group_micros: int | None) -> list[tuple]:
-    per_salt = max(rows_per_salt, -(-hot.rows // MAX_SLICES))
+    per_salt = hot.share(rows_per_salt)
     counts = []
-    for value, n, lo, hi in hot.heavy:
+    for value, n, lo, hi in hot.above(per_salt) if hot.heavy else ():
         groups = (hi - lo) // group_micros + 1 if group_micros and lo is not None else 1
         salts = -(-n // (groups * per_salt))
         if salts > 1:
@@ -151,7 +152,7 @@ def asof_join(
         both = with_slice(both, profile, F.col("_t"), "_slice", **extra)
         w = Window.partitionBy(by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         lasts = (
-            both.where(profile.is_heavy(F.col(by)))
+            both.where("_slice >= 0")
             .groupBy(by, "_slice")
             .agg(F.max(F.when(F.col("_r").isNotNull(), F.struct("_t", "_r"))).alias("_m"))
         )
@@ -159,10 +160,10 @@ def asof_join(
         carried = lasts.select(
             by, "_slice", F.last(F.col("_m._r"), ignorenulls=True).over(earlier).alias("_carry")
         )
-        # one row per slice of a heavy key: bounded, see with_slice
+        # one row per slice of a heavy key, written: Spark broadcasts it if it is small
         found = (
             both.withColumn("_r", latest.over(w))
-            .join(F.broadcast(carried.where(F.col(by).isNotNull())), [by, "_slice"], "left")
+            .join(written(carried.where(F.col(by).isNotNull()), "carried"), [by, "_slice"], "left")
             .withColumn("_r", F.coalesce("_r", "_carry"))
         )
     return found.where(F.col("_side") == l_side).select(

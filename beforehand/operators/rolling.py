@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_micros, epoch_seconds
-from .skew import KeyProfile, addend, next_instant, null_safe_join, previous_row, profile_keys, running_totals
+from .skew import SLICE_ROWS, KeyProfile, addend, next_instant, null_safe_join, previous_row, profile_keys, running_totals
 
 MINUTE, HOUR, DAY = 60, 3600, 86_400
 WEEK = 7 * DAY
 
+SHORT = 10 * SLICE_ROWS  # seconds
+
 DEFAULT_RSD = 0.05
 DIGITS = 9
 
@@ -66,7 +68,7 @@ def rolling(
         elif profile.heavy:
             light, heavy = profile.split(df)
             both = _by_window(light, key, at, specs, tick).unionByName(
-                _by_sweep(heavy, key, at, specs, tick, _slice_width(tick, profile))
+                _by_sweep(heavy, key, at, specs, tick, profile)
             )
             return both.drop(*added)
         else:
@@ -75,14 +77,7 @@ def rolling(
         raise ValueError(f"unknown route {route!r}")
     if route == "window":
         return _by_window(df, key, at, specs, tick).drop(*added)
-    return _by_sweep(df, key, at, specs, tick, _slice_width(tick, profile)).drop(*added)
-
-
-def _slice_width(tick: int, profile: KeyProfile | None) -> int:
-    """A day of whole seconds bounds a slice by itself; microseconds follow the densest key."""
-    if tick == 1:
-        return DAY
-    return profile.slice_micros(HOUR * tick) if profile else HOUR * tick
+    return _by_sweep(df, key, at, specs, tick, profile).drop(*added)
 
 
 def _integral(df: DataFrame, column: str) -> bool:
@@ -126,15 +121,21 @@ def _by_window(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int
     return df.withColumns({s.name: value(s) for s in specs})
 
 
-def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int, width: int) -> DataFrame:
+def _by_sweep(
+    df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int, profile: KeyProfile | None
+) -> DataFrame:
     """All rows of one key and instant share their rolling values, so work at that grain.
 
     Rows are first summed per (key, instant). A value enters after its instant and leaves
     ``seconds`` later; the rolling value is what entered minus what left, both running
     sums. For distinct counts each (key, member) interval is cut at the member's next
     appearance, so a member never counts twice. Differences of long sums stay exact on the
-    numbers of ``_exact``.
+    numbers of ``_exact``. A day of whole seconds bounds a slice of a key by itself; at
+    microseconds slices are even cuts of its events.
     """
+    width = DAY if tick == 1 else None
+    # a member is seen at most once a second: on a short calendar it needs no slices
+    short = tick == 1 and profile and profile.first is not None and profile.last - profile.first < SHORT * 1_000_000
     sums = sorted({s.column for s in specs if s.agg in ("sum", "mean")})
     means = sorted({s.column for s in specs if s.agg == "mean"})
     amount = {c: _exact(df, c) for c in sums}
@@ -171,7 +172,7 @@ def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int,
             for m, n in gone
         ],
     )
-    parts = [events] + [_member_events(df, key, at, c, n, tick, width) for c, n in members]
+    parts = [events] + [_member_events(df, key, at, c, n, tick, bool(short)) for c, n in members]
     events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     inclusive = [f"_out_{m}_{n}" for m, n in gone] + [f"_dst_{c}_{n}" for c, n in members]
     swept = running_totals(events, key, "_at", inclusive, [f"_in_{m}" for m in seen], width).where("_ask")
@@ -196,17 +197,16 @@ def _by_sweep(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int,
 
 
 def _member_events(
-    df: DataFrame, key: str, at: str, column: str, seconds: int, tick: int, width: int
+    df: DataFrame, key: str, at: str, column: str, seconds: int, tick: int, short: bool
 ) -> DataFrame:
     """+1 when a member becomes visible in the frame, -1 when it no longer is."""
     members = df.where(F.col(column).isNotNull())
     seen = members.select(key, F.col(column).alias("_m"), F.col(at).alias("_at")).distinct()
-    if tick == 1:
-        # at most one row per second of the calendar, however many rows the member has
+    if short:
         again = F.lead("_at").over(Window.partitionBy(key, "_m").orderBy("_at"))
         seen = seen.withColumn("_again", again)
     else:
-        seen = next_instant(seen, [key, "_m"], "_at", width, "_again")
+        seen = next_instant(seen, key, "_m", "_at", "_again")
     # least() skips a NULL
     spans = seen.select(key, "_at", F.least(F.col("_at") + seconds * tick, F.col("_again")).alias("_last"))
     steps = F.array(

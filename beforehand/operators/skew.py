@@ -3,12 +3,14 @@
 A window needs a whole key in one task. That is fine for nearly every key, and wrong
 for the few that hold a large share of the table. ``profile_keys`` finds those with one
 pre-aggregated pass; their rows are then worked on per (key, time slice), with the
-little that crosses a slice border carried over in a small table.
+little that crosses a slice border carried over in a small table. Borders are quantiles of
+the key's own times, so slices are even whether its rows come steadily or in a burst.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_micros
+from ..session import written
 
 # A sliding frame re-reads its frame for each row, so the cost of a key grows with the
 # square of its rows: above this many, a key leaves the plain window.
@@ -25,6 +28,7 @@ MAX_HEAVY_KEYS = 10_000
 SLICE_ROWS = 200_000
 MAX_SLICES = 100_000
 CASE_KEYS = 16
+MERGED = (256, 16, 1)
 
 
 @dataclass(frozen=True)
@@ -39,11 +43,22 @@ class KeyProfile:
     last: int | None
     heavy: tuple[tuple, ...]  # (value, rows, first micros, last micros), largest first
     truncated: bool  # more heavy keys exist than are listed
+    heavy_rows: int = HEAVY_ROWS
+    counted: DataFrame | None = field(default=None, compare=False, repr=False)  # every heavy key, as rows of ``heavy``
 
-    def slice_micros(self, longest: int, slice_rows: int = SLICE_ROWS) -> int:
-        """Slice length at which the densest heavy key averages ``slice_rows`` rows."""
-        fits = ((hi - lo + 1) * slice_rows // n for _, n, lo, hi in self.heavy)
-        return max(1, min([longest, *fits]))
+    def share(self, rows: int) -> int:
+        """``rows``, or more where fewer would make over ``MAX_SLICES`` shares of the table."""
+        return max(rows, -(-self.rows // MAX_SLICES))
+
+    def above(self, rows: int) -> list[tuple]:
+        """All heavy keys of more than ``rows`` rows, as in ``heavy``, however long its list may be.
+
+        There are at most ``MAX_SLICES`` keys above a share of the table. Those beyond the list are
+        counted again.
+        """
+        if not self.truncated or rows >= self.heavy[-1][1]:
+            return [h for h in self.heavy if h[1] > rows]
+        return [tuple(r) for r in self.counted.where(F.col("n") > self.share(rows)).collect()]
 
     def max_buckets(self, seconds: int) -> int:
         """Upper bound on the (key, time bucket) pairs that can exist."""
@@ -51,19 +66,18 @@ class KeyProfile:
             return self.rows
         return min(self.rows, self.keys * ((self.last - self.first) // (seconds * 1_000_000) + 2))
 
-    def is_heavy(self, column: Column | None = None) -> Column:
-        if not self.heavy:
-            return F.lit(False)
-        c = F.col(self.key) if column is None else column
-        values = [h[0] for h in self.heavy if h[0] is not None]
-        listed = F.coalesce(c.isin(values), F.lit(False))
-        return listed | c.isNull() if len(values) < len(self.heavy) else listed
-
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         """(rows of light keys, rows of heavy keys or None)."""
         if not self.heavy:
             return df, None
-        return df.where(~self.is_heavy()), df.where(self.is_heavy())
+        listed = [h[0] for h in self.above(self.share(self.heavy_rows))]
+        if len(listed) > CASE_KEYS:
+            marked = with_key_values(df, self, [(v, 1) for v in listed], ["_hot"])
+            return marked.where("_hot IS NULL").drop("_hot"), marked.where("_hot = 1").drop("_hot")
+        hit = F.coalesce(F.col(self.key).isin([v for v in listed if v is not None]), F.lit(False))
+        if None in listed:
+            hit = hit | F.col(self.key).isNull()
+        return df.where(~hit), df.where(hit)
 
 
 def profile_keys(
@@ -76,8 +90,7 @@ def profile_keys(
     """Count rows per key and list the heavy ones.
 
     Counts combine on the map side, so a hot key costs one row per task. The driver
-    receives at most ``max_heavy`` + 2 rows. Keys past that limit hold less than
-    1/``max_heavy`` of the table each. Rows without a key count as one key.
+    receives at most ``max_heavy`` + 1 rows. Rows without a key count as one key.
     """
     return profile_many(df, [key], time, heavy_rows, max_heavy)[key]
 
@@ -89,33 +102,35 @@ def profile_many(
     heavy_rows: int = HEAVY_ROWS,
     max_heavy: int = MAX_HEAVY_KEYS,
 ) -> dict[str, KeyProfile]:
-    """Profiles of several key columns from one job and one scan."""
+    """Profiles of several key columns from one job and one scan: totals and the largest counts."""
     t = epoch_micros(time) if time else F.lit(None).cast("long")
     names = [f"k{i}" for i in range(len(keys))]
     rows = df.select(*[F.col(key).alias(n) for key, n in zip(keys, names)], t.alias("_t"))
-    per_key = rows.groupingSets([[n] for n in names], *names).agg(
-        F.grouping_id().alias("set"),
-        F.count(F.lit(1)).alias("n"),
-        F.min("_t").alias("lo"),
-        F.max("_t").alias("hi"),
-    )
-    totals = per_key.groupBy("set").agg(
-        F.count(F.lit(1)).alias("keys"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
-    )
+    tally = [F.count(F.lit(1)).alias("n"), F.min("_t").alias("lo"), F.max("_t").alias("hi")]
+    per_key = rows.groupingSets([[n] for n in names], *names).agg(F.grouping_id().alias("set"), *tally)
     # one bit per column, set where the column is not grouped by
     sets = [2 ** len(keys) - 1 - 2 ** (len(keys) - 1 - i) for i in range(len(keys))]
-    tops = [
-        per_key.where((F.col("set") == s) & (F.col("n") > heavy_rows))
-        .orderBy(F.desc("n"), F.asc(name))
-        .limit(max_heavy + 1)
-        for s, name in zip(sets, names)
-    ]
-    got = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [totals, *tops]).collect()
+    # the lists of the largest merge in steps, so none gathers more than some of bounded length
+    one = F.struct((-F.col("n")).alias("m"), *names, "lo", "hi")
+    merged = per_key.select(
+        "set",
+        F.pmod(F.xxhash64(*names), F.lit(MERGED[0])).alias("bin"),
+        F.lit(1).cast("long").alias("keys"),
+        (F.col("n") > heavy_rows).cast("long").alias("over"),
+        "n", "lo", "hi",
+        F.when(F.col("n") > heavy_rows, F.array(one)).alias("top"),
+    )
+    for bins in MERGED:
+        merged = merged.groupBy("set", F.pmod("bin", F.lit(bins)).alias("bin")).agg(
+            *[F.sum(c).alias(c) for c in ("keys", "over", "n")],
+            F.min("lo").alias("lo"),
+            F.max("hi").alias("hi"),
+            F.slice(F.array_sort(F.flatten(F.collect_list("top"))), 1, max_heavy).alias("top"),
+        )
+    got = {r["set"]: r for r in merged.collect()}
     found = {}
-    for i, key in enumerate(keys):
-        of_key = [r for r in got if r["set"] == sets[i]]
-        total = next((r for r in of_key if r["keys"] is not None), None)
-        heavy = sorted((r for r in of_key if r["keys"] is None), key=lambda r: -r["n"])
+    for i, (key, name, s) in enumerate(zip(keys, names, sets)):
+        total = got.get(s)
         found[key] = KeyProfile(
             key=key,
             key_type=df.schema[key].dataType,
@@ -123,8 +138,10 @@ def profile_many(
             rows=total["n"] if total else 0,
             first=total["lo"] if total else None,
             last=total["hi"] if total else None,
-            heavy=tuple((r[f"k{i}"], r["n"], r["lo"], r["hi"]) for r in heavy[:max_heavy]),
-            truncated=len(heavy) > max_heavy,
+            heavy=tuple((h[name], -h["m"], h["lo"], h["hi"]) for h in total["top"]) if total else (),
+            truncated=bool(total) and total["over"] > max_heavy,
+            heavy_rows=heavy_rows,
+            counted=rows.groupBy(name).agg(*tally).where(F.col("n") > heavy_rows),
         )
     return found
 
@@ -135,7 +152,7 @@ def with_key_values(
     """Add long columns looked up by key in ``rows`` of (key, value, …); NULL for other keys.
 
     A few keys become a CASE expression, more a broadcast table of at most
-    ``MAX_HEAVY_KEYS`` rows.
+    ``MAX_SLICES`` rows.
     """
     key = F.col(profile.key)
     if len(rows) <= CASE_KEYS:
@@ -152,6 +169,62 @@ def with_key_values(
     return df.join(F.broadcast(table), key.eqNullSafe(F.col("_heavy")), "left").drop("_heavy")
 
 
+def _sketch_size(slices: int) -> int:
+    """Items a quantile sketch keeps so that a border is off by at most a quarter of a slice.
+
+    Its rank error is about 2.296 / k ** 0.9021 of the rows; past 65,535 items, the most there
+    can be, it stays at a ten-thousandth of the key.
+    """
+    return min(65_535, max(200, math.ceil((2.296 * 4 * slices) ** (1 / 0.9021))))
+
+
+def _slice_borders(df: DataFrame, key: str, at: Column, keys: DataFrame, halvings: list[int]) -> DataFrame:
+    """``_heavy, _borders``: where slices of the keys listed in ``keys`` (``_heavy, _halvings``) begin.
+
+    A key in 2 ** h slices has the quantiles 1 / 2 ** h, 2 / 2 ** h, … of its own ``at`` as
+    borders, from a mergeable sketch: one row a key and task moves, whatever the key holds.
+    """
+    times = df.select(F.col(key).alias("_key"), at.cast("long").alias("_t")).where("_t IS NOT NULL")
+    rows = times.join(F.broadcast(keys), F.col("_key").eqNullSafe(F.col("_heavy")))
+    sketches = [
+        F.kll_sketch_agg_bigint(F.when(F.col("_halvings") == h, F.col("_t")), F.lit(_sketch_size(2**h))).alias(f"_s{h}")
+        for h in halvings
+    ]
+    borders = F.lit(None).cast("array<bigint>")
+    for h in halvings:
+        # one constant, however many there are
+        ranks = F.split(F.lit(",".join(str(i / 2**h) for i in range(1, 2**h))), ",").cast("array<double>")
+        quantiles = F.kll_sketch_get_quantile_bigint(f"_s{h}", ranks)
+        borders = F.when(F.col("_halvings") == h, quantiles).otherwise(borders)
+    per_key = rows.groupBy("_heavy", "_halvings").agg(*sketches)
+    return per_key.select("_heavy", F.array_distinct(borders).alias("_borders"))
+
+
+def _at_or_before(borders: Column, at: Column, most: int) -> Column:
+    """How many of the ascending ``borders`` are at or before ``at``, by binary search."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most.bit_length()))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: F.when(F.get(borders, found + step - 1) <= at, found + step).otherwise(found),
+    )
+
+
+def _cut(df: DataFrame, key: str, at: Column, sizes: list[tuple], key_type: T.DataType, per_slice: int, name: str) -> DataFrame:
+    if not sizes:
+        return df.withColumn(name, F.lit(-1).cast("long"))
+    halved = [(value, max(1, math.ceil(math.log2(n / per_slice)))) for value, n in sizes]
+    fields = [T.StructField("_heavy", key_type), T.StructField("_halvings", T.IntegerType())]
+    keys = df.sparkSession.createDataFrame(halved, T.StructType(fields))
+    halvings = sorted({h for _, h in halved})
+    # at most MAX_SLICES keys and twice as many borders, so small enough to broadcast
+    borders = written(_slice_borders(df, key, at, keys, halvings), "slice-borders")
+    joined = df.join(F.broadcast(borders), F.col(key).eqNullSafe(F.col("_heavy")), "left")
+    found = F.coalesce(_at_or_before(F.col("_borders"), at, 2 ** halvings[-1]), F.lit(0))
+    number = F.when(F.col("_borders").isNull(), F.lit(-1)).otherwise(found)
+    return joined.withColumn(name, number.cast("long")).drop("_heavy", "_borders")
+
+
 def with_slice(
     df: DataFrame,
     profile: KeyProfile,
@@ -159,27 +232,25 @@ def with_slice(
     name: str = "_slice",
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Number the time slice of each row: 0 for light keys, 0..m for heavy ones.
+    """Number the time slice of each row: -1 for light keys, 0..m in the order of time for heavy ones.
 
-    The width is set per key so that a slice holds about ``slice_rows`` rows and all
-    slices together number at most ``MAX_SLICES`` plus one per heavy key.
+    A heavy key is cut at quantiles of its times in ``df``, so a slice holds about
+    ``slice_rows`` rows however they are spread; rows of one instant share a slice. All
+    slices together number at most twice ``MAX_SLICES``.
     """
-    if not profile.heavy:
-        return df.withColumn(name, F.lit(0).cast("long"))
-    if profile.first is None:
-        raise ValueError("time slices need a profile taken with a time column")
-    per_slice = max(slice_rows, -(-profile.rows // MAX_SLICES))
-    widths = []
-    for value, n, lo, hi in profile.heavy:
-        width = max(1, -(-(hi - lo + 1) * per_slice // n))
-        widths.append((value, lo, width, (hi - lo) // width))
-    joined = with_key_values(df, profile, widths, ["_start", "_width", "_final"])
-    # rows outside the profiled time range join the first or the last slice
-    into = F.greatest(micros - F.col("_start"), F.lit(0).cast("long"))
-    at = F.least((into - F.pmod(into, F.col("_width"))) / F.col("_width"), F.col("_final"))
-    return joined.withColumn(
-        name, F.when(F.col("_width").isNull(), F.lit(0).cast("long")).otherwise(at.cast("long"))
-    ).drop("_start", "_width", "_final")
+    per_slice = profile.share(slice_rows)
+    sizes = [h[:2] for h in profile.above(per_slice)] if profile.heavy else []
+    return _cut(df, profile.key, micros, sizes, profile.key_type, per_slice, name)
+
+
+def even_slices(df: DataFrame, key: str, at: str, name: str = "_slice", slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """As ``with_slice`` for a written table without a profile: its keys are counted first."""
+    rows = df.count()
+    per_slice = max(slice_rows, -(-rows // MAX_SLICES))
+    if rows <= per_slice:
+        return df.withColumn(name, F.lit(-1).cast("long"))
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > per_slice).collect()
+    return _cut(df, key, F.col(at), [tuple(r) for r in sizes], df.schema[key].dataType, per_slice, name)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -211,39 +282,37 @@ def previous_row(
     w = Window.partitionBy(key, "_slice").orderBy(*order)
     inside = df.withColumn(name, F.lag(F.struct(*cols)).over(w))
     lasts = (
-        df.where(profile.is_heavy())
+        df.where("_slice >= 0")
         .groupBy(key, "_slice")
         .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_last"))
     )
     carried = lasts.select(
         key, "_slice", F.lag("_last").over(Window.partitionBy(key).orderBy("_slice")).alias("_carry")
     )
-    # one row per slice: bounded by MAX_SLICES + MAX_HEAVY_KEYS
+    # one row per slice, written: Spark broadcasts it if it is small
     return (
-        null_safe_join(inside, F.broadcast(carried), [key, "_slice"])
+        null_safe_join(inside, written(carried, "carried"), [key, "_slice"])
         .withColumn(name, F.coalesce(name, "_carry"))
         .drop("_slice", "_carry")
     )
 
 
-def next_instant(df: DataFrame, group: list[str], at: str, width: int, name: str) -> DataFrame:
-    """Add the group's next ``at`` (NULL on the last); rows must be distinct in both.
+def next_instant(df: DataFrame, key: str, member: str, at: str, name: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Add the next ``at`` of the (key, member) pair (NULL on the last); rows must be distinct in all three.
 
-    Worked on per (group, slice of ``width``); the last row of a slice takes the first
+    Worked on per (key, member, slice of the key); the last row of a slice takes the first
     instant of the next slice that has any.
     """
-    df = df.withColumns(
-        {"_group": F.struct(*group), "_slice": F.col(at) - F.pmod(F.col(at), F.lit(width))}
-    )
-    firsts = df.groupBy("_group", "_slice").agg(F.min(at).alias("_first"))
-    by_slice = Window.partitionBy("_group").orderBy("_slice")
-    following = firsts.select("_group", "_slice", F.lead("_first").over(by_slice).alias("_after"))
-    inside = Window.partitionBy("_group", "_slice").orderBy(at)
+    df = even_slices(written(df, "instants"), key, at, "_slice", slice_rows)
+    group = [key, member]
+    firsts = df.where("_slice >= 0").groupBy(*group, "_slice").agg(F.min(at).alias("_first"))
+    by_slice = Window.partitionBy(*group).orderBy("_slice")
+    following = firsts.select(*group, "_slice", F.lead("_first").over(by_slice).alias("_after"))
+    inside = Window.partitionBy(*group, "_slice").orderBy(at)
     return (
-        df.withColumn(name, F.lead(at).over(inside))
-        .join(following, ["_group", "_slice"], "left")
+        null_safe_join(df.withColumn(name, F.lead(at).over(inside)), following, [*group, "_slice"])
         .withColumn(name, F.coalesce(name, "_after"))
-        .drop("_group", "_slice", "_after")
+        .drop("_slice", "_after")
     )
 
 
@@ -260,19 +329,23 @@ def running_totals(
     at: str,
     inclusive: list[str] = (),
     exclusive: list[str] = (),
-    width: int = 86_400,
+    width: int | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Replace each listed column by its running sum over ``at`` within ``key``.
 
     ``inclusive`` sums count the current instant, ``exclusive`` ones stop before it.
-    Work is split by (key, slice of ``width``); totals of earlier slices are added as an
+    Work is split by (key, slice of ``width``), or, without a width, by even slices of the keys
+    with over ``slice_rows`` events, which are written first; totals of earlier slices are added as an
     offset, so no task holds more than one slice of a key. Cost is linear.
     """
     cols = [*inclusive, *exclusive]
+    if width:
+        events = events.withColumn("_slice", F.col(at) - F.pmod(F.col(at), F.lit(width)))
+    else:
+        events = even_slices(written(events, "events"), key, at, "_slice", slice_rows)
     # a struct is never NULL, so rows without a key join to their offsets too
-    events = events.withColumns(
-        {"_key": F.struct(key), "_slice": F.col(at) - F.pmod(F.col(at), F.lit(width))}
-    )
+    events = events.withColumn("_key", F.struct(key))
     totals = events.groupBy("_key", "_slice").agg(*[F.sum(c).alias(c) for c in cols])
     earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

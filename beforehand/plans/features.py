@@ -62,13 +62,13 @@ def card_history(
         return rolling(seen, "card_id", "_ts", card_specs(approximate), route, profile)
 
     rows = txns.withColumn("_ts", epoch_seconds("txn_time"))
-    if route == "auto":
+    if route == "auto" and not profile.truncated:
         light, heavy = profile.split(rows)
-        df = windows(light, "sweep" if profile.truncated else "window")
+        df = windows(light, "window")
         if heavy is not None:
             df = df.unionByName(windows(heavy, "sweep", profile))
     else:
-        df = windows(rows, route, profile)
+        df = windows(rows, "sweep" if route == "auto" else route, profile)
     return df.drop("_ts").withColumns(
         {
             "amt_ratio_7d": ratio_to_baseline("amount", "card_mean_7d"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every operator relies on.
 SETTINGS = {
@@ -68,3 +68,10 @@ def shared_dir(spark: SparkSession, label: str) -> str:
             _local_root = tempfile.mkdtemp(prefix="beforehand-")
         root = _local_root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once below the shared folder, and read from there by whatever needs it again."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
