@@ -43,7 +43,7 @@ def test_whole_table(spark, monkeypatch):
     rows.append((2000, "word " * 4096, "en", "big", 1))
     rows += [(2001 + i, "q" * 3000 + f" {i}", "en", "big", 1) for i in range(40)]
     monkeypatch.setattr(queries, "table", lambda *_: clashing(docs(spark, rows)))
-    for common in (token_counts.COMMON, 8, 1):  # all pre-tokens by broadcast, some, none
+    for common in (token_counts.COMMON, 40, 0):  # all pre-tokens sent to all tasks, some, none
         monkeypatch.setattr(token_counts, "COMMON", common)
         got = queries.op13_token_counts(spark, "").collect()
         want = [(r[0], len((r[1] or "").encode()), brute(r[1]), brute(r[1]) > 4096) for r in rows]
@@ -60,6 +60,14 @@ def test_very_long_text():
     assert total(text) == brute(text)
 
 
+def test_cut_in_parts(monkeypatch):
+    text = "".join(random.Random(5).choice(["the ", "naïve", "  ", "x=1;", "\n", "漢", "aaaa", "});\r"]) for _ in range(400))
+    whole = token_counts.pre_tokens(text, PATH)
+    for size in (1, 2, 7, 100):
+        monkeypatch.setattr(token_counts, "LONG", size)
+        assert token_counts.pre_tokens(text, PATH) == whole
+
+
 def test_a_vocabulary_that_rewrites_texts_is_refused(monkeypatch):
     class Rewriting(sentencepiece.SentencePieceProcessor):
         def normalize(self, text):
