@@ -84,7 +84,7 @@ def _integral(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, T.IntegralType)
 
 
-def _exact(df: DataFrame, column: str) -> Column:
+def exact(df: DataFrame, column: str) -> Column:
     """What sums add up, on every route: whole numbers, or decimals with ``DIGITS`` after the point.
 
     Decimals add to the same total in any order, so a key's size cannot change a value. NaN,
@@ -107,10 +107,10 @@ def _by_window(df: DataFrame, key: str, at: str, specs: list[Rolling], tick: int
         if s.agg == "count":
             return F.count(F.lit(1)).over(frame)
         if s.agg == "sum":
-            total = F.coalesce(F.sum(_exact(df, s.column)).over(frame), F.lit(0))
+            total = F.coalesce(F.sum(exact(df, s.column)).over(frame), F.lit(0))
             return total.cast("long" if _integral(df, s.column) else "double")
         if s.agg == "mean":
-            total = F.sum(_exact(df, s.column)).over(frame).cast("double")
+            total = F.sum(exact(df, s.column)).over(frame).cast("double")
             return F.try_divide(total, F.count(s.column).over(frame))
         if s.agg == "distinct":
             return F.size(F.collect_set(s.column).over(frame)).cast("long")
@@ -130,7 +130,7 @@ def _by_sweep(
     ``seconds`` later; the rolling value is what entered minus what left, both running
     sums. For distinct counts each (key, member) interval is cut at the member's next
     appearance, so a member never counts twice. Differences of long sums stay exact on the
-    numbers of ``_exact``. A day of whole seconds bounds a slice of a key by itself; at
+    numbers of ``exact``. A day of whole seconds bounds a slice of a key by itself; at
     microseconds slices are even cuts of its events.
     """
     width = DAY if tick == 1 else None
@@ -138,7 +138,7 @@ def _by_sweep(
     short = tick == 1 and profile and profile.first is not None and profile.last - profile.first < SHORT * 1_000_000
     sums = sorted({s.column for s in specs if s.agg in ("sum", "mean")})
     means = sorted({s.column for s in specs if s.agg == "mean"})
-    amount = {c: _exact(df, c) for c in sums}
+    amount = {c: exact(df, c) for c in sums}
     per_instant = df.groupBy(key, F.col(at).alias("_at")).agg(
         F.count(F.lit(1)).alias("_m_rows"),
         *[F.coalesce(F.sum(amount[c]), F.lit(0)).alias(f"_m_sum_{c}") for c in sums],

@@ -357,6 +357,17 @@ UNION ALL SELECT split, 'roc_auc', round({AUC}, 6) FROM curve WHERE split IS NOT
  GROUP BY user_id, hr_ts""",
 }
 
+SQL["stream_hourly_distinct"] = """SELECT user_id, hr_ts, count(*) AS n, count(DISTINCT event_type) AS nc
+ FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS t, t - t % 3600 AS hr_ts FROM events) GROUP BY user_id, hr_ts"""
+
+SQL["stream_rolling_rows"] = """SELECT event_id, user_id, count(*) OVER h AS cnt_1h, count(*) OVER d AS cnt_24h,
+ round(CAST(coalesce(sum(CAST(value AS DECIMAL(28, 9))) OVER h, 0) AS DOUBLE), 8) AS sum_1h,
+ round(CAST(coalesce(sum(CAST(value AS DECIMAL(28, 9))) OVER d, 0) AS DOUBLE), 8) AS sum_24h,
+ round(CAST(sum(CAST(value AS DECIMAL(28, 9))) OVER d AS DOUBLE) / count(value) OVER d, 8) AS mean_24h
+ FROM (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events)
+ WINDOW h AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 3600 PRECEDING AND 1 PRECEDING),
+  d AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 86400 PRECEDING AND 1 PRECEDING)"""
+
 SQL["backfill_by_range"] = SQL["feature_table_full"]
 SQL["silver_feature_table"] = SQL["feature_table_full"]
 SQL["stream_rolling_counters"] = """SELECT user_id, hr_ts, count(*) AS n

@@ -13,6 +13,7 @@ from ..session import shared_dir
 from ..sources import snapshots, standin, tables
 from ..sources.schemas import MODEL_INPUTS
 from ..streaming import counters
+from ..streaming.rolling import rolling_rows
 from . import features as plan
 
 TIMELINE = standin.TIMELINE
@@ -745,6 +746,29 @@ def stream_rolling_counters(spark, sf):
     return _drained(spark, counters.rolling_stream(_event_stream(spark, sf), "user_id", "ts", DAY))
 
 
+def _closed(spark, sf, made):
+    """All rows of a stream of events that is brought to its end."""
+    events, close = counters.closing(_event_stream(spark, sf).drop("props"), "ts")
+    out = shared_dir(spark, "stream")
+    counters.run_closed(made(events), close, f"{out}/data", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/data")
+
+
+def stream_hourly_distinct(spark, sf):
+    """Rows and distinct kinds of event per user and hour, the last hours included."""
+    return _closed(spark, sf, lambda e: counters.bucket_stream(e, "user_id", "ts", member="event_type"))
+
+
+def stream_rolling_rows(spark, sf):
+    """Each event with its user's counts, sums and mean of the last hour and day, from a stream."""
+    specs = [
+        Rolling("cnt_1h", "count", HOUR), Rolling("cnt_24h", "count", DAY), Rolling("sum_1h", "sum", HOUR, "value"),
+        Rolling("sum_24h", "sum", DAY, "value"), Rolling("mean_24h", "mean", DAY, "value"),
+    ]
+    df = _closed(spark, sf, lambda e: rolling_rows(e, "user_id", "ts", specs, ["event_id"]))
+    return df.select("event_id", "user_id", "cnt_1h", "cnt_24h", *_r("sum_1h", "sum_24h", "mean_24h", digits=8))
+
+
 def stream_dedup(spark, sf):
     """A stream that delivers every event twice, reduced to one copy."""
     twice = _event_stream(spark, sf).unionByName(_event_stream(spark, sf))
@@ -770,6 +794,7 @@ QUERIES = {
         partitioned_roundtrip, pruned_range_scan, catalog_table_roundtrip, bucketed_table_windows, clustered_files,
         snapshot_asof_read, snapshot_history, row_count_drift, metrics_json_roundtrip, silver_feature_table, feature_table_approx,
         gbt_scores, importance_topk, calibrated_scores, label_and_leakage_checks,
-        stream_hourly_counters, stream_rolling_counters, stream_dedup, backfill_by_range,
+        stream_hourly_counters, stream_rolling_counters, stream_dedup, stream_hourly_distinct, stream_rolling_rows,
+        backfill_by_range,
     ]
 }

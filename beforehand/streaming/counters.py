@@ -2,34 +2,64 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.rolling import HOUR
-
+from ..session import shared_dir
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+# The time of a closing mark, and a time between all events and it.
+CLOSED, OPEN = "9998-01-01", "9000-01-01"
+
+
+def watermarked(stream: DataFrame, time: str, late: str) -> DataFrame:
+    """The stream's events, with a watermark that closing marks move but in which they don't count.
+
+    The condition names the event time, so that it is applied behind the watermark.
+    """
+    return stream.withWatermark(time, late).where(F.col(time) < F.lit(OPEN).cast("timestamp"))
+
+
+def closing(stream: DataFrame, time: str) -> tuple[DataFrame, Callable[[], None]]:
+    """The stream, and a function that ends it: all that waits for the watermark is then given out.
+
+    It puts a mark, a row far in the future, into a folder that is streamed too. Rows that come
+    after it are late.
+    """
+    spark, folder = stream.sparkSession, shared_dir(stream.sparkSession, "marks")
+    marks = [F.lit(CLOSED if f.name == time else None).cast(f.dataType).alias(f.name) for f in stream.schema.fields]
+    mark = spark.range(1).select(*marks)
+    mark.limit(0).write.parquet(folder)
+    both = stream.unionByName(spark.readStream.schema(stream.schema).parquet(folder))
+    return both, lambda: mark.write.mode("append").parquet(folder)
+
+
 def bucket_stream(
     stream: DataFrame, key: str, time: str, late: str = "1 hour", seconds: int = HOUR, member: str | None = None
 ) -> DataFrame:
-    """Rows (and approximate distinct members) per key and bucket of an event stream.
+    """Rows, and distinct members if asked for, per key and bucket of an event stream.
 
     A bucket is emitted once the watermark passes its end; rows later than ``late`` are
     left out and show in the query's ``numRowsDroppedByWatermark``. Partial aggregation
-    runs before the shuffle, so a hot key sends one row per task and bucket.
+    runs before the shuffle, so a hot key sends one row per task and bucket. Members are
+    counted exactly: rows are first summed by (key, bucket, member), so a hot key's state is
+    spread over its members, and the closed sums then per (key, bucket).
     """
-    aggs = [F.count(F.lit(1)).alias("n")]
+    rows = watermarked(stream, time, late)
+    w = F.window(time, f"{seconds} seconds").alias("_w")
     if member:
-        aggs.append(F.approx_count_distinct(member).alias("nc"))
-    return (
-        stream.withWatermark(time, late)
-        .groupBy(key, F.window(time, f"{seconds} seconds").alias("_w"))
-        .agg(*aggs)
-        .select(key, F.unix_timestamp("_w.start").alias("hr_ts"), *[a for a in ("n", "nc")[: len(aggs)]])
+        each = rows.groupBy(key, w, F.col(member).alias("_m")).agg(F.count(F.lit(1)).alias("_n"))
+        per = each.groupBy(key, "_w").agg(F.sum("_n").alias("n"), F.count("_m").alias("nc"))
+        return per.select(key, F.unix_timestamp("_w.start").alias("hr_ts"), "n", "nc")
+    return rows.groupBy(key, w).agg(F.count(F.lit(1)).alias("n")).select(
+        key, F.unix_timestamp("_w.start").alias("hr_ts"), "n"
     )
 
 
@@ -43,7 +73,7 @@ def rolling_stream(
     """
     w = F.window(time, f"{length} seconds", f"{step} seconds").alias("_w")
     return (
-        stream.withWatermark(time, late)
+        watermarked(stream, time, late)
         .groupBy(key, w)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(key, F.unix_timestamp("_w.end").alias("hr_ts"), "n")
@@ -82,3 +112,10 @@ def run_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
     query.awaitTermination()
     return query
+
+
+def run_closed(df: DataFrame, close: Callable[[], None], path: str, checkpoint: str) -> StreamingQuery:
+    """``run_available``, then once more after ``close`` of ``closing``: nothing stays open."""
+    run_available(df, path, checkpoint)
+    close()
+    return run_available(df, path, checkpoint)
