@@ -275,7 +275,8 @@ SELECT merchant_id, CAST(epoch(period) AS BIGINT) AS period_ts, CAST(n AS BIGINT
     "dedup_transactions": q("SELECT txn_id, card_id, merchant_id, amount, is_fraud FROM txn"),
     "dedup_missing_keys": q("""SELECT txn_id, card_id, merchant_id, amount FROM txn WHERE merchant_id % 10 <> 3
  UNION ALL SELECT NULL, card_id, merchant_id, amount FROM txn CROSS JOIN (VALUES (1), (2)) WHERE merchant_id % 10 = 3"""),
-    "land_late_rows": q("""SELECT txn_id, card_id, amount, strftime(txn_time, '%Y-%m-%d') AS txn_date FROM txn"""),
+    "land_late_rows": q("""SELECT txn_id, card_id, amount, strftime(txn_time, '%Y-%m-%d') AS txn_date FROM txn
+ UNION ALL SELECT txn_id + 1000000000000, card_id, amount, NULL FROM txn WHERE txn_id % 50 = 0"""),
     "quality_checks": q("""c AS (SELECT count(*) AS n, count(DISTINCT txn_id) AS d,
  sum(CASE WHEN label_confirmed_at IS NULL THEN 1 ELSE 0 END) / count(*) AS a,
  sum(CASE WHEN merchant_id IS NULL THEN 1 ELSE 0 END) / count(*) AS m

@@ -10,7 +10,7 @@ from ..operators import buckets, encoding, evaluation, joins, model, quality, re
 from ..operators.rolling import DAY, HOUR, MINUTE, WEEK, Rolling, rolling, since_last, since_last_flagged
 from ..operators.skew import profile_keys, profile_many
 from ..session import shared_dir
-from ..sources import snapshots, standin, tables
+from ..sources import landing, snapshots, standin, tables
 from ..sources.schemas import MODEL_INPUTS
 from ..streaming import counters
 from ..streaming.rolling import rolling_rows
@@ -513,19 +513,26 @@ def partitioned_roundtrip(spark, sf):
     """Land day-partitioned rows twice and read them back: still one copy."""
     path = shared_dir(spark, "landing")
     t = txns(spark, sf, country=True)
-    tables.land_raw(t, path)
-    tables.land_raw(t, path)
+    landing.land_raw(t, path)
+    landing.land_raw(t, path)
     back = tables.read_transactions(spark, path)
     return back.select("txn_id", "card_id", "amount", F.date_format("txn_date", "yyyy-MM-dd").alias("txn_date"))
 
 
 def land_late_rows(spark, sf):
-    """All rows but every day's first hour, then those, late: each day holds both."""
+    """All rows but every day's first hour, then those, late. Some come again dated days later, some have no time.
+
+    Each day holds all of its rows, each key one; rows of either batch without a time stay.
+    """
     path = shared_dir(spark, "landing")
     t = txns(spark, sf, country=True)
     late = F.hour("txn_time") == 0
-    tables.land_raw(t.where(~late), path)
-    tables.land_raw(t.where(late), path)
+    new_id = (F.col("txn_id") + 1_000_000_000_000).alias("txn_id")
+    timeless = t.where("txn_id % 50 = 0").withColumns({"txn_id": new_id, "txn_time": F.lit(None).cast("timestamp")}).drop("txn_date")
+    timeless = tables.normalise(timeless)
+    again = tables.normalise(t.where("txn_id % 20 = 3").withColumn("txn_time", F.expr("txn_time + interval 5 days")).drop("txn_date"))
+    landing.land_raw(quality.concat(t.where(~late), timeless.where("txn_id % 100 = 0")), path)
+    landing.land_raw(quality.concat(t.where(late), again, timeless.where("txn_id % 100 <> 0")), path)
     back = tables.read_transactions(spark, path)
     return back.select("txn_id", "card_id", "amount", F.date_format("txn_date", "yyyy-MM-dd").alias("txn_date"))
 

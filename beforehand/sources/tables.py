@@ -10,9 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions import in_days, in_range
 from ..operators.joins import LINEAR_HEAVY_ROWS
-from ..operators.quality import dedup
 from ..operators.skew import profile_keys
-from ..session import shared_dir
 from .schemas import MERCHANTS, TRANSACTIONS, check_schema
 
 KEYS = ("txn_id", "card_id", "merchant_id", "txn_country", "merchant_country")
@@ -73,40 +71,6 @@ def write_partitioned(df: DataFrame, path: str, by: str = "txn_date") -> None:
     )
 
 
-def land_raw(df: DataFrame, path: str, key: str = "txn_id", order: str = "txn_time") -> None:
-    """Land a raw batch: one row per key, partitioned by day, safe to rerun.
-
-    Rows that landed on the batch's days before are kept: the batch is merged with them, so a late
-    row of an old day adds to that day. Only those days are read and written again. Rows
-    without a key cannot be told from copies of each other; landing the same batch again
-    does not double them, as rows equal in every column are kept once.
-    """
-    spark = df.sparkSession
-    batch = saved(normalise(df), "batch")
-    days = [r[0] for r in batch.select("txn_date").distinct().collect()]
-    landed = landed_days(spark, path, days)
-    rows = batch if landed is None else batch.unionByName(landed, allowMissingColumns=True)
-    known, lost = rows.where(F.col(key).isNotNull()), rows.where(F.col(key).isNull()).distinct()
-    # written aside first: the days it replaces are among those it reads
-    write_partitioned(saved(dedup(known, [key], [order]).unionByName(lost), "merged"), path)
-
-
-def landed_days(spark: SparkSession, path: str, days: list) -> DataFrame | None:
-    """The rows of these days below ``path``, or None where nothing has landed yet."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not store.exists(where) or not len(store.listStatus(where)):
-        return None
-    return normalise(spark.read.parquet(path)).where(F.col("txn_date").isin(days))
-
-
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written below the shared folder and read from there."""
-    path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def cluster_write(df: DataFrame, path: str, by: list[str], partitions: int | None = None) -> None:
     """Write files ordered by ``by`` so footers let a point lookup skip most of them.
 

@@ -9,7 +9,7 @@ from beforehand.operators import quality
 from beforehand.operators.buckets import bucket_counts
 from beforehand.plans import jobs
 from beforehand.session import shared_dir
-from beforehand.sources import schemas, snapshots, standin, tables
+from beforehand.sources import landing, schemas, snapshots, standin, tables
 from beforehand.streaming import counters
 
 from .helpers import TXN, by_id, frame, plan_of, txn, txns
@@ -25,8 +25,8 @@ def daily(spark):
 def test_landing_twice_leaves_one_copy(spark, tmp_path):
     path = str(tmp_path / "raw")
     df = daily(spark)
-    tables.land_raw(quality.concat(df, df), path)
-    tables.land_raw(df, path)
+    landing.land_raw(quality.concat(df, df), path)
+    landing.land_raw(df, path)
     back = tables.read_transactions(spark, path)
     assert back.count() == 40 and back.select("txn_id").distinct().count() == 40
 
@@ -149,7 +149,7 @@ def test_shared_dir_follows_the_session(spark):
 def test_jobs_end_to_end(spark, tmp_path):
     raw, out = str(tmp_path / "in"), str(tmp_path / "features")
     t = standin.transactions(spark, "/root/testdata/sf0.01").drop("score")
-    tables.land_raw(t, f"{raw}/transactions")
+    landing.land_raw(t, f"{raw}/transactions")
     standin.merchants(spark, "/root/testdata/sf0.01").write.parquet(f"{raw}/merchants.parquet")
     profile = jobs.build(spark, raw, f"{raw}/merchants.parquet", out, standin.TIMELINE, snapshot_root=str(tmp_path / "s"))
     assert [r.is_fraud for r in profile.collect()] == [0, 1]
@@ -239,3 +239,72 @@ def test_late_rows_are_left_out_and_repeats_dropped(spark, tmp_path):
 
 def test_names_by_id(spark):
     assert by_id(txns(spark, txn(1, 0)), "amount") == {1: 10.0}
+
+
+# ---- landing
+
+
+def landed(spark, path):
+    rows = tables.read_transactions(spark, path).collect()
+    return sorted((r.txn_id or 0, str(r.txn_date), r.amount) for r in rows)
+
+
+def test_rows_without_a_time_are_kept(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    timeless = lambda *ids: txns(spark, *[txn(i, 0, amount=float(i)) for i in ids]).withColumn("txn_time", F.lit(None).cast("timestamp"))
+    landing.land_raw(quality.concat(timeless(1), txns(spark, txn(2, 5, amount=2.0))), path)
+    landing.land_raw(quality.concat(timeless(3), txns(spark, txn(4, 5, amount=4.0))), path)
+    landing.land_raw(timeless(1, 3), path)
+    assert landed(spark, path) == [(1, "None", 1.0), (2, "2024-01-10", 2.0), (3, "None", 3.0), (4, "2024-01-10", 4.0)]
+    # a time makes the row known
+    landing.land_raw(txns(spark, txn(3, 9, amount=9.0)), path)
+    assert landed(spark, path)[2] == (3, "2024-01-10", 9.0)
+
+
+@pytest.mark.parametrize("later_first", [False, True])
+def test_one_row_for_a_key_of_two_days(spark, tmp_path, later_first):
+    path = str(tmp_path / "raw")
+    day = 86_400
+    early, later = txns(spark, txn(1, 10, amount=1.0), txn(2, 20)), txns(spark, txn(1, day + 10, amount=5.0), txn(3, 2 * day))
+    for batch in (later, early) if later_first else (early, later):
+        landing.land_raw(batch, path)
+        landing.land_raw(batch, path)
+    assert landed(spark, path) == [(1, "2024-01-10", 1.0), (2, "2024-01-10", 10.0), (3, "2024-01-12", 10.0)]
+    # the day whose only row gave way is gone
+    assert not (tmp_path / "raw/txn_date=2024-01-11").exists() or landed(spark, path)
+    assert tables.read_transactions(spark, path).where("txn_date = '2024-01-11'").count() == 0
+
+
+def test_landing_reads_only_days_of_its_keys(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "raw")
+    day = 86_400
+    landing.land_raw(txns(spark, *[txn(i, i * day) for i in range(12)]), path)
+    asked = []
+    real = landing.on_days
+    monkeypatch.setattr(landing, "on_days", lambda days: asked.append(days) or real(days))
+    landing.land_raw(txns(spark, txn(3, 20 * day), txn(50, 20 * day)), path)
+    assert {str(d) for days in asked for d in days} == {"2024-01-13", "2024-01-30"}
+    assert [r[:2] for r in landed(spark, path)][3] == (3, "2024-01-13") and len(landed(spark, path)) == 13
+
+
+def test_tables_without_keys_folder_get_one(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    tables.write_partitioned(tables.normalise(daily(spark)), path)
+    moved = daily(spark).withColumn("txn_time", F.col("txn_time") + F.expr("interval 30 days")).limit(7)
+    landing.land_raw(moved, path)
+    back = tables.read_transactions(spark, path)
+    assert back.count() == 40 and back.select("txn_id").distinct().count() == 40
+
+
+def test_random_deliveries_leave_the_first_row_of_each_key(spark, tmp_path):
+    import random
+
+    rng, path, all_rows = random.Random(4), str(tmp_path / "raw"), []
+    for _ in range(4):
+        rows = [txn(rng.randint(1, 25), rng.randint(0, 5) * 86_400 + rng.randint(0, 3), amount=float(rng.randint(1, 99))) for _ in range(12)]
+        all_rows += rows
+        landing.land_raw(txns(spark, *rows), path)
+    want = {}
+    for r in sorted(all_rows, key=lambda r: (r[2], r[1], r[3])):
+        want.setdefault(r[0], (r[0], str(r[2].date()), r[3]))
+    assert landed(spark, path) == sorted(want.values())

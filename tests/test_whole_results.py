@@ -7,7 +7,7 @@ from beforehand.operators import encoding, evaluation, joins, quality
 from beforehand.operators.rolling import Rolling, rolling
 from beforehand.operators.skew import profile_keys
 from beforehand.plans import features
-from beforehand.sources import tables
+from beforehand.sources import landing, tables
 
 from .helpers import at, by_id, frame, plan_of, txn, txns
 
@@ -56,9 +56,9 @@ def test_a_late_row_adds_to_its_day(spark, tmp_path):
     path = str(tmp_path / "landing")
     first = txns(spark, *[txn(i, i * 3600) for i in range(50)])
     late = txns(spark, txn(99, 60), txn(3, 3 * 3600), txn(None, 120))
-    tables.land_raw(first, path)
+    landing.land_raw(first, path)
     for _ in range(2):
-        tables.land_raw(late, path)
+        landing.land_raw(late, path)
     back = tables.read_transactions(spark, path).collect()
     assert sorted(-1 if r.txn_id is None else r.txn_id for r in back) == [-1, *range(50), 99]
 
