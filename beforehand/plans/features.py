@@ -24,7 +24,7 @@ from ..operators.joins import lookup_join
 from ..operators.rolling import DAY, HOUR, MINUTE, WEEK, Rolling, rolling, since_last
 from ..operators.skew import KeyProfile, profile_keys, profile_many
 from ..sources.schemas import Timeline
-from ..sources.tables import prune_dates
+from ..sources.tables import kept, prune_dates
 
 ENCODED = ["merchant_id", "mcc"]
 RISK_CODES = {"high": 2, "med": 1}
@@ -102,23 +102,35 @@ def context(df: DataFrame, merchants: DataFrame, profile: KeyProfile | None = No
     ).drop("merchant_country", "merchant_risk_tier")
 
 
+def history_tally(txns: DataFrame, timeline: Timeline) -> DataFrame:
+    """Rows and known frauds per merchant and category of the history that encodings are made of."""
+    history = known_history(
+        txns, "txn_time", "is_fraud", "label_confirmed_at", timeline.hist_end, timeline.label_cutoff
+    )
+    return tally(history, ENCODED)
+
+
 def encodings(
     df: DataFrame,
     txns: DataFrame,
     timeline: Timeline,
     profiles: dict[str, KeyProfile],
     prior: float | None = None,
+    tallied: DataFrame | None = None,
+    bounds: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Fraud rate per merchant and per category, from history known at the label cutoff."""
-    history = known_history(
-        txns, "txn_time", "is_fraud", "label_confirmed_at", timeline.hist_end, timeline.label_cutoff
-    )
-    tallied = tally(history, ENCODED)
+    """Fraud rate per merchant and per category, from history known at the label cutoff.
+
+    ``tallied`` is the tally of that history, where it is at hand; ``bounds`` are upper bounds on its
+    keys, where the profiles don't cover it.
+    """
+    tallied = history_tally(txns, timeline) if tallied is None else tallied
     g = prior_rate(tallied) if prior is None else F.lit(float(prior))
     for key in ENCODED:
         # an encoding has at most one row per distinct key, which the profile counted
         known = profiles[key]
-        df = apply_encoding(df, target_encoding(tallied, key, prior=g), key, g, known.keys, known, ["txn_id"])
+        keys = bounds[key] if bounds else known.keys
+        df = apply_encoding(df, target_encoding(tallied, key, prior=g), key, g, keys, known, ["txn_id"])
     return df
 
 
@@ -150,6 +162,19 @@ def lead_in_days() -> int:
     return -(-max(frames) // DAY) + 1
 
 
+def last_rows(txns: DataFrame) -> DataFrame:
+    """A card's last transaction: all that the time since the last one looks at."""
+    last = F.max_by(
+        F.struct("txn_id", "txn_time", "txn_country"), F.struct(epoch_seconds("txn_time"), F.col("txn_id"))
+    )
+    return txns.groupBy("card_id").agg(last.alias("_t")).select("card_id", "_t.*")
+
+
+def _before(txns: DataFrame, end: str) -> DataFrame:
+    rows = txns.where(F.col("txn_time") < F.to_timestamp(F.lit(end)))
+    return rows.where(F.col("txn_date") <= F.lit(end).cast("date")) if "txn_date" in txns.columns else rows
+
+
 def feature_range(
     txns: DataFrame,
     merchants: DataFrame,
@@ -158,25 +183,40 @@ def feature_range(
     end: str,
     approximate: bool = False,
     prior: float | None = None,
+    state: str | None = None,
 ) -> DataFrame:
     """Features of the days [start, end) alone, equal to those of a full build.
 
     Only ``lead_in_days()`` of rows before the range are read whole. Of everything older,
-    one row per card, its last, is kept for the time since the last transaction.
+    one row per card, its last, is kept for the time since the last transaction. With a folder
+    ``state`` those rows are carried from range to range: a range that begins where an earlier one
+    ended reads its days and the lead-in only, and leaves the cards' last rows at its own end.
+    The tallies of the history, the same for all ranges of a timeline, are kept there too. The
+    first range, and one that begins where none ended, reads what is older. A range that is built again
+    hands on anew what it finds; ranges after it are to be built again too if their first rows changed.
     """
+    spark = txns.sparkSession
     lead = str(date.fromisoformat(start) - timedelta(days=lead_in_days()))
     near = prune_dates(txns, lead, end).where(in_range("txn_time", lead, end))
-    older = txns.where(F.col("txn_time") < F.to_timestamp(F.lit(lead)))
-    if "txn_date" in txns.columns:
-        older = older.where(F.col("txn_date") <= F.lit(lead).cast("date"))
-    # all that the time since the last transaction looks at; no frame reaches back to them
-    last = F.max_by(
-        F.struct("txn_id", "txn_time", "txn_country"), F.struct(epoch_seconds("txn_time"), F.col("txn_id"))
-    )
-    tails = older.groupBy("card_id").agg(last.alias("_t")).select("card_id", "_t.*")
-    profiles = profile_many(near, ["card_id", "merchant_id"], "txn_time")
+    if state is None:
+        tails, tallied = last_rows(_before(txns, lead)), history_tally(txns, timeline)
+        profiled = profile_many(txns, ENCODED)
+        bounds = {key: profiled[key].keys for key in ENCODED}
+    else:
+        name = f"{timeline.hist_end}-{timeline.label_cutoff}".translate(str.maketrans(": ", "__"))
+        tallied = kept(spark, f"{state}/tally-{name}", lambda: history_tally(txns, timeline))
+        tails = kept(spark, f"{state}/last-{start}", lambda: last_rows(_before(txns, start)))
+        seen = tallied.agg(*[F.count_distinct(key).alias(key) for key in ENCODED]).first()
+        bounds = {key: seen[key] + 1 for key in ENCODED}
+        own = near.where(in_range("txn_time", start, end)).select(*tails.columns)
+        last_rows(tails.unionByName(own)).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
+            f"{state}/last-{end}"
+        )
+        # those within the lead-in are read with it
+        tails = _before(tails, lead)
+    profiles = profile_many(near, ["card_id", *ENCODED], "txn_time")
     sellers = profiles["merchant_id"]
     df = card_history(near.unionByName(tails, allowMissingColumns=True), profiles["card_id"], approximate).where(in_range("txn_time", start, end))
     df = merchant_history(df, near, sellers, "approx" if approximate else "exact")
-    df = encodings(df, txns, timeline, profile_many(txns, ENCODED), prior)
+    df = encodings(df, txns, timeline, profiles, prior, tallied, bounds)
     return context(df, merchants, sellers)

@@ -10,7 +10,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import known_label
+from ..functions import in_range, known_label
 from ..operators import evaluation, joins, model, quality, reports
 from ..operators.skew import profile_keys
 from ..session import build_session, shared_dir
@@ -39,16 +39,19 @@ def build(
     end: str | None = None,
     snapshot_root: str | None = None,
     max_drift: float | None = None,
+    state: str | None = None,
 ) -> DataFrame:
     """Check the input, write the feature table by day, and return its class profile.
 
-    With ``start`` and ``end`` only those days are rebuilt and overwritten. With ``max_drift`` a whole
+    With ``start`` and ``end`` only those days are checked, rebuilt and overwritten: that their keys are on no other
+    day is what landing sees to. ``state`` is the folder that ``feature_range`` carries on. With ``max_drift`` a whole
     build fails before it writes if its rows differ by more than that share from the last snapshot's.
     """
     txns = tables.read_transactions(spark, f"{raw}/transactions")
     dim = tables.read_merchants(spark, merchants)
+    asked = tables.read_transactions(spark, f"{raw}/transactions", start, end) if start else txns
     quality.enforce(
-        quality.table_checks(txns, "txn_id", ["card_id", "txn_time", "merchant_id"]),
+        quality.table_checks(asked, "txn_id", ["card_id", "txn_time", "merchant_id"]),
         [("rows", "min", 1.0), ("duplicate_rows", "max", 0.0), ("null_rate_card_id", "max", 0.0),
          ("null_rate_txn_time", "max", 0.0), ("null_rate_merchant_id", "max", 0.0)],
     )
@@ -57,14 +60,15 @@ def build(
         if known.take(1):  # a feature row for each transaction
             quality.enforce(quality.row_drift(txns, known), [("row_drift", "max", max_drift)])
     if start:
-        df = feature_range(txns, dim, timeline, start, end)
+        df = feature_range(txns, dim, timeline, start, end, state=state)
     else:
         df = feature_table(txns, dim, timeline)
     tables.write_partitioned(df, out)
     written = tables.read_features(spark, out)
     if snapshot_root:
         snapshots.write_snapshot(written, snapshot_root, "BACKFILL" if start else "BUILD")
-    return reports.class_profile(written, "is_fraud", PROFILE_MEANS)
+    made = tables.prune_dates(written, start, end).where(in_range("txn_time", start, end)) if start else written
+    return reports.class_profile(made, "is_fraud", PROFILE_MEANS)
 
 
 def skew(spark: SparkSession, raw: str, merchants: str, partitions: int = 32) -> dict[str, DataFrame]:
@@ -186,6 +190,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--end")
     b.add_argument("--snapshots")
     b.add_argument("--max-drift", type=float)
+    b.add_argument("--state", help="folder for what a range build hands on to the next")
     t = sub.add_parser("train")
     t.add_argument("--features", required=True)
     t.add_argument("--out", required=True)
@@ -199,7 +204,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if a.job == "build":
         line = Timeline(hist_end=a.hist_end, label_cutoff=a.label_cutoff)
-        build(spark, a.raw, a.merchants, a.out, line, a.start, a.end, a.snapshots, a.max_drift).show()
+        build(spark, a.raw, a.merchants, a.out, line, a.start, a.end, a.snapshots, a.max_drift, a.state).show()
     elif a.job == "skew":
         found = skew(spark, a.raw, a.merchants)
         for name in ("top_keys", "by_key", "by_key_and_salt"):

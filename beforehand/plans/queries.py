@@ -21,7 +21,7 @@ TIMELINE = standin.TIMELINE
 HOT_CARD_ROWS = 60
 HOT_MERCHANT_ROWS = 100
 HOT_SLICE_ROWS = 40
-BACKFILL = [("2023-12-01", "2024-01-16"), ("2024-01-16", "2024-03-01")]
+BACKFILL = [("2023-12-01", "2024-01-12"), ("2024-01-12", "2024-01-22"), ("2024-01-22", "2024-03-01")]
 
 
 def _r(*names: str, digits: int = 4):
@@ -646,11 +646,12 @@ def silver_feature_table(spark, sf):
 
 
 def backfill_by_range(spark, sf):
-    """The feature table built range by range into one folder, then read back."""
-    path = shared_dir(spark, "backfill")
-    t, m = txns(spark, sf, country=True), standin.merchants(spark, sf)
+    """The feature table built range by range into one folder, each range from the state of the last, then read back."""
+    path, raw, state = (shared_dir(spark, label) for label in ("backfill", "landing", "state"))
+    tables.write_partitioned(txns(spark, sf, country=True), raw)
+    t, m = tables.read_transactions(spark, raw), standin.merchants(spark, sf)
     for start, end in BACKFILL:
-        tables.write_partitioned(plan.feature_range(t, m, TIMELINE, start, end), path)
+        tables.write_partitioned(plan.feature_range(t, m, TIMELINE, start, end, state=state), path)
     return _feature_columns(tables.read_features(spark, path))
 
 

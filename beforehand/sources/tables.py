@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +72,18 @@ def write_partitioned(df: DataFrame, path: str, by: str = "txn_date") -> None:
     )
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def kept(spark: SparkSession, path: str, made: Callable[[], DataFrame]) -> DataFrame:
+    """The rows below ``path``, made and written first where they are not there or not finished."""
+    if not exists(spark, f"{path}/_SUCCESS"):
+        made().write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cluster_write(df: DataFrame, path: str, by: list[str], partitions: int | None = None) -> None:
     """Write files ordered by ``by`` so footers let a point lookup skip most of them.
 
