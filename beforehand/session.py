@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +34,7 @@ CLUSTER_SETTINGS = {
 }
 
 _local_root: str | None = None
+_scopes: list[list[str]] = []
 
 
 def build_session(app: str = "beforehand", master: str | None = None, **extra) -> SparkSession:
@@ -67,7 +70,27 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         if _local_root is None:
             _local_root = tempfile.mkdtemp(prefix="beforehand-")
         root = _local_root
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark keeps it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders that ``shared_dir`` hands out inside are deleted at the end: write what is to stay elsewhere."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            discard(spark, path)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
