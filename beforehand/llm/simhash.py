@@ -10,6 +10,7 @@ checked in turn on each candidate, before the full distance.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from .common import saved
 from .components import components
 
@@ -24,6 +26,10 @@ SEED = 42
 BITS = 64
 BLOCK = 1 << 16
 BUCKET_LIMIT = 512
+# Row numbers hold the part above so many bits.
+PART_BITS = 33
+FOLDER = 64
+BROADCAST_ROWS = 4_000_000
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -166,16 +172,41 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, shingle: int = 3, k: int = 2) -> DataFrame:
+def one_of_each(docs: DataFrame, shingle: int = 3, k: int = 2, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``docs`` with one row of each group: that of the least doc_id, of equal ones any one.
 
-    Rows are numbered in a written table, so that just one stays whatever ids repeat or lack.
+    Rows are numbered in a written table, so that just one stays whatever ids repeat or lack. Texts do
+    not move to drop a few: the table lies in folders of consecutive parts, and each folder is read
+    against the numbers of its own dropped rows. Folders are read together as long as those
+    number at most ``broadcast_rows``, 16 bytes each; a folder alone holds FOLDER parts' rows.
     """
     whole = F.struct(*docs.columns).alias("_doc")  # as one column, so that no name can clash
-    rows = saved(docs.select(whole, F.monotonically_increasing_id().alias("_row")), "numbered")
+    number = F.monotonically_increasing_id()
+    rows = docs.select(whole, number.alias("_row"), F.floor(number / (FOLDER << PART_BITS)).cast("int").alias("_folder"))
+    path = shared_dir(docs.sparkSession, "numbered")
+    rows.write.partitionBy("_folder").parquet(path)
+    rows = docs.sparkSession.read.schema(rows.schema).parquet(path)
     prints = fingerprints(rows.select("_row", "_doc.text"), shingle, ("_row",)).withColumnRenamed("_row", "doc_id")
     grouped = groups(saved(prints, "simhash"), k).select(F.col("doc_id").alias("_row"), "component_id")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")
-    ids = rows.select("_row", "_doc.doc_id")
-    stay = saved(grouped.join(ids, "_row").groupBy("component_id").agg(first).select("first._row"), "stay")
-    return rows.join(stay, "_row", "left_semi").select("_doc.*")
+    ids = rows.select("_row", "_doc.doc_id", "_folder")
+    # the smallest of a group stays; groups of one need no comparison, so only rows of the others move
+    grouped = saved(grouped.join(ids, "_row"), "grouped")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
+    stay = grouped.groupBy("component_id").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1")
+    stay = saved(stay.select(F.col("component_id").alias("_group"), F.col("first._row").alias("_first")), "first")
+    gone = grouped.join(stay, F.col("component_id").eqNullSafe(F.col("_group"))).where("_row <> _first")
+    gone = saved(gone.select(F.col("_row").alias("_gone"), "_folder"), "dropped")
+    sizes = {r[0]: r[1] for r in gone.groupBy("_folder").count().collect()}
+    folders = sorted(r[0] for r in rows.select("_folder").distinct().collect())
+    runs, held = [], 0
+    for folder in folders:
+        n = sizes.get(folder, 0)
+        if not runs or held + n > broadcast_rows:
+            runs, held = [*runs, (folder, folder)], 0
+        runs[-1], held = (runs[-1][0], folder), held + n
+    kept = []
+    for low, high in runs:
+        here = F.col("_folder").between(low, high)
+        own = gone.where(here).select("_gone")
+        kept.append(rows.where(here).join(F.broadcast(own), F.col("_row") == F.col("_gone"), "left_anti").select("_doc.*"))
+    return reduce(DataFrame.unionByName, kept) if kept else rows.select("_doc.*")

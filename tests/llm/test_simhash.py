@@ -102,3 +102,15 @@ def test_components(spark, edges):
             for x in both:
                 want[x] = both
     assert got == {x: min(s) for x, s in want.items() if len(s) > 1}
+
+
+@pytest.mark.parametrize("limit", [0, 3, 10**6])
+def test_one_of_each_reads_folders_against_their_own_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "FOLDER", 2)
+    rows = corpus(140)
+    table = docs(spark, [*rows, rows[3], rows[3]], 9)
+    got = simhash.one_of_each(table, broadcast_rows=limit)
+    groups = brute_groups([brute_print(r[1]) for r in rows])
+    assert sorted(r.doc_id for r in got.collect()) == sorted(rows[g][0] for g in set(groups))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("LeftAnti") >= (4 if limit < 10 else 1)
