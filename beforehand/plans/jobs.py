@@ -110,6 +110,7 @@ def run_metrics(scored: DataFrame, score: str = "p", label: str = "is_fraud") ->
 def train(spark: SparkSession, features: str, out: str, timeline: Timeline, trees: int = 50) -> DataFrame:
     """Fit with honest and with oracle labels, check for leakage, tune the threshold.
 
+    Each model ends at its round of best average precision on the validation rows.
     Writes the metrics, the importances and the model below ``out`` and returns the metrics.
     """
     columns = ["txn_id", "txn_time", "txn_date", "is_fraud", "label_confirmed_at", *MODEL_INPUTS]
@@ -120,11 +121,11 @@ def train(spark: SparkSession, features: str, out: str, timeline: Timeline, tree
     def fitted(label: str):
         rows = f.where("split in ('train', 'valid')").withColumn("in_valid", F.col("split") == "valid")
         y = F.when(F.col("in_valid"), F.col("is_fraud")).otherwise(F.col(label))
-        return model.fit_gbt(rows.withColumn("y", y), MODEL_INPUTS, "y", valid="in_valid", trees=trees)
+        return model.fit_best_round(rows.withColumn("y", y), MODEL_INPUTS, "y", "in_valid", trees)
 
-    honest, oracle = fitted("y_honest"), fitted("is_fraud")
+    (honest, best), (oracle, _) = fitted("y_honest"), fitted("is_fraud")
     pool = evaluation.random_group_split(f, ["txn_id"]).withColumn("held_out", ~F.col("in_train"))
-    mixed = model.fit_gbt(pool, MODEL_INPUTS, "is_fraud", valid="held_out", trees=trees)
+    mixed, _ = model.fit_best_round(pool, MODEL_INPUTS, "is_fraud", "held_out", trees)
 
     def scored(run: str, fitted_model, rows: DataFrame) -> DataFrame:
         return model.score(fitted_model, rows, MODEL_INPUTS).select(
@@ -147,8 +148,10 @@ def train(spark: SparkSession, features: str, out: str, timeline: Timeline, tree
         f.where("split = 'train'"), "is_fraud", "label_confirmed_at", timeline.label_cutoff
     )
     maturity = maturity.select(*[F.col(c).cast("double").alias(c) for c in maturity.columns])
+    rounds = spark.createDataFrame([("A_honest", "A_best_iter", float(best))], "split string, metric string, value double")
     metrics = quality.concat(
         run_metrics(scores),
+        rounds,
         cost.unpivot([], cost.columns, "metric", "value").withColumn("split", F.lit("business_threshold")),
         maturity.unpivot([], maturity.columns, "metric", "value").withColumn("split", F.lit("label_maturity")),
     )

@@ -683,6 +683,16 @@ def gbt_scores(spark, sf):
     return scored.select("txn_id", "is_fraud", "p")
 
 
+def gbt_rounds(spark, sf):
+    """Average precision on the validation rows after each round, and whether the fit ends there."""
+    rows = _written_features(spark, sf).where("split in ('train', 'valid')").withColumn("in_valid", F.col("split") == "valid")
+    rows = rows.withColumn("y", F.when(F.col("in_valid"), F.col("is_fraud")).otherwise(F.col("y_honest")))
+    whole = model.fit_gbt(rows.where("NOT in_valid"), MODEL_INPUTS, "y", trees=10, columns=0.8)
+    found = model.rounds_by_average_precision(whole, rows.where("in_valid"), MODEL_INPUTS, "y")
+    best = found.agg(F.max_by("round", F.struct("pr_auc", -F.col("round"))).alias("best"))
+    return found.join(F.broadcast(best)).select("round", "pr_auc", (F.col("round") == F.col("best")).alias("is_best"))
+
+
 def importance_topk(spark, sf):
     f = _written_features(spark, sf)
     return model.importance(f, _fit(f, "y_honest"), MODEL_INPUTS, 10)
@@ -801,7 +811,7 @@ QUERIES = {
         recall_at_fpr_corners, leakage_gap_given_scores, cost_curve, cost_threshold, confusion_at_threshold,
         partitioned_roundtrip, pruned_range_scan, catalog_table_roundtrip, bucketed_table_windows, clustered_files,
         snapshot_asof_read, snapshot_history, row_count_drift, metrics_json_roundtrip, silver_feature_table, feature_table_approx,
-        gbt_scores, importance_topk, calibrated_scores, label_and_leakage_checks,
+        gbt_scores, gbt_rounds, importance_topk, calibrated_scores, label_and_leakage_checks,
         stream_hourly_counters, stream_rolling_counters, stream_dedup, stream_hourly_distinct, stream_rolling_rows,
         backfill_by_range,
     ]
