@@ -1,9 +1,9 @@
 """Packing by deficit round-robin: every window holds the sources in their target proportions.
 
-Each source is a queue of tokens, documents in the order of doc_id or of given columns. A window has ``length``
-tokens in grains of ``grain``. Window after window, a queue earns its share of the grains; what
-is not a whole grain is a deficit that it carries on. What a queue has had after w windows has
-a closed form: queues are the leaves of a binary tree, and of the first k grains of a branch
+Each source is a queue of tokens, documents in the order of doc_id, of given columns, or as they are stored. A
+window has ``length`` tokens, served in grains of ``grain``, one token by default. Window after window, a queue
+earns its share of the grains; what is not a whole grain is a deficit that it carries on. What a queue has had
+after w windows has a closed form: queues are the leaves of a binary tree, and of the first k grains of a branch
 floor(k * share) are its left side's. So any document's place follows from its place in its
 queue alone, and deficits cross windows, partitions and machines without any of them waiting
 for another.
@@ -16,6 +16,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from fractions import Fraction
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +29,21 @@ from pyspark.sql.window import Window
 from .common import saved
 
 LENGTH = 2048
-GRAIN = 128
+GRAIN = 1
 END_ID = 1
-CACHED = 400_000
 # Fixed value: how the vocabulary's own pre-tokenizer cuts a text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Every blank before a letter, digit or ASCII sign is one of its cuts.
-CHUNK = re.compile(r"(?= [\w!-~])")
+CUT = re.compile(r"(?= [\w!-~])")
 # Runs of white space on which that pattern would be out of stack, at a million characters; the
 # class is that of the pattern's \s, which lacks some of Python's.
 RUN = 100_000
 BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % RUN)
 
+# Characters encoded at once.
+JOINED = 1 << 20
+BLOCK = 20_000
+
 _encoders: dict[str, tuple] = {}
 
 
@@ -51,56 +55,76 @@ def _letters() -> dict[str, int]:
 
 
 def _encoder(path: str) -> tuple:
-    """The vocabulary of a byte-level BPE file, in tiktoken, and a cache of encoded chunks.
+    """The vocabulary of a byte-level BPE file in tiktoken and in tokenizers, its special strings and a pattern of them.
 
     The file's merges come in the order of their ids, which is all that tiktoken asks of a
     vocabulary; it gives the ids of ``tokenizers`` at several times the speed.
     """
     if path not in _encoders:
         import tiktoken
+        import tokenizers
 
         with open(path, encoding="utf-8") as f:
-            own = json.load(f)["model"]
+            whole = json.load(f)
+        own, added = whole["model"], whole.get("added_tokens") or []
         vocab, letters = own["vocab"], _letters()
         merged = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in own["merges"]]
         if merged != sorted(merged):
             raise ValueError("the merges of this vocabulary are not in the order of its ids")
-        ranks = {bytes(letters[c] for c in token): i for token, i in vocab.items()}
+        if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added):
+            raise ValueError("this vocabulary has special tokens that take in their surroundings")
+        special = {t["content"]: t["id"] for t in added}
+        ranks = {bytes(letters[c] for c in token): i for token, i in vocab.items() if token not in special}
         encoding = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        _encoders[path] = encoding, {}
+        longest = sorted(special, key=len, reverse=True)
+        found = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if special else None
+        _encoders[path] = encoding, tokenizers.Tokenizer.from_file(path), special, found
     return _encoders[path]
 
 
-def _ids(encoding, chunk: str) -> list[int]:
-    """A chunk's ids. A long run of white space is one piece of its own, all but its last character
-    if more text follows: what SPLIT makes of it, without its stack."""
-    ids, at = [], 0
-    for run in BLANKS.finditer(chunk) if len(chunk) >= RUN else ():
-        stop = run.end() - (run.end() < len(chunk))
-        ids += encoding.encode_ordinary(chunk[at : run.start()])
-        ids += encoding._encode_single_piece(chunk[run.start() : stop])
+def _parts(text: str) -> Iterator[str]:
+    """Parts of a text that the pre-tokenizer cuts too: some JOINED characters, and chunks with a long run of blanks alone."""
+    at = 0
+    while at < len(text):
+        later = CUT.search(text, at + JOINED)
+        stop = later.start() if later else len(text)
+        part = text[at:stop]
+        if len(part) >= RUN and BLANKS.search(part):
+            yield from ("".join(same) for _, same in groupby(CUT.split(part), lambda c: BLANKS.search(c) is not None))
+        else:
+            yield part
         at = stop
-    return ids + encoding.encode_ordinary(chunk[at:])
+
+
+def _ordinary(text: str, path: str) -> bytes:
+    encoding, slow = _encoder(path)[:2]
+
+    def ids(part: str) -> list[int]:
+        if len(part) >= RUN and BLANKS.search(part):
+            return slow.encode(part, add_special_tokens=False).ids
+        return encoding.encode_ordinary(part)
+
+    return b"".join([np.array(ids(part), "<u4").tobytes() for part in _parts(text)])
 
 
 def encode(text: str, path: str) -> np.ndarray:
-    """A text's ids and END_ID. Strings of special tokens are ordinary text.
+    """A text's ids, as ``tokenizers`` gives them without added tokens, and END_ID.
 
-    Chunks that came before are looked up; the cache is emptied when full, so memory is bounded.
+    A special string of the vocabulary that stands in the text is its id. Long texts are encoded
+    in parts, so memory follows their ids.
     """
-    encoding, cache = _encoder(path)
-    chunks = CHUNK.split(text)
-    for chunk in set(chunks).difference(cache):
-        cache[chunk] = np.array(_ids(encoding, chunk), "<u4").tobytes()
-    ids = b"".join([cache[c] for c in chunks])
-    if len(cache) > CACHED:
-        cache.clear()
+    special, found = _encoder(path)[2:]
+    if found and found.search(text):
+        parts = (special.get(p, p) for p in found.split(text))
+        ids = b"".join(p.to_bytes(4, "little") if isinstance(p, int) else _ordinary(p, path) for p in parts if p != "")
+    else:
+        ids = _ordinary(text, path)
     return np.append(np.frombuffer(ids, "<u4"), np.uint32(END_ID))
 
 
-def served(path: list, k: int) -> tuple[int, int]:
-    """Of the first ``k`` grains of a phase: the queue's own, and those of queues before it."""
-    earlier = 0
+def served(path: list, k):
+    """Of the first ``k`` grains (a number or an array) of a phase: the queue's own, and those of queues before it."""
+    earlier = k * 0
     for turn in path:
         left = k * turn["left"] // turn["total"]
         if turn["right"]:
@@ -110,32 +134,67 @@ def served(path: list, k: int) -> tuple[int, int]:
     return k, earlier
 
 
-def places(first: int, n: int, queue: dict, length: int = LENGTH, grain: int = GRAIN) -> Iterator[tuple[int, int, int, int]]:
-    """``(start, size, sequence, offset)`` of the pieces of the ``n`` tokens that begin at ``first`` in their queue.
+def stretches(first: int, last: int, queue: dict, length: int = LENGTH, grain: int = GRAIN) -> tuple[np.ndarray, np.ndarray]:
+    """Where the tokens ``first`` to ``last`` of a queue go: starts of stretches, in the queue and in the packed row.
 
     In a window the grains of a queue lie together, queues in their order. Tokens beyond the last
-    whole grain of a queue go to the end, one queue after another.
+    whole grain of a queue go to the end, one queue after another. No stretch crosses a sequence.
     """
-    per, at, end, whole = length // grain, first, first + n, queue["grains"]
-    while at < end:
-        j = at // grain
-        if j >= whole:
-            place, stop = queue["tail"] + at - whole * grain, end
-        else:
-            ph = next(p for p in queue["phases"] if p["first"] <= j < p["first"] + p["own"])
-            own, total, path, j = ph["own"], ph["total"], ph["path"], j - ph["first"]
+    per, whole, starts, places = length // grain, queue["grains"], [], []
+    for ph in queue["phases"]:
+        own, total, path = ph["own"], ph["total"], ph["path"]
+        low = max(first // grain, ph["first"]) - ph["first"]
+        high = min(-(-last // grain), ph["first"] + own, whole) - ph["first"]
+        if low >= high:
+            continue
+
+        def window(j: int) -> int:
             w = j * total // (own * per)
             while served(path, min(per * (w + 1), total))[0] <= j:
                 w += 1
             while w and served(path, per * w)[0] > j:
                 w -= 1
-            (low, before), (high, after) = served(path, per * w), served(path, min(per * (w + 1), total))
-            place = (ph["slot"] + per * w + after - before + j - low) * grain + at % grain
-            stop = min(end, (ph["first"] + high) * grain)
-        while at < stop:
-            size = min(stop - at, length - place % length)
-            yield at - first, size, place // length, place % length
-            at, place = at + size, place + size
+            return w
+
+        windows = range(window(low), window(high - 1) + 1)
+        if len(windows) > high - low:  # a queue that most windows get nothing of
+            windows = sorted({window(j) for j in range(low, high)})
+        exact = object if total.bit_length() * 2 > 62 else np.int64
+        k = np.array([per * w for w in windows], exact)
+        (mine, before), (later, after) = served(path, k), served(path, np.minimum(k + per, total))
+        begin, stop = np.maximum(mine, low), np.minimum(later, high)
+        place = (ph["slot"] + k + after - before + begin - mine) * grain
+        full = (stop > begin).astype(bool)
+        starts.append(((begin + ph["first"]) * grain)[full])
+        places.append(place[full])
+    if last > whole * grain:
+        starts.append(np.array([max(first, whole * grain)]))
+        places.append(starts[-1] - whole * grain + queue["tail"])
+    at, to = (np.concatenate(x).astype(np.int64) for x in (starts, places))
+    # the first may begin within a grain
+    at, to = np.concatenate(([first], at[1:])), np.concatenate(([to[0] + first - at[0]], to[1:]))
+    sizes = np.diff(at, append=last)
+    over = (to % length + sizes - 1) // length  # sequence borders inside a stretch
+    row = np.repeat(np.arange(len(at)), over + 1)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(over + 1) - over - 1, over + 1)
+    border = np.where(nth > 0, (to[row] // length + nth) * length, to[row])
+    return at[row] + border - to[row], border
+
+
+def cut(first: int, sizes: np.ndarray, queue: dict, length: int = LENGTH, grain: int = GRAIN) -> tuple[np.ndarray, ...]:
+    """``document, start, size, place`` of the pieces of documents that follow each other in a queue from ``first`` on."""
+    begins = first + np.cumsum(sizes) - sizes
+    last = int(begins[-1] + sizes[-1])
+    at, to = stretches(first, last, queue, length, grain)
+    starts = np.union1d(at, begins)
+    i, document = np.searchsorted(at, starts, "right") - 1, np.searchsorted(begins, starts, "right") - 1
+    return document, starts - begins[document], np.diff(starts, append=last), to[i] + starts - at[i]
+
+
+def places(first: int, n: int, queue: dict, length: int = LENGTH, grain: int = GRAIN) -> Iterator[tuple[int, int, int, int]]:
+    """``(start, size, sequence, offset)`` of the pieces of the ``n`` tokens that begin at ``first`` in their queue."""
+    for _, start, size, place in zip(*(x.tolist() for x in cut(first, np.array([n]), queue, length, grain))):
+        yield start, size, place // length, place % length
 
 
 def _paths(counts: list[int]) -> list[list[dict]]:
@@ -154,8 +213,10 @@ def _paths(counts: list[int]) -> list[list[dict]]:
 def plan(totals: list[tuple], weights: dict | None = None, grain: int = GRAIN) -> list[dict]:
     """How queues with these token totals are served.
 
-    Without weights, in one phase with the shares of the totals. With weights, in one phase until the first
-    queue is empty, one with the others until the next is, and so on; those of weight 0 come last.
+    Without weights, in one phase with the shares of the totals: a path of log2 turns a queue. With weights, in one
+    phase until the first queue is empty, one with the others until the next is, and so on; those of weight 0
+    come last. That is a phase for each weight, so the plan grows with their square: weights are for some
+    hundred sources, not for one a domain.
     """
     left = {q: n // grain for q, n in totals}
     out = {q: {"queue": q, "grains": left[q], "phases": []} for q in left}
@@ -209,47 +270,62 @@ def _shape(spec: str) -> pa.Schema:
     return pa.schema([(n, _ARROW[t]) for n, t in (c.split() for c in spec.split(", "))])
 
 
-def _tokenised(path: str):
+def _more(spec: str, carry: tuple[str, ...]) -> str:
+    return ", ".join([spec, *(f"{c} long" for c in carry)])
+
+
+def _tokenised(path: str, shape: pa.Schema):
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shape, part = _shape(STORED), TaskContext.get().partitionId()
-        last, start, rows, held = None, 0, [], 0
+        part, rows, held = TaskContext.get().partitionId(), [], 0
+        starts: dict[str | None, int] = {}
         for batch in batches:
-            for doc_id, queue, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if (queue,) != last:
-                    last, start = (queue,), 0
+            for doc_id, queue, text, *carried in zip(*(c.to_pylist() for c in batch.columns)):
                 ids = encode(text or "", path)
                 kept = ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else b"\0" + ids.tobytes()
-                rows.append(
-                    {"doc_id": doc_id, "queue": queue, "part": part, "start": start, "n": len(ids), "ids": kept}
-                )
-                start, held = start + len(ids), held + len(kept)
+                start = starts.get(queue, 0)
+                rows.append((doc_id, queue, part, start, len(ids), kept, *carried))
+                starts[queue], held = start + len(ids), held + len(kept)
                 if held > 4 << 20:
-                    yield pa.RecordBatch.from_pylist(rows, shape)
+                    yield _rows(rows, shape)
                     rows, held = [], 0
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, shape)
+            yield _rows(rows, shape)
 
     return tokens
 
 
-def _placed(length: int, grain: int, with_ids: bool):
+def _rows(rows: list[tuple], shape: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), shape)], schema=shape)
+
+
+def _placed(length: int, grain: int, with_ids: bool, shape: pa.Schema):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shape = _shape(PIECES)
-        names = shape.names
-        out: list[tuple] = []
         for batch in batches:
-            plan = batch.column(5).to_pylist()
-            rows = zip(*(batch.column(i).to_pylist() for i in range(5)), plan)
-            for doc_id, queue, start, n, kept, served in rows:
-                ids = np.frombuffer(kept, "<u2").astype("<u4") if len(kept) == 2 * n else np.frombuffer(kept[1:], "<u4")
-                for at, size, sequence, offset in places(start, n, served, length, grain):
-                    part = ids[at : at + size].tobytes()
-                    out.append((doc_id, queue, at, size, zlib.crc32(part), n, sequence, offset, part if with_ids else None))
-                if len(out) >= 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), shape)], names)
-                    out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), shape)], names)
+            doc_id, queue, start, n, kept = (batch.column(i).to_pylist() for i in range(5))
+            plans, carried = batch.column(5), batch.columns[6:]
+            # documents that follow each other in a queue are cut together, by one plan
+            ends = [i for i in range(1, len(n)) if queue[i] != queue[i - 1] or start[i] != start[i - 1] + n[i - 1]]
+            for low, high in zip([0, *ends], [*ends, len(n)]):
+                if low == high:
+                    continue
+                sizes = np.array(n[low:high], np.int64)
+                document, begin, size, place = cut(start[low], sizes, plans[low].as_py(), length, grain)
+                for at in range(0, len(size), BLOCK):
+                    own, b, s, to = (x[at : at + BLOCK] for x in (document, begin, size, place))
+                    parts, last, ids = [], -1, None
+                    for d, x, y in zip(own.tolist(), b.tolist(), s.tolist()):
+                        if d != last:
+                            raw, last = kept[low + d], d
+                            ids = np.frombuffer(raw, "<u2").astype("<u4") if len(raw) == 2 * n[low + d] else np.frombuffer(raw[1:], "<u4")
+                        parts.append(ids[x : x + y].tobytes())
+                    rows = pa.array(low + own)
+                    columns = [
+                        batch.column(0).take(rows), batch.column(1).take(rows), b, s, [zlib.crc32(p) for p in parts],
+                        sizes[own], to // length, to % length, parts if with_ids else [None] * len(parts),
+                        *(c.take(rows) for c in carried),
+                    ]
+                    arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, shape)]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=shape)
 
     return pieces
 
@@ -261,29 +337,40 @@ def pack(
     length: int = LENGTH,
     grain: int = GRAIN,
     with_ids: bool = False,
-    order: tuple[str, ...] = (),
+    order: tuple[str, ...] | None = (),
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The columns of ``PIECES``: each document's tokens, cut and placed in sequences of ``length``.
+    """The columns of ``PIECES``, and those named in ``carry`` (whole numbers): each document's tokens, cut and
+    placed in sequences of ``length``.
 
     ``path``: a byte-level BPE vocabulary in JSON, on every machine. Every window holds the sources in
-    proportion to ``weights``, or, without, to their tokens in the whole corpus; only the last
-    sequence is not full. Sources without a weight wait until the others are used up. A NULL
+    proportion to ``weights``, or, without, to their tokens in the whole corpus, to within some grains; only the
+    last sequence is not full. Sources without a weight wait until the others are used up. A NULL
     text is one END_ID, a NULL source a queue of its own; repeated rows are packed as often.
-    Queues are in the order of the columns ``order``, then of doc_id.
+    Queues are in the order of the columns ``order``, then of doc_id; with None as they are stored, which is
+    a shuffle's order where ``docs`` were shuffled.
 
     Texts move once, sorted in ranges of (source, order, doc_id), so a source that holds a third of all
-    rows fills as many tasks as it needs. Their ids are written with the running count of
-    their range; counts of ranges and queues, a few numbers each, complete it.
+    rows fills as many tasks as it needs; as stored they do not move. Their ids are written with the running
+    count of their source in their task; counts of tasks and queues, a few numbers each, complete it. A task holds
+    the ids of a batch of texts, so memory follows the longest text.
     """
     if length % grain:
         raise ValueError("the length must be a multiple of the grain")
-    row = F.monotonically_increasing_id()
-    given = [F.col(c).alias(f"_order{i}") for i, c in enumerate(order)]
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("queue"), "text", *given)
-    texts = texts.withColumn("_hash", F.xxhash64("text")).withColumn("_row", row)
-    by = ["queue", *[f"_order{i}" for i in range(len(order))], "doc_id", "_hash", "_row"]
-    texts = texts.repartitionByRange(*by).sortWithinPartitions(*by)
-    stored = saved(texts.select("doc_id", "queue", "text").mapInArrow(_tokenised(path), STORED), "tokens")
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("queue"),
+        F.col("text").cast("string").alias("text"),
+        *[F.col(c).cast("long").alias(f"_carry{i}") for i, c in enumerate(carry)],
+        *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order or ())],
+    )
+    carried = [f"_carry{i}" for i in range(len(carry))]
+    if order is not None:
+        texts = texts.withColumn("_hash", F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id())
+        by = ["queue", *[f"_order{i}" for i in range(len(order))], "doc_id", "_hash", "_row"]
+        texts = texts.repartitionByRange(*by).sortWithinPartitions(*by)
+    kept = _more(STORED, tuple(carried))
+    stored = saved(texts.select("doc_id", "queue", "text", *carried).mapInArrow(_tokenised(path, _shape(kept)), kept), "tokens")
     ranges = saved(stored.groupBy("queue", "part").agg(F.sum("n").alias("tokens")), "ranges")
     totals = ranges.groupBy("queue").agg(F.sum("tokens").alias("tokens"))
     # one narrow row a source
@@ -295,18 +382,24 @@ def pack(
     ranges = saved(ranges.select(F.col("queue").alias("_queue"), F.col("part").alias("_part"), "before", "plan"), "plan")
     same = stored["queue"].eqNullSafe(ranges["_queue"]) & (stored["part"] == ranges["_part"])
     rows = stored.join(ranges, same).select(
-        "doc_id", "queue", (F.col("before") + F.col("start")).alias("start"), "n", "ids", "plan"
+        "doc_id", "queue", (F.col("before") + F.col("start")).alias("start"), "n", "ids", "plan", *carried
     )
-    return rows.mapInArrow(_placed(length, grain, with_ids), PIECES)
+    shape = _more(PIECES, tuple(carried))
+    out = rows.mapInArrow(_placed(length, grain, with_ids, _shape(shape)), shape)
+    return out.withColumnsRenamed(dict(zip(carried, carry)))
+
 
+def sequences(pieces: DataFrame, length: int = LENGTH, pad_id: int = 0, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``sequence_id, n_tokens, pieces, ids`` from pieces that carry their ids.
 
-def sequences(pieces: DataFrame, length: int = LENGTH, pad_id: int = 0) -> DataFrame:
-    """``sequence_id, n_tokens, ids`` from pieces that carry their ids: ``length`` little-endian
-    32-bit ids, the last sequence padded. A group is one sequence: at most ``length`` pieces.
+    ``ids``: ``length`` little-endian 32-bit ids, the last sequence padded. ``pieces``: in their order, from which
+    document each comes (with the columns ``carry``), where it starts in it and in the sequence, and its
+    length. A group is one sequence: at most ``length`` pieces.
     """
-    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
+    fields = ["offset", "doc_id", "source", *carry, "start", "length"]
+    parts = F.array_sort(F.collect_list(F.struct(*fields, "ids")))
     rows = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n_tokens"), parts.alias("parts"))
-    hexed = F.array_join(F.transform("parts", lambda p: F.hex(p["ids"])), "")
-    pad = pad_id.to_bytes(4, "little").hex().upper()
-    full = F.concat(hexed, F.repeat(F.lit(pad), (F.lit(length) - F.col("n_tokens")).cast("int")))
-    return rows.select("sequence_id", "n_tokens", F.unhex(full).alias("ids"))
+    own = F.transform("parts", lambda p: F.struct(*[p[c].alias(c) for c in fields]))
+    pad = F.repeat(F.lit(pad_id.to_bytes(4, "little").hex()), (F.lit(length) - F.col("n_tokens")).cast("int"))
+    ids = F.aggregate("parts", F.lit(b""), lambda joined, p: F.concat(joined, p["ids"]))
+    return rows.select("sequence_id", "n_tokens", own.alias("pieces"), F.concat(ids, F.unhex(pad)).alias("ids"))
