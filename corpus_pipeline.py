@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from beforehand.llm import mixing, packing, quality, secrets, simhash
 from beforehand.llm.queries import vocabulary
-from beforehand.session import shared_dir
+from beforehand.session import discard, scratch, shared_dir
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +31,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences in which every window holds the sources as the whole corpus does, each source shuffled."""
-    return packing.pack(docs, vocabulary(), order=("shuffle_key", "doc_id", "copy")).drop("ids")
+    """Sequences of token ids in which every window holds the sources as the whole corpus does, each source as the
+    shuffle left it, and the pieces of documents and copies that each sequence is made of."""
+    pieces = packing.pack(docs, vocabulary(), order=None, with_ids=True, carry=("copy",))
+    return packing.sequences(pieces, carry=("copy",))
 
 
 STAGES = [
@@ -48,10 +50,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows. What a stage writes on its way goes when it is done, its rows when the next one is."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = shared_dir(spark, name.replace(" ", "-"))
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if last:
+            discard(spark, last)
+        docs, last = spark.read.schema(out.schema).parquet(path), path
     return docs
