@@ -42,7 +42,8 @@ changes AS (
         WHEN 1 THEN 'd:' || coalesce(nullif(regexp_extract(host, '([^.]+\\.[^.]+\\.[^.]+)$', 1), ''), host)
         ELSE 'p:' || host || '/' || first END AS key,
       epoch_us(ts) AS since, event_type IN ('click', 'error', 'purchase') AS active
-    FROM events JOIN parts ON event_id = page_id)
+    FROM events JOIN (SELECT *, row_number() OVER (ORDER BY page_id) - 1 AS number FROM parts) numbered
+      ON event_id % (SELECT count(*) FROM pages) = number)
   WHERE key IS NOT NULL GROUP BY 1, 2),
 hits AS (
   SELECT k.page_id, c.key, c.since, row_number() OVER (PARTITION BY k.page_id ORDER BY length(c.key) DESC, c.key DESC) AS n,

@@ -10,6 +10,7 @@ from . import (
     filter_audit, hilbert, merkle, mixing, packing, quality, secrets, simhash, spelling, token_counts, transcripts,
     url_lists, warc,
 )
+from .common import ranked
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -58,10 +59,11 @@ def captures(spark, sf):
 
 
 def list_changes(spark, sf):
-    """Dated entries: the event with a page's number lists or delists that page's host, domain or first path."""
-    pages = table(spark, sf, "pages").select("page_id", "url")
+    """Dated entries: every event lists or delists the host, domain or first path of a page, event after event
+    going round all pages in the order of their numbers."""
+    pages, n = ranked(table(spark, sf, "pages").select("page_id", "url"), ["page_id"], "page-numbers")
     events = table(spark, sf, "events").select("event_id", "ts", "event_type", "user_id")
-    rows = events.join(pages, events["event_id"] == pages["page_id"])
+    rows = events.join(pages, F.pmod(events["event_id"], F.lit(max(n, 1))) == pages["rank"])
     host, first = url_lists.host_of("url"), F.regexp_extract(F.regexp_extract("url", url_lists.PATH, 1), "^/([^/]+)", 1)
     parent = F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)
     kind = F.pmod("user_id", F.lit(3))
