@@ -24,7 +24,8 @@ from .common import saved
 # what ends a branch of each kind
 SECTION = re.compile(r"\n[^\S\n]*\n\s*")
 PARAGRAPH = re.compile(r"\n")
-SENTENCE = re.compile(r"[.!?]+\s+")
+# not tried again from within a run, so that a run of any length is passed once
+SENTENCE = re.compile(r"(?<![.!?])[.!?]+\s+")
 WORD = re.compile(r"\s*\S+\s*|\s+")
 
 
@@ -202,12 +203,17 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def next_edits(docs: DataFrame) -> DataFrame:
     """Every text's tree against its edited text's and the next document's (see ``ROW``).
 
-    The order is doc_id, then text, NULL first; after the last row comes the first. NULL is an
-    empty text. One range shuffle brings neighbours together; a range's last row meets the
-    first of the next range in a join of two rows a range.
+    The order is doc_id, NULL first, then a hash of the text; after the last row comes the first. NULL is an
+    empty text. One range shuffle brings neighbours together, and rows without or with the same
+    doc_id fill as many ranges as they need; a range's last row meets the
+    first of the next range in a join of two rows a range. A tree has a node a sentence: memory of
+    a task follows its longest text and that text's sentences, a few times its size.
     """
-    ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id")
-    walked = saved(ordered.sortWithinPartitions("doc_id", "text").mapInArrow(_walk, _WALK), "walk")
+    by = ["doc_id", "_hash", "_number"]
+    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    ordered = ordered.withColumns({"_hash": F.xxhash64("text"), "_number": F.monotonically_increasing_id()})
+    ordered = ordered.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
+    walked = saved(ordered.mapInArrow(_walk, _WALK), "walk")
     names = [c.split()[0] for c in ROW.split(", ")]
     first = walked.where("kind = 'first'").select(F.col("part").alias("next"), F.col("text").alias("next_text"))
     last = walked.where("kind = 'last'").select("part", "doc_id", "text")

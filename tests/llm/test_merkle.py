@@ -1,5 +1,10 @@
 import hashlib
 import random
+import time
+
+import numpy as np
+import xxhash
+from pyspark.sql import functions as F
 
 from beforehand.llm import merkle, queries
 
@@ -34,7 +39,9 @@ def test_one_row_and_none(spark):
 def test_ties_and_repeated_rows(spark):
     rows = [(1, "b b b b", "en", "s", 1), (1, "a a a a", "en", "s", 1), (None, "c c", "en", "s", 1), (1, "a a a a", "en", "s", 1)]
     got = sorted((r.doc_id or 0, r.edited_sha256, r.near_next) for r in merkle.next_edits(docs(spark, rows)).collect())
-    order = ["c c", "a a a a", "a a a a", "b b b b"]
+    # of equal ids by a hash of the text, as a signed number
+    hashed = lambda t: np.int64(np.uint64(xxhash.xxh64_intdigest(t, seed=42)))
+    order = ["c c", *sorted(["a a a a", "a a a a", "b b b b"], key=hashed)]
     want = []
     for i, t in enumerate(order):
         n = order[(i + 1) % 4]
@@ -73,3 +80,37 @@ def test_likeness_follows_the_shared_part():
         assert 0.4 < near < 0.75 and merkle.compare(merkle.tree(t), merkle.tree(n))[0] < 0.2
     assert merkle.compare(merkle.tree(""), merkle.tree("x")) == (0.0, [])
     assert merkle.compare(merkle.tree("x"), merkle.tree("")) == (0.0, [(0, 1)])
+
+
+def test_long_runs_of_stops_take_no_longer(spark):
+    dots = "." * 1_000_000
+    began = time.time()
+    for t in (dots, "a" + dots + " b", "?!" * 500_000 + "\n" + dots):
+        own = merkle.tree(t)
+        assert own.end == len(t) and merkle.compare(own, own)[0] == 1
+    assert time.time() - began < 20
+    cuts = [n.below[0] for n in merkle.tree("One... Two?! Three. \nx.y. .. z").below[0].below[0].below]
+    assert cuts == ["One... ", "Two?! ", "Three. \n"] or "".join(cuts) == "One... Two?! Three. \n"
+
+
+def test_rows_without_id_fill_all_ranges(spark, monkeypatch):
+    rows = spark.range(4_000).select(
+        F.when(F.col("id") % 20 == 0, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 700).alias("text")
+    )
+    sizes = {}
+    real = merkle.saved
+
+    def counted(df, label):
+        out = real(df, label)
+        if label == "walk":
+            sizes.update(out.where("kind in ('row', 'first')").groupBy(F.input_file_name()).count().collect())
+        return out
+
+    monkeypatch.setattr(merkle, "saved", counted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = merkle.next_edits(rows)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got.count() == 4_000
+    assert len(sizes) >= 6 and max(sizes.values()) < 1_000
