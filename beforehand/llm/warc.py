@@ -280,9 +280,10 @@ def _reader(folder: str):
 def read_records(spark: SparkSession, folder: str, run_bytes: int = RUN_BYTES) -> DataFrame:
     """All records below ``folder``, by their sidecar index.
 
-    Archives are cut into runs of ``run_bytes``, so that one large archive is read by many tasks.
+    Archives are cut into runs of ``run_bytes``, so that one large archive is read by many tasks. Index rows
+    are narrow, so tasks are counted by the bytes that they stand for.
     """
-    index = read_index(spark, folder)
-    run = F.floor(F.col("offset") / run_bytes)
-    runs = index.select("archive", "offset", "length").repartition("archive", run)
+    index = saved(read_index(spark, folder).select("archive", "offset", "length"), "warc-index")
+    tasks = -(-(index.agg(F.sum("length")).first()[0] or 0) // run_bytes) + 1
+    runs = index.repartition(tasks, "archive", F.floor(F.col("offset") / run_bytes))
     return runs.sortWithinPartitions("archive", "offset").mapInArrow(_reader(folder), RECORDS)

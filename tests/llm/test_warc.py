@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from beforehand.llm import queries, warc
 from beforehand.session import shared_dir
@@ -105,3 +106,14 @@ def test_foreign_archives(spark, tmp_path):
     warc.normalise(spark, str(tmp_path / "in"), out)
     got = warc.read_records(spark, out, run_bytes=100).collect()
     assert len(got) == 12 and {(r.record_type, bytes(r.payload)) for r in got} == {("resource", b"\r\n\r\n")}
+
+
+def test_reading_back_takes_as_many_tasks_as_the_bytes_ask(spark, tmp_path):
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.repeat(F.sha2(F.col("id").cast("string"), 512), 40).alias("html"), F.lit("http://a.b/c").alias("url"))
+    mono, out = str(tmp_path / "mono"), str(tmp_path / "out")
+    warc.write_monolithic(warc.revisits(pages), mono)
+    warc.normalise(spark, mono, out)
+    total = warc.read_index(spark, out).agg(F.sum("length")).first()[0]
+    read = warc.read_records(spark, out, run_bytes=total // 20)
+    assert read.rdd.getNumPartitions() >= 20
+    assert read.count() == 300
