@@ -60,14 +60,14 @@ RULES = BASE + MORE
 def postings(docs: DataFrame, grams: list[str]) -> DataFrame:
     """The inverted index over ``grams``: ``gram`` (its number)``, doc_id``, one row a list entry.
 
-    Written sorted by gram, so a lookup reads only the files of its lists; a list that names
-    a third of all texts spans many files. Case is ignored.
+    Written where it is made, by the task that read the text: texts are searched for grams once, and a list
+    that names a third of all texts spans many files. Case is ignored.
     """
     low = docs.where("doc_id is not null").select("doc_id", F.lower("text").alias("low"))
     numbered = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(g).alias("g")) for i, g in enumerate(grams)])
     held = F.filter(numbered, lambda x: F.contains(F.col("low"), x["g"]))
     rows = low.select("doc_id", F.explode(held).alias("x")).select(F.col("x.i").alias("gram"), "doc_id")
-    return saved(rows.repartitionByRange("gram", "doc_id").sortWithinPartitions("gram", "doc_id"), "postings")
+    return saved(rows, "postings")
 
 
 def candidates(index: DataFrame, grams: list[str], queries: dict[str, Query]) -> DataFrame:
