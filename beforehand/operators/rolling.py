@@ -45,7 +45,9 @@ def rolling(
 
     Empty frames give 0 for counts and sums and NULL for means. Routes: ``window`` uses
     Spark's range frames, ``sweep`` a linear running-sum form, ``auto`` the window for
-    keys of ordinary size and the sweep for keys too heavy for one task.
+    keys of ordinary size and the sweep for keys too heavy for one task. Approximate distinct counts
+    are Spark's estimates on the ``window`` route alone; ``auto`` sweeps all rows for them, so their error is
+    zero whatever the keys' sizes.
 
     At ``second`` grain a frame is [t - seconds, t - 1] in whole seconds, so rows of the
     same second never see each other; at ``micro`` grain it ends one microsecond before
@@ -62,8 +64,8 @@ def rolling(
             micros = F.col(at) * (1_000_000 // tick)
             profile = profile_keys(df.withColumn("_time", F.timestamp_micros(micros)), key, "_time")
         estimated = any(s.agg == "approx_distinct" for s in specs)
-        # the sweep counts exactly: estimates of light keys must not stand beside counts of heavy ones
-        if profile.truncated or profile.heavy and estimated:
+        # the sweep counts exactly, so a key's value does not depend on what other keys there are
+        if profile.truncated or estimated:
             route = "sweep"
         elif profile.heavy:
             light, heavy = profile.split(df)

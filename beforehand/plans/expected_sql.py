@@ -369,6 +369,14 @@ SQL["stream_rolling_rows"] = """SELECT event_id, user_id, count(*) OVER h AS cnt
  WINDOW h AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 3600 PRECEDING AND 1 PRECEDING),
   d AS (PARTITION BY user_id ORDER BY t RANGE BETWEEN 86400 PRECEDING AND 1 PRECEDING)"""
 
+SQL["drift_from_sketches"] = q(SPLIT, """
+e AS (SELECT len(list_distinct(quantile_disc(amount, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]))) + 1 AS bins
+      FROM s WHERE split = 'train')""", """SELECT 'amount' AS "column", max(bins) AS bins, count(*) FILTER (split = 'train') AS n_ref,
+ count(*) FILTER (split = 'test') AS n_act, true AS ref_within, true AS act_within
+ FROM s, e WHERE amount IS NOT NULL""")
+
+SQL["card_distinct_approx"] = SQL["card_distinct_exact"]
+
 SQL["backfill_by_range"] = SQL["feature_table_full"]
 SQL["silver_feature_table"] = SQL["feature_table_full"]
 SQL["stream_rolling_counters"] = """SELECT user_id, hr_ts, count(*) AS n

@@ -62,7 +62,8 @@ def card_history(
         return rolling(seen, "card_id", "_ts", card_specs(approximate), route, profile)
 
     rows = txns.withColumn("_ts", epoch_seconds("txn_time"))
-    if route == "auto" and not profile.truncated:
+    # approximate counts have one meaning for all cards, so all take one route
+    if route == "auto" and not profile.truncated and not approximate:
         light, heavy = profile.split(rows)
         df = windows(light, "window")
         if heavy is not None:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import in_range, known_label
-from ..operators import evaluation, joins, model, quality, reports
+from ..operators import drift, evaluation, joins, model, quality, reports
 from ..operators.skew import profile_keys
 from ..session import build_session, shared_dir
 from ..sources import snapshots, tables
@@ -40,11 +40,13 @@ def build(
     snapshot_root: str | None = None,
     max_drift: float | None = None,
     state: str | None = None,
+    sketches: str | None = None,
 ) -> DataFrame:
     """Check the input, write the feature table by day, and return its class profile.
 
     With ``start`` and ``end`` only those days are checked, rebuilt and overwritten: that their keys are on no other
-    day is what landing sees to. ``state`` is the folder that ``feature_range`` carries on. With ``max_drift`` a whole
+    day is what landing sees to. ``state`` is the folder that ``feature_range`` carries on; ``sketches`` one
+    that gets a sketch of every input a day, for ``stored_drift``. With ``max_drift`` a whole
     build fails before it writes if its rows differ by more than that share from the last snapshot's.
     """
     txns = tables.read_transactions(spark, f"{raw}/transactions")
@@ -65,9 +67,11 @@ def build(
         df = feature_table(txns, dim, timeline)
     tables.write_partitioned(df, out)
     written = tables.read_features(spark, out)
+    made = tables.prune_dates(written, start, end).where(in_range("txn_time", start, end)) if start else written
+    if sketches:
+        tables.write_partitioned(drift.daily_sketches(made, MODEL_INPUTS), sketches)
     if snapshot_root:
         snapshots.write_snapshot(written, snapshot_root, "BACKFILL" if start else "BUILD")
-    made = tables.prune_dates(written, start, end).where(in_range("txn_time", start, end)) if start else written
     return reports.class_profile(made, "is_fraud", PROFILE_MEANS)
 
 
@@ -193,6 +197,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--end")
     b.add_argument("--snapshots")
     b.add_argument("--max-drift", type=float)
+    b.add_argument("--sketches", help="folder for daily sketches of the model's inputs")
     b.add_argument("--state", help="folder for what a range build hands on to the next")
     t = sub.add_parser("train")
     t.add_argument("--features", required=True)
@@ -207,7 +212,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session()
     if a.job == "build":
         line = Timeline(hist_end=a.hist_end, label_cutoff=a.label_cutoff)
-        build(spark, a.raw, a.merchants, a.out, line, a.start, a.end, a.snapshots, a.max_drift, a.state).show()
+        build(spark, a.raw, a.merchants, a.out, line, a.start, a.end, a.snapshots, a.max_drift, a.state, a.sketches).show()
     elif a.job == "skew":
         found = skew(spark, a.raw, a.merchants)
         for name in ("top_keys", "by_key", "by_key_and_salt"):

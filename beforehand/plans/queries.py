@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import ratio_to_baseline, share_with_current
-from ..operators import buckets, encoding, evaluation, joins, model, quality, reports
+from ..operators import buckets, drift, encoding, evaluation, joins, model, quality, reports
 from ..operators.rolling import DAY, HOUR, MINUTE, WEEK, Rolling, rolling, since_last, since_last_flagged
 from ..operators.skew import profile_keys, profile_many
 from ..session import shared_dir
@@ -417,6 +417,29 @@ def class_profile(spark, sf):
     )
 
 
+def drift_from_sketches(spark, sf):
+    """Amounts of the train days against the test days, from a sketch a day: whether the stability index and every
+    bin's share stay within the stated error of those from all rows."""
+    start, end = (TIMELINE.train, TIMELINE.test)
+    path = shared_dir(spark, "sketches")
+    tables.write_partitioned(drift.daily_sketches(txns(spark, sf), ["amount"]), path)
+    stored = drift.stored_drift(spark.read.parquet(path), start, end)
+    exact = psi_drift(spark, sf).select("bin", F.col("n_ref").alias("ref"), F.col("n_act").alias("act"))
+    total = [F.sum(c).over(Window.partitionBy(F.lit(0))) for c in ("ref", "act")]  # ten rows
+    exact = exact.withColumns({"ref_share": F.col("ref") / total[0], "act_share": F.col("act") / total[1]})
+    off = lambda c: F.abs(F.col(f"n_{c}") / F.col(f"_{c}") - F.col(f"{c}_share"))
+    sums = stored.agg(F.sum("n_ref").alias("_ref"), F.sum("n_act").alias("_act"))
+    both = stored.join(exact, "bin", "full").crossJoin(F.broadcast(sums))
+    bound = 4 * drift.RANK_ERROR
+    return both.groupBy("column").agg(
+        F.count("bin").alias("bins"),
+        F.sum("ref").alias("n_ref"),
+        F.sum("act").alias("n_act"),
+        (F.max(off("ref")) <= bound).alias("ref_within"),
+        (F.max(off("act")) <= bound).alias("act_within"),
+    )
+
+
 def psi_drift(spark, sf):
     s = _splits(spark, sf)
     d = reports.column_drift(s.where("split = 'train'"), s.where("split = 'test'"), "amount")
@@ -807,7 +830,7 @@ QUERIES = {
         join_lookup_left, asof_lookup, asof_lookup_hot_split, key_skew_report, key_skew_topk,
         ranked_share_report, key_attribute_lookup, input_partitions, partition_skew, dedup_transactions, quality_checks, quality_gate, dataset_profile,
         label_maturity, temporal_split_counts, dedup_missing_keys, land_late_rows, union_splits, class_weight, honest_labels,
-        class_profile, psi_drift, average_precision, roc_auc, metrics_by_split, recall_at_fpr,
+        class_profile, psi_drift, drift_from_sketches, average_precision, roc_auc, metrics_by_split, recall_at_fpr,
         recall_at_fpr_corners, leakage_gap_given_scores, cost_curve, cost_threshold, confusion_at_threshold,
         partitioned_roundtrip, pruned_range_scan, catalog_table_roundtrip, bucketed_table_windows, clustered_files,
         snapshot_asof_read, snapshot_history, row_count_drift, metrics_json_roundtrip, silver_feature_table, feature_table_approx,
