@@ -249,7 +249,7 @@ def since_last(
     micros = F.col(at) * 1_000_000 if profile and profile.heavy else None
     out = previous_row(df, key, [at, tie], [at, *changed], profile, micros, **extra)
     flags = {
-        flag: F.when(F.col(f"_prev.{c}").isNull(), 0).when(F.col(f"_prev.{c}") != F.col(c), 1).otherwise(0)
+        flag: F.coalesce((F.col(f"_prev.{c}") != F.col(c)).cast("int"), F.lit(0))
         for c, flag in changed.items()
     }
     gap = F.coalesce(F.col(at) - F.col(f"_prev.{at}"), F.lit(-1).cast("long"))

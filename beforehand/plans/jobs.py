@@ -20,6 +20,7 @@ from .features import feature_range, feature_table
 
 PR_AUC_FLOOR = 0.60
 GAP_ALARM = 0.05
+# What the class profile reports: its name, the input and its digits.
 PROFILE_MEANS = {
     "cnt_1h": ("card_cnt_1h", 2),
     "secs_since_last": ("secs_since_last", 0),
@@ -99,6 +100,7 @@ def run_metrics(scored: DataFrame, score: str = "p", label: str = "is_fraud") ->
     curve = evaluation.score_curve(scored, score, label, by)
     ranking = evaluation.ranking_metrics(curve, by)
     recall = evaluation.recall_at_fpr(curve, by=by, corners_only=True)
+    # fixed values: names of the metrics file
     names = {
         "recall_1pct": "recall@1%FPR", "recall_0_1pct": "recall@0.1%FPR",
         "threshold_1pct": "threshold@1%FPR", "threshold_0_1pct": "threshold@0.1%FPR", "n_pos": "n_fraud",
@@ -182,7 +184,6 @@ def gate(metrics: DataFrame, floor: float = PR_AUC_FLOOR, max_gap: float = GAP_A
 
 
 def main(argv: list[str] | None = None) -> None:
-    base = Timeline()
     p = argparse.ArgumentParser(prog="beforehand")
     sub = p.add_subparsers(dest="job", required=True)
     for name in ("build", "skew"):
@@ -191,8 +192,8 @@ def main(argv: list[str] | None = None) -> None:
         s.add_argument("--merchants", required=True)
     b = sub.choices["build"]
     b.add_argument("--out", required=True)
-    b.add_argument("--hist-end", default=base.hist_end)
-    b.add_argument("--label-cutoff", default=base.label_cutoff)
+    b.add_argument("--hist-end", required=True)
+    b.add_argument("--label-cutoff", help="the end of the history unless given")
     b.add_argument("--start")
     b.add_argument("--end")
     b.add_argument("--snapshots")
@@ -202,9 +203,9 @@ def main(argv: list[str] | None = None) -> None:
     t = sub.add_parser("train")
     t.add_argument("--features", required=True)
     t.add_argument("--out", required=True)
-    t.add_argument("--label-cutoff", default=base.label_cutoff)
+    t.add_argument("--label-cutoff", required=True)
     for name in ("train", "valid", "test"):
-        t.add_argument(f"--{name}", nargs=2, default=list(getattr(base, name)), metavar=("FROM", "TO"))
+        t.add_argument(f"--{name}", nargs=2, required=True, metavar=("FROM", "TO"))
     g = sub.add_parser("gate")
     g.add_argument("--metrics", required=True)
     g.add_argument("--floor", type=float, default=PR_AUC_FLOOR)

@@ -43,17 +43,22 @@ MODEL_INPUTS = [
 
 @dataclass(frozen=True)
 class Timeline:
-    """The dates that drive a build. All ranges are half-open."""
+    """The dates that drive a build. All ranges are half-open; labels count up to ``hist_end`` unless a cutoff is given."""
 
-    hist_end: str = "2026-02-01"
-    label_cutoff: str = "2026-03-21"
-    train: tuple[str, str] = ("2026-02-01", "2026-02-25")
-    valid: tuple[str, str] = ("2026-02-25", "2026-03-05")
-    test: tuple[str, str] = ("2026-03-21", "2026-04-01")
+    hist_end: str | None = None
+    label_cutoff: str | None = None
+    train: tuple[str, str] | None = None
+    valid: tuple[str, str] | None = None
+    test: tuple[str, str] | None = None
+
+    def __post_init__(self):
+        if self.label_cutoff is None:
+            object.__setattr__(self, "label_cutoff", self.hist_end)
 
     @property
     def ranges(self) -> dict[str, tuple[str, str]]:
-        return {"train": self.train, "valid": self.valid, "test": self.test}
+        given = {"train": self.train, "valid": self.valid, "test": self.test}
+        return {name: days for name, days in given.items() if days}
 
 
 class SchemaError(ValueError):
