@@ -1,6 +1,7 @@
 """Row-grain rolling state, exact distinct counters and the closing of a stream."""
 
 import random
+from datetime import timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,3 +113,61 @@ def test_a_closed_stream_takes_no_more(spark, tmp_path):
     write_batches(spark, path, [txn(99, 5_000)])
     counters.run_available(df, str(tmp_path / "o"), str(tmp_path / "c"))
     assert [r.n for r in spark.read.parquet(str(tmp_path / "o")).collect()] == [10]
+
+
+def test_a_bucket_is_kept_once_for_all_its_windows(spark, tmp_path):
+    """State of a window's rows used to be one entry a window: 24 for each of these rows."""
+    path = str(tmp_path / "in")
+    write_batches(spark, path, [txn(i, i * 3_600 + 5, merchant=None if i % 3 == 0 else f"m{i}") for i in range(40)])
+    files = counters.file_stream(spark, spark.read.parquet(path), path)
+    made = counters.rolling_stream(files, "merchant_id", "txn_time", DAY)
+    query = counters.run_available(made, str(tmp_path / "o"), str(tmp_path / "c"))
+    assert max(s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]) <= 4 * 40
+
+
+@pytest.mark.parametrize("batches", [1, 5])
+def test_rolling_windows_equal_counts_of_rows(spark, tmp_path, monkeypatch, batches):
+    """All windows whose end the watermark has passed, once each, NULL keys and unordered rows included."""
+    path, n = str(tmp_path / "in"), 150
+    rows = [txn(i, (i * 700) - (i * 7919) % 3_000, merchant=[None, "a", "b"][i % 7 % 3]) for i in range(n)]
+    write_batches(spark, path, *(rows[i : i + n // batches] for i in range(0, n, n // batches)))
+    files = counters.file_stream(spark, spark.read.parquet(path), path, files_per_batch=1)
+    monkeypatch.setattr(counters, "WINDOWS", 50)
+    made = counters.rolling_stream(files, "merchant_id", "txn_time", DAY)
+    counters.run_available(made, str(tmp_path / "o"), str(tmp_path / "c"))
+    got = sorted((str(r.merchant_id), r.hr_ts, r.n) for r in spark.read.parquet(str(tmp_path / "o")).collect())
+    base = int(rows[0][2].replace(tzinfo=timezone.utc).timestamp())
+    when = [(str(r[4]), int(r[2].replace(tzinfo=timezone.utc).timestamp())) for r in rows]
+    last = (max(t for _, t in when) - HOUR) // HOUR * HOUR
+    ends = range((base // HOUR - 2) * HOUR, last + 1, HOUR)
+    want = [(k, e, sum(1 for m, t in when if m == k and e - DAY <= t < e)) for k in ("None", "a", "b") for e in ends]
+    assert got == sorted(w for w in want if w[2])
+
+
+def test_a_late_row_counts_in_the_windows_that_are_open(spark, tmp_path):
+    path = str(tmp_path / "in")
+    write_batches(spark, path, [txn(1, 10 * HOUR)], [txn(2, 20 * HOUR)], [txn(3, 2 * HOUR + 1)], [txn(4, 60 * HOUR)])
+    files = counters.file_stream(spark, spark.read.parquet(path), path, files_per_batch=1)
+    made = counters.rolling_stream(files, "merchant_id", "txn_time", DAY)
+    counters.run_available(made, str(tmp_path / "o"), str(tmp_path / "c"))
+    base = int(txn(0, 0)[2].replace(tzinfo=timezone.utc).timestamp())
+    got = {(r.hr_ts - base) // HOUR: r.n for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    # row 3 came when the watermark was about to pass 19 h, and windows up to 9 h were out
+    assert min(got) == 10 and (got[10], got[11], got[20], got[21], got[26], got[27], got[35]) == (1, 2, 2, 3, 3, 2, 1)
+
+
+def test_rows_of_many_keys_share_a_group(spark, tmp_path):
+    """Two groups of 60 keys: values beyond a double and doubles that are no numbers pass unchanged."""
+    path = str(tmp_path / "in")
+    big = 2**53 + 1
+    rows = [txn(big + i, 30 * i, card=f"c{i % 60}", merchant=None if i % 2 else "m", declined=None if i % 5 == 0 else big) for i in range(300)]
+    rows = [(*r[:5], None if i % 3 == 0 else big, *r[6:]) for i, r in enumerate(rows)]
+    write_batches(spark, path, rows[:150], rows[150:])
+    specs = [Rolling("n", "count", HOUR), Rolling("total", "sum", DAY, "declined"), Rolling("mean", "mean", DAY, "amount")]
+    keep = ["txn_id", "mcc", "merchant_id", "txn_time", "score"]
+    with_score = lambda d: d.withColumn("score", F.when(F.col("txn_id") % 2 == 0, F.lit("NaN").cast("double")))
+    got, query = drained(spark, tmp_path, path, lambda s: rolling_rows(with_score(s), "card_id", "txn_time", specs, keep))
+    names = [*keep, "card_id", "n", "total", "mean"]
+    want = rolling(with_score(spark.read.parquet(path)), "card_id", "txn_time", specs, route="window")
+    same = lambda d: sorted(map(str, d.select(*names).collect()))
+    assert same(got) == same(want)
