@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import epoch_micros, epoch_seconds
-from .skew import SLICE_ROWS, KeyProfile, addend, next_instant, null_safe_join, previous_row, profile_keys, running_totals
+from .skew import SLICE_ROWS, KeyProfile, addend, next_instant, null_safe_join, previous_row, profile_keys, running_totals, spread
 
 MINUTE, HOUR, DAY = 60, 3600, 86_400
 WEEK = 7 * DAY
@@ -69,7 +69,7 @@ def rolling(
             route = "sweep"
         elif profile.heavy:
             light, heavy = profile.split(df)
-            both = _by_window(light, key, at, specs, tick).unionByName(
+            both = _by_window(spread(light, profile.rows, key), key, at, specs, tick).unionByName(
                 _by_sweep(heavy, key, at, specs, tick, profile)
             )
             return both.drop(*added)
@@ -141,7 +141,8 @@ def _by_sweep(
     sums = sorted({s.column for s in specs if s.agg in ("sum", "mean")})
     means = sorted({s.column for s in specs if s.agg == "mean"})
     amount = {c: exact(df, c) for c in sums}
-    per_instant = df.groupBy(key, F.col(at).alias("_at")).agg(
+    rows = profile.rows if profile else df.count()
+    per_instant = spread(df, rows, key, at).groupBy(key, F.col(at).alias("_at")).agg(
         F.count(F.lit(1)).alias("_m_rows"),
         *[F.coalesce(F.sum(amount[c]), F.lit(0)).alias(f"_m_sum_{c}") for c in sums],
         *[F.count(c).alias(f"_m_cnt_{c}") for c in means],
@@ -174,10 +175,10 @@ def _by_sweep(
             for m, n in gone
         ],
     )
-    parts = [events] + [_member_events(df, key, at, c, n, tick, bool(short)) for c, n in members]
+    parts = [events] + [_member_events(df, key, at, c, n, tick, bool(short), rows) for c, n in members]
     events = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     inclusive = [f"_out_{m}_{n}" for m, n in gone] + [f"_dst_{c}_{n}" for c, n in members]
-    swept = running_totals(events, key, "_at", inclusive, [f"_in_{m}" for m in seen], width).where("_ask")
+    swept = running_totals(events, key, "_at", inclusive, [f"_in_{m}" for m in seen], width, rows=rows).where("_ask")
 
     def left(m: str, n: int) -> Column:
         return addend(swept, f"_in_{m}") - addend(swept, f"_out_{m}_{n}")
@@ -195,15 +196,16 @@ def _by_sweep(
 
     result = swept.select(key, F.col("_at").alias(at), *[value(s).alias(s.name) for s in specs])
     zeros = {s.name: 0 for s in specs if s.agg != "mean"}
-    return null_safe_join(df, result, [key, at]).fillna(zeros)
+    return null_safe_join(df, result, [key, at], rows).fillna(zeros)
 
 
 def _member_events(
-    df: DataFrame, key: str, at: str, column: str, seconds: int, tick: int, short: bool
+    df: DataFrame, key: str, at: str, column: str, seconds: int, tick: int, short: bool, rows: int
 ) -> DataFrame:
     """+1 when a member becomes visible in the frame, -1 when it no longer is."""
     members = df.where(F.col(column).isNotNull())
-    seen = members.select(key, F.col(column).alias("_m"), F.col(at).alias("_at")).distinct()
+    seen = members.select(key, F.col(column).alias("_m"), F.col(at).alias("_at"))
+    seen = spread(seen, rows, key, "_m", *([] if short else ["_at"])).distinct()
     if short:
         again = F.lead("_at").over(Window.partitionBy(key, "_m").orderBy("_at"))
         seen = seen.withColumn("_again", again)
@@ -215,10 +217,11 @@ def _member_events(
         F.struct((F.col("_at") + 1).alias("at"), F.lit(1).cast("long").alias("d")),
         F.struct((F.col("_last") + 1).alias("at"), F.lit(-1).cast("long").alias("d")),
     )
+    moves = spans.select(key, F.explode(steps).alias("_e")).select(key, F.col("_e.at").alias("_at"), F.col("_e.d").alias("_d"))
     return (
-        spans.select(key, F.explode(steps).alias("_e"))
-        .groupBy(key, F.col("_e.at").alias("_at"))
-        .agg(F.sum("_e.d").alias(f"_dst_{column}_{seconds}"))
+        spread(moves, rows, key, "_at")
+        .groupBy(key, "_at")
+        .agg(F.sum("_d").alias(f"_dst_{column}_{seconds}"))
         .withColumn("_ask", F.lit(False))
     )
 

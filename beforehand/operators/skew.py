@@ -27,6 +27,8 @@ HEAVY_ROWS = 20_000
 MAX_HEAVY_KEYS = 10_000
 SLICE_ROWS = 200_000
 MAX_SLICES = 100_000
+# Rows of a table whose events, sums and frames one task works on.
+TASK_ROWS = 50_000
 CASE_KEYS = 16
 MERGED = (256, 16, 1)
 
@@ -253,8 +255,24 @@ def even_slices(df: DataFrame, key: str, at: str, name: str = "_slice", slice_ro
     return _cut(df, key, F.col(at), [tuple(r) for r in sizes], df.schema[key].dataType, per_slice, name)
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Left join on ``on`` in which NULL keys match each other."""
+def spread(df: DataFrame, rows: int | None, *columns: str) -> DataFrame:
+    """``df`` shuffled by ``columns`` into as many tasks as ``rows``, those of the table it is made from, ask.
+
+    A task then holds the same share however large the table is and whatever number of partitions
+    the session starts shuffles with. Small tables, and those of unknown size, are left to the planner.
+    """
+    if not rows or rows <= TASK_ROWS * df.sparkSession.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(-(-rows // TASK_ROWS), *columns)
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], rows: int | None = None) -> DataFrame:
+    """Left join on ``on`` in which NULL keys match each other; ``rows`` as in ``spread``."""
+    if spread(left, rows, *on) is not left:
+        # a struct is never NULL
+        one = F.struct(*on)
+        left, right = (spread(d, rows, "_on") for d in (left.withColumn("_on", one), right.select(one.alias("_on"), *[c for c in right.columns if c not in on])))
+        return left.join(right, "_on", "left").drop("_on")
     right = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
     condition = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
     return left.join(right, condition, "left").drop(*[f"_on_{c}" for c in on])
@@ -331,13 +349,14 @@ def running_totals(
     exclusive: list[str] = (),
     width: int | None = None,
     slice_rows: int = SLICE_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Replace each listed column by its running sum over ``at`` within ``key``.
 
     ``inclusive`` sums count the current instant, ``exclusive`` ones stop before it.
     Work is split by (key, slice of ``width``), or, without a width, by even slices of the keys
     with over ``slice_rows`` events, which are written first; totals of earlier slices are added as an
-    offset, so no task holds more than one slice of a key. Cost is linear.
+    offset, so no task holds more than one slice of a key. Cost is linear. ``rows`` as in ``spread``.
     """
     cols = [*inclusive, *exclusive]
     if width:
@@ -346,7 +365,8 @@ def running_totals(
         events = even_slices(written(events, "events"), key, at, "_slice", slice_rows)
     # a struct is never NULL, so rows without a key join to their offsets too
     events = events.withColumn("_key", F.struct(key))
-    totals = events.groupBy("_key", "_slice").agg(*[F.sum(c).alias(c) for c in cols])
+    events = spread(events, rows, "_key", "_slice")
+    totals = spread(events.groupBy("_key", "_slice").agg(*[F.sum(c).alias(c) for c in cols]), rows, "_key")
     earlier = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_key", "_slice", *[F.sum(c).over(earlier).alias(f"_off_{c}") for c in cols]

@@ -1,5 +1,7 @@
 """Even slices, keys beyond the list, and a profile of one scan."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,3 +194,30 @@ def test_second_grain_members_on_a_long_calendar(bursty):
     assert sorted(map(tuple, swept.select("txn_id", "members").collect())) == sorted(
         map(tuple, window.select("txn_id", "members").collect())
     )
+
+
+def shuffles(df):
+    """Numbers of partitions that are asked for outright."""
+    return [int(n) for n in re.findall(r"hashpartitioning\(.*, (\d+)\), REPARTITION_BY_NUM", plan_of(df))]
+
+
+def test_a_sweep_is_dealt_out_by_its_rows(spark, many_hot, monkeypatch):
+    """However few partitions the session starts with, a task's share is the same at every size."""
+    specs = [Rolling("n", "count", HOUR), Rolling("total", "sum", DAY, "txn_id"), Rolling("members", "distinct", DAY, "txn_country")]
+    df = many_hot.withColumn("card_id", F.when(F.col("card_id") != "h3", F.col("card_id")))
+    names = ["txn_id", "card_id", "n", "total", "members"]
+    same = lambda d: sorted(map(str, d.select(*names).collect()))
+    window = same(rolling(df, "card_id", "txn_time", specs, route="window"))
+    assert not shuffles(rolling(df, "card_id", "txn_time", specs, route="sweep"))
+    monkeypatch.setattr(skew, "TASK_ROWS", 200)
+    profile = profile_keys(df, "card_id", "txn_time", heavy_rows=100)
+    for made in (
+        rolling(df, "card_id", "txn_time", specs, route="sweep"),
+        rolling(df, "card_id", "txn_time", specs, route="sweep", profile=profile),
+        rolling(df, "card_id", "txn_time", specs, profile=profile),
+        rolling(df, "card_id", "txn_time", specs, route="sweep", grain="micro"),
+    ):
+        assert len(shuffles(made)) >= 5 and set(shuffles(made)) == {41}
+        assert same(made) == window
+    half = rolling(df.where("txn_id < 4050"), "card_id", "txn_time", specs, route="sweep")
+    assert set(shuffles(half)) == {21}
