@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .common import saved
+from .common import saved, slices
 from .components import components
 
 SEED = 42
@@ -58,10 +58,10 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def _signed(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        prints = [fingerprint(t or b"", shingle) for t in batch.column(0).to_pylist()]
+    for part in slices(batches):
+        prints = [fingerprint(t or b"", shingle) for t in part.column(0).to_pylist()]
         values = pa.array(np.array(prints, np.uint64).view(np.int64))
-        yield pa.RecordBatch.from_arrays([*batch.columns[1:], values], [*batch.schema.names[1:], "fp"])
+        yield pa.RecordBatch.from_arrays([*part.columns[1:], values], [*part.schema.names[1:], "fp"])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
